@@ -14,9 +14,14 @@ from tidemark.functions import text as tx
 def clean_corpus(
     reviews: DataFrame, text_column: str = "review_text", min_tokens: int = 3, nfkc: bool = True
 ) -> DataFrame:
-    """Add ``clean_text`` and ``token_count``; drop texts with too little left to read."""
+    """Add ``clean_text`` and ``token_count``; drop texts with too little left to read.
+
+    The text comes out of a generator, so the optimiser cannot copy the pattern chain
+    into the filter and into every later use.
+    """
+    cleaned = F.struct(tx.normalise(F.col(text_column), nfkc).alias("clean_text"))
     return (
-        reviews.withColumn("clean_text", tx.normalise(F.col(text_column), nfkc))
+        reviews.select("*", F.inline(F.array(cleaned)))
         .withColumn("token_count", tx.token_count(F.col("clean_text")))
         .where(F.col("token_count") >= min_tokens)
     )

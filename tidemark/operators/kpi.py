@@ -48,7 +48,8 @@ def contract_risk(features: DataFrame, columns: s.AccountColumns = s.ACCOUNTS) -
 def kpis_with_contracts(features: DataFrame, columns: s.AccountColumns = s.ACCOUNTS) -> DataFrame:
     """The company row and the contract rows from one scan."""
     return (
-        features.rollup(F.col(columns.contract).alias("contract_type"))
+        features.withColumnRenamed(columns.contract, "contract_type")
+        .rollup("contract_type")
         .agg(
             F.grouping("contract_type").cast("int").alias("is_company"),
             *_kpi_measures(columns),

@@ -125,7 +125,7 @@ def _batch_top(
     if batch.empty or not len(ids):
         return pd.DataFrame(columns=columns)
     batch = batch.sort_values("doc_id", kind="stable", ignore_index=True)
-    scores = np.round(np.array(batch["embedding"].tolist(), dtype=float) @ matrix.T, PART_DIGITS)
+    scores = _rounded(np.array(batch["embedding"].tolist(), dtype=float) @ matrix.T)
     if per_source:
         groups = list(batch.groupby("source", dropna=False).indices.values())
     else:
@@ -148,6 +148,13 @@ def _batch_top(
     return pd.concat(parts, ignore_index=True)
 
 
+def _rounded(values: np.ndarray) -> np.ndarray:
+    """``round_half_up`` to the part digits: through ten decimals, halves away from zero."""
+    steps = 10 ** (SCORE_DIGITS - PART_DIGITS)
+    whole = np.abs(np.rint(values * 10.0**SCORE_DIGITS))
+    return np.sign(values) * np.floor((whole + steps // 2) / steps) / 10.0**PART_DIGITS
+
+
 def hybrid_candidates(
     documents: DataFrame,
     questions: DataFrame,

@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as tx
+from tidemark.session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -26,10 +27,14 @@ class TermRules:
 
 @dataclass(frozen=True)
 class TermModel:
-    """A fitted vocabulary: never longer than ``rules.max_features``."""
+    """A fitted vocabulary, never longer than ``rules.max_features``.
+
+    ``terms`` and ``document_frequency`` follow the positions that ``counter`` assigns.
+    """
 
     rules: TermRules
     n_docs: int
+    counter: CountVectorizerModel
     terms: tuple[str, ...]
     document_frequency: tuple[int, ...]
 
@@ -38,7 +43,7 @@ class TermModel:
         """Smoothed inverse document frequency, ln((1 + n) / (1 + df)) + 1."""
         return np.log((1.0 + self.n_docs) / (1.0 + np.array(self.document_frequency, dtype=float))) + 1.0
 
-    def table(self, spark) -> DataFrame:
+    def table(self, spark: SparkSession) -> DataFrame:
         rows = [
             (i, term, df, float(w))
             for i, (term, df, w) in enumerate(zip(self.terms, self.document_frequency, self.idf, strict=True))
@@ -62,44 +67,56 @@ def term_statistics(with_terms_df: DataFrame) -> DataFrame:
     """``(term, total, df)``: occurrences and documents per term, summed before the shuffle.
 
     Sorting a document's terms puts equal ones side by side, so the first of each run
-    marks the document once and no (document, term) table is needed.
+    marks the document once and no (document, term) table is needed. The null term
+    counts the documents themselves.
     """
-    in_order = with_terms_df.select(F.array_sort("terms").alias("_sorted"))
+    in_order = with_terms_df.select(F.sort_array("terms").alias("_sorted"))
+    # The second array is one longer, so every document ends in one null term.
     paired = F.arrays_zip(
         F.col("_sorted").alias("term"),
         F.concat(F.array(F.lit(None).cast("string")), F.col("_sorted")).alias("previous"),
     )
+    first_of_run = ~F.col("term").eqNullSafe(F.col("previous"))
     return (
         in_order.select(F.inline(paired))
-        .where("term is not null")
         .groupBy("term")
-        .agg(
-            F.count(F.lit(1)).alias("total"),
-            F.count_if(~F.col("term").eqNullSafe(F.col("previous"))).alias("df"),
-        )
+        .agg(F.count(F.lit(1)).alias("total"), F.count_if(first_of_run).alias("df"))
     )
 
 
 def fit_terms(documents: DataFrame, text_column: str, rules: TermRules = TermRules()) -> TermModel:
-    """Terms whose document frequency is in range; the most frequent, then A to Z."""
-    n_docs = documents.count()
-    stats = term_statistics(with_terms(documents, text_column, rules.stop_words))
+    """Terms whose document frequency is in range; the most frequent, then A to Z.
+
+    One pass over the texts: the term statistics are kept for the two reads below.
+    """
+    ensure_checkpoint_dir(documents.sparkSession)
+    stats = term_statistics(with_terms(documents, text_column, rules.stop_words)).checkpoint()
+    n_docs = stats.where("term is null").agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     kept = (
-        stats.where((F.col("df") >= rules.min_df) & (F.col("df") <= F.lit(rules.max_df * n_docs)))
+        stats.where("term is not null")
+        .where((F.col("df") >= rules.min_df) & (F.col("df") <= F.lit(rules.max_df * n_docs)))
         .orderBy(F.desc("total"), "term")
         .limit(rules.max_features)
         .select("term", "df")
         .collect()
     )
-    kept = sorted((r["term"], r["df"]) for r in kept)
-    return TermModel(rules, n_docs, tuple(t for t, _ in kept), tuple(n for _, n in kept))
+    frequency = {r["term"]: r["df"] for r in kept}
+    if not frequency:
+        raise ValueError("no term is frequent enough for an index")
+    counter = _term_counter(documents.sparkSession, list(frequency))
+    terms = tuple(counter.vocabulary)
+    return TermModel(rules, n_docs, counter, terms, tuple(frequency[t] for t in terms))
+
+
+def _term_counter(spark: SparkSession, terms: list[str]) -> CountVectorizerModel:
+    """A counter for exactly these terms (handing them over one by one takes seconds)."""
+    once = spark.createDataFrame([(terms,)], "terms array<string>")
+    return CountVectorizer(inputCol="terms", outputCol="_tf", vocabSize=len(terms)).fit(once)
 
 
 def vectorise(df: DataFrame, text_column: str, model: TermModel) -> DataFrame:
     """Add ``tfidf``, a sparse unit vector. Terms outside the vocabulary are ignored."""
-    counted = CountVectorizerModel.from_vocabulary(
-        list(model.terms), inputCol="terms", outputCol="_tf"
-    ).transform(with_terms(df, text_column, model.rules.stop_words))
+    counted = model.counter.transform(with_terms(df, text_column, model.rules.stop_words))
     weighted = ElementwiseProduct(
         scalingVec=Vectors.dense(model.idf), inputCol="_tf", outputCol="_weighted"
     ).transform(counted)
@@ -107,14 +124,13 @@ def vectorise(df: DataFrame, text_column: str, model: TermModel) -> DataFrame:
     return scaled.drop("terms", "_tf", "_weighted")
 
 
-def entries(vector: str) -> tuple[Column, Column]:
-    """Indices and values of a sparse vector column."""
-    fields = F.unwrap_udt(F.col(vector))
-    return fields["indices"], fields["values"]
+def sparse_rows(vectors: DataFrame, key: str, vector: str = "tfidf") -> DataFrame:
+    """``(key, indices, values)``: the entries of a sparse vector as two arrays."""
+    fields = vectors.select(key, F.unwrap_udt(F.col(vector)).alias("_fields"))
+    return fields.select(key, "_fields.indices", "_fields.values")
 
 
 def postings(vectors: DataFrame, key: str, vector: str = "tfidf") -> DataFrame:
     """``(key, term_id, weight)``, one row per term of a document, without a shuffle."""
-    indices, values = entries(vector)
-    zipped = F.arrays_zip(indices.alias("term_id"), values.alias("weight"))
-    return vectors.select(key, zipped.alias("_entries")).select(key, F.inline("_entries"))
+    zipped = F.arrays_zip(F.col("indices").alias("term_id"), F.col("values").alias("weight"))
+    return sparse_rows(vectors, key, vector).select(key, F.inline(zipped))

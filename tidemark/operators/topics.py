@@ -21,7 +21,7 @@ from tidemark.functions import lexicons as lx
 from tidemark.functions import text as tx
 from tidemark.functions.numbers import round_half_up
 from tidemark.operators.ranking import top_k
-from tidemark.operators.tfidf import TermModel, TermRules, entries, fit_terms, vectorise
+from tidemark.operators.tfidf import TermModel, TermRules, fit_terms, sparse_rows, vectorise
 from tidemark.session import ensure_checkpoint_dir
 
 N_TOPICS = 8
@@ -58,7 +58,7 @@ def _solve_weights(products: np.ndarray, gram: np.ndarray, steps: int = 100) ->
     return weights
 
 
-def _products(batch: pd.DataFrame, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def batch_products(batch: pd.DataFrame, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document × column products, row of each entry, its term, its weight) of a batch."""
     lengths = batch["indices"].map(len).to_numpy()
     row = np.repeat(np.arange(len(batch)), lengths)
@@ -80,7 +80,7 @@ def _pass(documents: DataFrame, components: np.ndarray) -> tuple[np.ndarray, np.
         by_term = np.zeros((n_terms, topics))
         by_topic = np.zeros((topics, topics))
         for batch in batches:
-            products, row, term, weight = _products(batch, transposed)
+            products, row, term, weight = batch_products(batch, transposed)
             w = _solve_weights(products, gram)
             np.add.at(by_term, term, weight[:, None] * w[row])
             by_topic += w.T @ w
@@ -124,12 +124,6 @@ def _initial_components(vectors: DataFrame, n_docs: int, topics: int, mean: floa
     return out
 
 
-def sparse_rows(vectors: DataFrame, key: str) -> DataFrame:
-    """Documents as index and value arrays, for numpy inside tasks."""
-    indices, values = entries("tfidf")
-    return vectors.select(key, indices.alias("indices"), values.alias("values"))
-
-
 def fit_topics(
     corpus: DataFrame,
     text_column: str = "clean_text",
@@ -173,7 +167,7 @@ def topic_weights(corpus: DataFrame, model: TopicModel, text_column: str, key: s
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            products, *_ = _products(batch, transposed)
+            products, *_ = batch_products(batch, transposed)
             yield pd.DataFrame({key: batch[key], "weights": list(_solve_weights(products, gram, 200))})
 
     key_type = corpus.schema[key].dataType.simpleString()

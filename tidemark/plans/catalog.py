@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.plans import (  # noqa: F401
     catalog_accounts,
     catalog_decisions,
+    catalog_models,
     catalog_text,
 )
 from tidemark.plans.registry import ORACLES, QUERIES, Query, oracle_text

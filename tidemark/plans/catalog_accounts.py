@@ -45,13 +45,15 @@ def _(f: Frames) -> DataFrame:
 
 @register(
     "s2_review_csv_scan",
-    "SELECT review_id, customerID, review_date, channel, rating, review_text FROM {feedback}",
+    """SELECT review_id, customerID, CAST(review_date AS VARCHAR) AS review_date, channel, rating, review_text
+       FROM {feedback}""",
 )
 def _(f: Frames) -> DataFrame:
     folder = scratch(f)
     reviews = f.views.feedback.select(*files.REVIEW_FIELDS)
     files.export_csv(reviews, f"{folder}/reviews", single_file=False)
-    return files.read_reviews(f.spark, [f"{folder}/reviews"])
+    read = files.read_reviews(f.spark, [f"{folder}/reviews"])
+    return read.withColumn("review_date", F.col("review_date").cast("string"))
 
 
 @register("s3_table_scan", "SELECT * FROM {raw_accounts}")
@@ -137,7 +139,7 @@ def _(f: Frames) -> DataFrame:
 
 @register(
     "c4_blank_totals",
-    f"SELECT count_if({number('TotalCharges')} IS NULL) AS blank_totals FROM {{raw_accounts}}",
+    f"SELECT CAST(count_if({number('TotalCharges')} IS NULL) AS BIGINT) AS blank_totals FROM {{raw_accounts}}",
 )
 def _(f: Frames) -> DataFrame:
     return cleaning.count_blank_totals(f.views.raw_accounts)
@@ -370,9 +372,12 @@ def _(f: Frames) -> DataFrame:
     return kpi.counts_by(f.views.raw_accounts.select(bucket), "tenure_bucket")
 
 
-@register("f14_a8_review_features", "SELECT * FROM {review_features}")
+@register(
+    "f14_a8_review_features",
+    "SELECT * REPLACE (CAST(last_review_date AS VARCHAR) AS last_review_date) FROM {review_features}",
+)
 def _(f: Frames) -> DataFrame:
-    return f.review_features
+    return f.review_features.withColumn("last_review_date", F.col("last_review_date").cast("string"))
 
 
 @register("f15_j1_features_with_reviews", "SELECT * FROM {full_features}")
@@ -502,7 +507,7 @@ def _(f: Frames) -> DataFrame:
 
 @register(
     "a15_scoring_totals",
-    f"""SELECT count(*) AS "count", count_if(targeted_by_policy = 1) AS targeted,
+    f"""SELECT count(*) AS "count", CAST(count_if(targeted_by_policy = 1) AS BIGINT) AS targeted,
                {rnd(total('CASE WHEN targeted_by_policy = 1 THEN expected_value_of_offer END'), 2)}
                    AS total_expected_value FROM {{predictions}}""",
 )
@@ -516,7 +521,8 @@ _NEWEST = "row_number() OVER (PARTITION BY path ORDER BY ts DESC, event_id DESC)
 @register(
     "a16_request_rollup",
     f"""SELECT c.path, requests, errors, "count", p50_ms, p95_ms
-        FROM (SELECT path, count_if(NOT failed) AS requests, count_if(failed) AS errors
+        FROM (SELECT path, CAST(count_if(NOT failed) AS BIGINT) AS requests,
+                     CAST(count_if(failed) AS BIGINT) AS errors
               FROM {{requests}} GROUP BY path) c
         JOIN (SELECT path, count(*) AS "count", {rnd('quantile_cont(latency_ms, 0.5)', 2)} AS p50_ms,
                      {rnd('quantile_cont(latency_ms, 0.95)', 2)} AS p95_ms

@@ -103,9 +103,10 @@ _SCENARIO_ROWS = ", ".join(
 
 @register(
     "j9_price_scenarios",
-    f"""SELECT scenario, targeted, targeted * offer_cost AS campaign_cost, net AS net_saving,
-               coalesce((net + targeted * offer_cost) / nullif(targeted * offer_cost, 0), 0.0) AS roi, exposure
-        FROM (SELECT scenario, offer_cost, count_if(hit) AS targeted,
+    f"""SELECT scenario, targeted, targeted * offer_cost AS campaign_cost, {rnd('net', 2)} AS net_saving,
+               {rnd('coalesce((net + targeted * offer_cost) / nullif(targeted * offer_cost, 0), 0.0)', 4)} AS roi,
+               {rnd('exposure', 2)} AS exposure
+        FROM (SELECT scenario, offer_cost, CAST(count_if(hit) AS BIGINT) AS targeted,
                      coalesce({total('CASE WHEN hit THEN ev END')}, 0.0) AS net, {total('p * at_risk')} AS exposure
               FROM (SELECT *, p >= threshold AND ev > 0 AS hit FROM (
                     SELECT scenario, offer_cost, threshold, churn_probability AS p,
@@ -116,7 +117,9 @@ _SCENARIO_ROWS = ", ".join(
               GROUP BY scenario, offer_cost) sums""",
 )
 def _(f: Frames) -> DataFrame:
-    return decisions.price_scenarios(f.joined, fr.SCENARIOS)
+    priced = decisions.price_scenarios(f.joined, fr.SCENARIOS)
+    digits = {"net_saving": 2, "roi": 4, "exposure": 2}
+    return priced.withColumns({c: round_half_up(c, d) for c, d in digits.items()})
 
 
 _GRID = ", ".join(f"({i}, {t:.17e})" for i, t in enumerate(decisions.THRESHOLD_GRID, start=1))

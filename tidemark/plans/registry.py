@@ -51,4 +51,7 @@ def oracle_text(body: str) -> str:
 
     final = resolve(body)
     views = ",\n".join(f"{name} AS (\n{sql}\n)" for name, sql in defined.items())
-    return f"WITH {views}\n{final}" if views else final
+    if not views:
+        return final
+    own = re.match(r"\s*WITH\s", final)
+    return f"WITH {views},\n{final[own.end():]}" if own else f"WITH {views}\n{final}"

@@ -8,11 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.files import read_parquet
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+LONG_TEXT = ("documents",)  # whole texts: the work per row dwarfs the scan
+
 VIEWS: dict[str, str] = {
     # Lines are summed per order, orders per customer: every join meets unique keys.
     "raw_accounts": """
@@ -137,7 +141,7 @@ class Views:
 
     def _build(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return read_parquet(self.spark, f"{self.folder}/{name}.parquet", spread=name in LONG_TEXT)
         sql = VIEWS[name]
         needed = {n: getattr(self, n) for n in (*TABLES, *VIEWS) if "{" + n + "}" in sql}
         needed |= {f"n_{n}": getattr(self, n).count() for n in TABLES if "{n_" + n + "}" in sql}

@@ -68,6 +68,14 @@ def read_reviews(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
+def read_parquet(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
+    """A Parquet scan. ``spread`` deals the rows of a few small files out to all cores
+    before heavy work per row; a scan that already has enough splits is left alone."""
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
+
+
 def write_snapshot(df: DataFrame, folder: str, name: str) -> str:
     path = f"{folder}/{name}.parquet"
     df.write.mode("overwrite").parquet(path)

@@ -10,6 +10,7 @@ import sys
 import time
 
 import duckdb
+import pandas
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -22,7 +23,7 @@ def rows_of(frame) -> list[tuple]:
     names = sorted(frame.columns)
     out = []
     for row in frame[names].itertuples(index=False):
-        out.append(tuple(None if v is None or v != v else v for v in row))
+        out.append(tuple(None if v is None or v is pandas.NA or v != v else v for v in row))
     return sorted(out, key=repr)
 
 
