@@ -203,7 +203,7 @@ def logistic_regression(n_rows: int, c: float = 1.0, max_iter: int = 2000) -> Lo
     """L2 with penalty 1/C on the summed loss; Spark averages it, hence 1 / (C n)."""
     return LogisticRegression(
         labelCol="label", weightCol="class_weight", regParam=1.0 / (c * n_rows),
-        elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-8,
+        elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-6,
     )
 
 

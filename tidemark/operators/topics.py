@@ -12,14 +12,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import lexicons as lx
 from tidemark.functions import text as tx
 from tidemark.functions.numbers import round_half_up
+from tidemark.operators.embedding import batch_products, singular_vectors
 from tidemark.operators.ranking import top_k
 from tidemark.operators.tfidf import TermModel, TermRules, fit_terms, sparse_rows, vectorise
 from tidemark.session import ensure_checkpoint_dir
@@ -58,18 +57,6 @@ def _solve_weights(products: np.ndarray, gram: np.ndarray, steps: int = 100) ->
     return weights
 
 
-def batch_products(batch: pd.DataFrame, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document × column products, row of each entry, its term, its weight) of a batch."""
-    lengths = batch["indices"].map(len).to_numpy()
-    row = np.repeat(np.arange(len(batch)), lengths)
-    empty = [np.array([], dtype=float)]
-    term = np.concatenate(list(batch["indices"]) or empty).astype(int)
-    weight = np.concatenate(list(batch["values"]) or empty).astype(float)
-    out = np.zeros((len(batch), matrix.shape[1]))
-    np.add.at(out, row, weight[:, None] * matrix[term])
-    return out, row, term, weight
-
-
 def _pass(documents: DataFrame, components: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One scan: Σ WᵀV and Σ WᵀW for the document weights that fit the components best."""
     topics, n_terms = components.shape
@@ -104,16 +91,14 @@ def _pass(documents: DataFrame, components: np.ndarray) -> tuple[np.ndarray, np.
     return by_term.T, by_topic
 
 
-def _initial_components(vectors: DataFrame, n_docs: int, topics: int, mean: float) -> np.ndarray:
+def _initial_components(
+    vectors: DataFrame, n_docs: int, n_terms: int, topics: int, mean: float
+) -> np.ndarray:
     """Non-negative start from the leading singular vectors, zeros lifted to the mean.
 
     The sign of each vector is taken so that its positive part is the heavier one.
     """
-    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors.select("tfidf"), "tfidf"))
-    n_terms = matrix.numCols()
-    svd = matrix.computeSVD(min(topics, n_terms, n_docs))
-    right = svd.V.toArray()
-    strength = svd.s.toArray()
+    right, strength = singular_vectors(vectors, min(topics, n_terms, n_docs))
     out = np.full((topics, n_terms), mean)
     for k in range(right.shape[1]):
         v = right[:, k]
@@ -143,7 +128,7 @@ def fit_topics(
         F.sum(F.aggregate("values", F.lit(0.0), lambda a, v: a + v * v)).alias("squares"),
     ).first()
     mean = totals["sum"] / (model.n_docs * len(model.terms))
-    components = _initial_components(vectors, model.n_docs, topics, mean)
+    components = _initial_components(vectors, model.n_docs, len(model.terms), topics, mean)
     first = previous = None
     passes = 0
     for _ in range(max_passes):

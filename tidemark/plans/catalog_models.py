@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as tx
 from tidemark.functions.numbers import round_half_up
-from tidemark.operators import embedding, evidence, explain, modelling, segmentation, tfidf, topics
+from tidemark.operators import cleaning, embedding, evidence, explain, modelling, segmentation, tfidf, topics
 from tidemark.plans import answering_run, feedback_run, training_run
 from tidemark.plans import frames as fr
 from tidemark.plans.catalog_accounts import scratch
@@ -85,6 +85,21 @@ def _(f: Frames) -> DataFrame:
     return _cross_validated(f, "boosting_leafwise", lambda n: modelling.leafwise_boosting(rounds=5))
 
 
+def _fitted(f: Frames, calibration: str | None = "sigmoid") -> modelling.ChurnModel:
+    """A calibrated linear model with its background, without the comparison of candidates."""
+    frame, numeric, categorical = _training(f)
+    train = frame.where(~F.col("is_test"))
+    encoding = modelling.fit_encoding(train, numeric, categorical)
+    base = modelling.fit_model(encoding.encode(train), modelling.logistic_regression)
+    parts = modelling.calibrate(train, modelling.logistic_regression, encoding, calibration, folds=3)
+    sample = encoding.encode(explain.background_sample(train, "customerID"))
+    return modelling.ChurnModel(
+        "logistic_regression", encoding, base, parts, threshold=0.3,
+        background=modelling.background_means(sample, encoding.names),
+        medians=cleaning.exact_median(train, ["tenure", "MonthlyCharges", "TotalCharges", "SeniorCitizen"]),
+    )
+
+
 @register("m6_m7_m10_k7_training_report")
 def _(f: Frames) -> DataFrame:
     run = training_run.train(f.full_features, _LINEAR, folds=3)
@@ -100,34 +115,26 @@ def _(f: Frames) -> DataFrame:
 
 @register("m7_isotonic_calibration")
 def _(f: Frames) -> DataFrame:
-    frame, numeric, categorical = _training(f)
-    train = frame.where(~F.col("is_test"))
-    encoding = modelling.fit_encoding(train, numeric, categorical)
-    base = modelling.fit_model(encoding.encode(train), modelling.logistic_regression)
-    parts = modelling.calibrate(train, modelling.logistic_regression, encoding, "isotonic")
-    model = modelling.ChurnModel("logistic_regression", encoding, base, parts)
-    return model.score(frame.where("is_test")).select("customerID", "label", "churn_probability")
+    scored = _fitted(f, "isotonic").score(f.full_features)
+    return scored.select("customerID", "Churn", "churn_probability")
 
 
 @register("m11_m22_k4_scored_base")
 def _(f: Frames) -> DataFrame:
-    run = training_run.train(f.full_features, _LINEAR, folds=2)
-    return training_run.score_accounts(run.model, f.full_features).drop("scored_at")
+    return training_run.score_accounts(_fitted(f), f.full_features).drop("scored_at")
 
 
 @register("k10_c12_saved_model_scores_raw_accounts")
 def _(f: Frames) -> DataFrame:
-    run = training_run.train(f.full_features, _LINEAR, folds=2)
     folder = scratch(f)
-    modelling.save_model(run.model, folder, f.spark)
+    modelling.save_model(_fitted(f), folder, f.spark)
     loaded = modelling.load_model(folder, f.spark)
     return training_run.score_accounts(loaded, f.views.raw_accounts).drop("scored_at")
 
 
 @register("m12_m15_trained_model_drivers")
 def _(f: Frames) -> DataFrame:
-    run = training_run.train(f.full_features, _LINEAR, folds=2)
-    explained = training_run.explained_accounts(run.model, f.full_features)
+    explained = training_run.explained_accounts(_fitted(f, None), f.full_features)
     return explain.top_drivers(explained, "customerID")
 
 
@@ -158,11 +165,12 @@ def _(f: Frames) -> DataFrame:
 
 @register("r3_t10_driver_evidence")
 def _(f: Frames) -> DataFrame:
-    run = training_run.train(f.full_features, _LINEAR, folds=2)
+    model = _fitted(f, None)
+    auc = modelling.area_under_roc(model.score(f.full_features.withColumn("label", F.col("Churn"))))
     sample = explain.background_sample(f.full_features, "customerID", 500)
-    importance = explain.global_importance(training_run.explained_accounts(run.model, sample), 10)
+    importance = explain.global_importance(training_run.explained_accounts(model, sample), 10)
     ranked = evidence.ranked_importance(importance)
-    return evidence.driver_documents(ranked, run.model.name, run.model.metrics["roc_auc"]).select(
+    return evidence.driver_documents(ranked, model.name, auc).select(
         "doc_id", "text", "source"
     )
 
