@@ -1,6 +1,6 @@
 """Hybrid retrieval: dense cosine plus lexical overlap, per table of questions.
 
-Documents carry ``doc_id``, ``source`` and a unit-length ``embedding``; questions carry
+Documents carry ``doc_id``, ``source`` and an ``embedding``; questions carry
 ``question_id`` and an ``embedding`` in the same space; the lexical side is a postings
 table. Both parts are rounded to eight decimals and their mix to ten, so that floating
 point noise decides no rank; ties are broken by ``doc_id``.
@@ -11,7 +11,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,18 +28,8 @@ SCORE_DIGITS = 10
 
 # Question vectors up to this size are sent to every task; more are met by a keyed join.
 BROADCAST_VECTOR_BYTES = 32 << 20
-
-
-def unit(vector: str) -> Column:
-    """The vector scaled to length one (a zero vector stays zero)."""
-    doubles = F.transform(vector, lambda x: x.cast("double"))
-    norm = F.sqrt(F.aggregate(doubles, F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(doubles, lambda x: F.coalesce(F.try_divide(x, norm), F.lit(0.0)))
-
-
-def cosine(a: str, b: str) -> Column:
-    """Dot product of two unit vectors."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+QUESTIONS_PER_BLOCK = 2_048
+DOCUMENTS_PER_CELL = 8_192
 
 
 def lexical_scores(postings: DataFrame, question_terms: DataFrame) -> DataFrame:
@@ -60,133 +51,165 @@ def lexical_scores(postings: DataFrame, question_terms: DataFrame) -> DataFrame:
     )
 
 
-def dense_top(
+def best_documents(
     documents: DataFrame,
     questions: DataFrame,
     k: int,
+    lexical: DataFrame | None = None,
+    alpha: float = ALPHA,
     per_source: bool = True,
     broadcast_bytes: int = BROADCAST_VECTOR_BYTES,
 ) -> DataFrame:
-    """Best k documents by cosine per (question, source), or per question.
+    """Best k documents per (question, source), or per question, with their score parts.
 
-    Every question meets every document, but as one matrix product per batch, and a
-    batch hands on its best k only. Small question tables go to every task; larger
-    ones are joined in blocks on a key, so that no side has to fit in one task.
+    Every question meets every document, but as one matrix product per batch of
+    documents, and a batch hands on its best k only: no table of pairs exists. Small
+    question tables go to every task; larger ones are joined in blocks on a key, so that
+    no side has to fit in one task. Without ``lexical`` the score is the cosine.
     """
-    docs = documents.select("doc_id", "source", unit("embedding").alias("embedding"))
-    asked = questions.select("question_id", unit("embedding").alias("embedding"))
-    size = asked.agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")
-    ).first()
+    docs = documents.select("doc_id", "source", "embedding")
+    asked = questions.select("question_id", "embedding")
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).first()
     schema = T.StructType(
         [questions.schema["question_id"], documents.schema["doc_id"], documents.schema["source"]]
-    ).add("dense", "double")
-    if size["n"] * (size["dim"] or 0) * 8 <= broadcast_bytes:
-        rows = asked.collect()
-        ids = pd.Series([r["question_id"] for r in rows], dtype=object)
-        matrix = np.array([r["embedding"] for r in rows], dtype=float)
-
-        def score_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                yield _batch_top(batch, ids, matrix, k, per_source)
-
-        scored = docs.mapInPandas(score_batches, schema) if rows else None
-    else:
-        blocks = max(1, -(-size["n"] // 2048))
-        cells = max(1, -(-documents.count() // 8192))
-        # Replicate each side over the blocks of the other: a block matrix product by equi-join.
-        left = docs.withColumn("_cell", F.pmod(F.xxhash64("doc_id"), F.lit(cells))).withColumn(
-            "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))
-        )
-        right = asked.withColumn("_block", F.pmod(F.xxhash64("question_id"), F.lit(blocks))).withColumn(
-            "_cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1)).cast("array<bigint>"))
-        )
-
-        def score_block(batch: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-            matrix = np.array(block["embedding"].tolist(), dtype=float)
-            return _batch_top(batch, block["question_id"], matrix, k, per_source)
-
-        scored = (
-            left.groupBy("_block", "_cell")
-            .cogroup(right.groupBy("_block", "_cell"))
-            .applyInPandas(score_block, schema)
-        )
-    if scored is None:
+    )
+    for part in ("dense", "lexical", "score"):
+        schema = schema.add(part, "double")
+    if size["n"] == 0:
         return documents.sparkSession.createDataFrame([], schema)
-    keys = ["question_id", "source"] if per_source else ["question_id"]
-    return top_k(scored, keys, [F.desc("dense"), F.asc("doc_id")], k).drop("rank")
-
-
-def _batch_top(
-    batch: pd.DataFrame, ids: pd.Series, matrix: np.ndarray, k: int, per_source: bool
-) -> pd.DataFrame:
-    """The k best documents of one batch for each question (and source)."""
-    columns = ["question_id", "doc_id", "source", "dense"]
-    if batch.empty or not len(ids):
-        return pd.DataFrame(columns=columns)
-    batch = batch.sort_values("doc_id", kind="stable", ignore_index=True)
-    scores = _rounded(np.array(batch["embedding"].tolist(), dtype=float) @ matrix.T)
-    if per_source:
-        groups = list(batch.groupby("source", dropna=False).indices.values())
+    weights = (1.0, 0.0) if lexical is None else (alpha, 1.0 - alpha)
+    if size["n"] * (size["dim"] or 0) * 8 <= broadcast_bytes:
+        scored = _meet_all(docs, asked.toArrow(), lexical, weights, k, per_source, schema)
     else:
-        groups = [np.arange(len(batch))]
-    parts = []
-    for rows in groups:
-        part = scores[rows]
-        best = np.argsort(-part, axis=0, kind="stable")[:k]
-        at = rows[best]
-        parts.append(
-            pd.DataFrame(
-                {
-                    "question_id": np.tile(ids.to_numpy(), len(best)),
-                    "doc_id": batch["doc_id"].to_numpy()[at].ravel(),
-                    "source": batch["source"].to_numpy()[at].ravel(),
-                    "dense": np.take_along_axis(part, best, axis=0).ravel(),
-                }
-            )
-        )
-    return pd.concat(parts, ignore_index=True)
-
-
-def _rounded(values: np.ndarray) -> np.ndarray:
-    """``round_half_up`` to the part digits: through ten decimals, halves away from zero."""
-    steps = 10 ** (SCORE_DIGITS - PART_DIGITS)
-    whole = np.abs(np.rint(values * 10.0**SCORE_DIGITS))
-    return np.sign(values) * np.floor((whole + steps // 2) / steps) / 10.0**PART_DIGITS
+        scored = _meet_in_blocks(docs, asked, size["n"], lexical, weights, k, per_source, schema)
+    finite = scored.where(F.col("score").isNotNull() & ~F.isnan("score"))
+    return top_k(finite, ["question_id", "source"] if per_source else ["question_id"], _best_first(), k)
 
 
-def hybrid_candidates(
+def dense_top(
     documents: DataFrame,
     questions: DataFrame,
-    lexical: DataFrame,
     k: int,
-    alpha: float = ALPHA,
     per_source: bool = True,
     broadcast_bytes: int = BROADCAST_VECTOR_BYTES,
 ) -> DataFrame:
-    """Hybrid scores of every document that can reach the best k.
+    """Best k documents by cosine alone."""
+    best = best_documents(documents, questions, k, None, 1.0, per_source, broadcast_bytes)
+    return best.select("question_id", "doc_id", "source", "dense")
+
+
+def _with_overlaps(docs: DataFrame, lexical: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Attach each document's overlaps as two lists: at most one entry per question."""
+    if lexical is None:
+        return docs
+    lists = lexical.groupBy(*keys).agg(F.collect_list(F.struct("question_id", "lexical")).alias("o"))
+    attached = docs.join(lists, keys, "left")
+    return attached.select(
+        *docs.columns, F.col("o.question_id").alias("overlap_ids"), F.col("o.lexical").alias("overlaps")
+    )
 
-    A document without lexical overlap is beaten by anything with a better cosine, so
-    it must be among the dense best k; all documents with overlap are scored in full.
-    The best k of the union are therefore the best k of the whole corpus.
-    """
-    dense = dense_top(documents, questions, k, per_source, broadcast_bytes)
-    vectors = documents.select("doc_id", "source", unit("embedding").alias("doc_vector"))
-    asked = questions.select("question_id", unit("embedding").alias("question_vector"))
-    overlapping = (
-        lexical.join(vectors, "doc_id")
-        .join(asked, "question_id")
-        .select(
-            "question_id", "doc_id", "source",
-            round_half_up(cosine("doc_vector", "question_vector"), PART_DIGITS).alias("dense"),
-            "lexical",
-        )
+
+def _meet_all(
+    docs: DataFrame, asked: pa.Table, lexical: DataFrame | None, weights: tuple[float, float], k: int,
+    per_source: bool, schema: T.StructType,
+) -> DataFrame:
+    ids, matrix = asked["question_id"].combine_chunks(), _unit_rows(asked["embedding"].combine_chunks())
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield _batch_top(batch, ids, matrix, weights, k, per_source)
+
+    return _with_overlaps(docs, lexical, ["doc_id"]).mapInArrow(score, schema)
+
+
+def _meet_in_blocks(
+    docs: DataFrame, asked: DataFrame, n_questions: int, lexical: DataFrame | None,
+    weights: tuple[float, float], k: int, per_source: bool, schema: T.StructType,
+) -> DataFrame:
+    """A block matrix product by equi-join: each side is repeated over the other's blocks."""
+    blocks = -(-n_questions // QUESTIONS_PER_BLOCK)
+    cells = max(1, -(-docs.count() // DOCUMENTS_PER_CELL))
+    block, cell = _part("question_id", blocks), _part("doc_id", cells)
+    left = docs.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    if lexical is not None:
+        lexical = lexical.withColumn("_block", block)
+    left = _with_overlaps(left, lexical, ["doc_id", "_block"]).withColumn("_cell", cell)
+    right = asked.withColumn("_block", block).withColumn(
+        "_cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))
     )
-    dense_only = dense.join(lexical.select("question_id", "doc_id"), ["question_id", "doc_id"], "left_anti")
-    everything = overlapping.unionByName(dense_only.withColumn("lexical", F.lit(0.0)))
-    score = F.lit(alpha) * F.col("dense") + F.lit(1.0 - alpha) * F.col("lexical")
-    return everything.withColumn("score", round_half_up(score, SCORE_DIGITS)).where(
-        ~F.isnan("score") & F.col("score").isNotNull()
+
+    def score(batch: pa.Table, questions: pa.Table) -> pa.Table:
+        if not batch.num_rows or not questions.num_rows:
+            return _nothing(batch, questions)
+        ids = questions["question_id"].combine_chunks()
+        matrix = _unit_rows(questions["embedding"].combine_chunks())
+        rows = batch.combine_chunks().to_batches()[0]
+        return pa.Table.from_batches([_batch_top(rows, ids, matrix, weights, k, per_source)])
+
+    keys = ["_block", "_cell"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, schema)
+
+
+def _nothing(batch: pa.Table, questions: pa.Table) -> pa.Table:
+    numbers = pa.array([], pa.float64())
+    columns = {
+        "question_id": questions["question_id"].slice(0, 0), "doc_id": batch["doc_id"].slice(0, 0),
+        "source": batch["source"].slice(0, 0), "dense": numbers, "lexical": numbers, "score": numbers,
+    }
+    return pa.table(columns)
+
+
+def _part(key: str, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
+def _unit_rows(vectors: pa.Array) -> np.ndarray:
+    """Vectors of equal length as rows of length one (a zero vector stays zero)."""
+    rows = vectors.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(vectors), -1)
+    norm = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+    return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
+
+
+def _rounded(values: np.ndarray, digits: int = PART_DIGITS) -> np.ndarray:
+    """As ``round_half_up``: through ten decimals, then halves away from zero."""
+    steps = 10 ** (SCORE_DIGITS - digits)
+    whole = np.abs(np.rint(values * 10.0**SCORE_DIGITS))
+    return np.sign(values) * np.floor((whole + steps // 2) / steps) / 10.0**digits
+
+
+def _batch_top(
+    batch: pa.RecordBatch, ids: pa.Array, matrix: np.ndarray, weights: tuple[float, float], k: int,
+    per_source: bool,
+) -> pa.RecordBatch:
+    """The k best documents of one batch for each question (and source)."""
+    batch = batch.take(pc.sort_indices(batch["doc_id"]))  # ties go to the smaller doc_id
+    dense = _rounded(_unit_rows(batch["embedding"]) @ matrix.T)
+    lexical = np.zeros_like(dense)
+    if "overlaps" in batch.schema.names:
+        rows = pc.list_parent_indices(batch["overlaps"]).to_numpy()
+        at = pc.index_in(batch["overlap_ids"].flatten(), value_set=ids)
+        known = pc.is_valid(at).to_numpy(zero_copy_only=False)
+        values = batch["overlaps"].flatten().to_numpy(zero_copy_only=False)
+        lexical[rows[known], at.drop_null().to_numpy()] = values[known]
+    score = _rounded(weights[0] * dense + weights[1] * lexical, SCORE_DIGITS)
+    if per_source:
+        codes = batch["source"].dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        groups = [np.flatnonzero(codes == code) for code in np.unique(codes)]
+    else:
+        groups = [np.arange(batch.num_rows)]
+    places, columns = [], []
+    for rows in groups:
+        best = np.argsort(-score[rows], axis=0, kind="stable")[:k]
+        places.append(rows[best].ravel())
+        columns.append(np.tile(np.arange(len(ids)), len(best)))
+    row, column = np.concatenate(places), np.concatenate(columns)
+    return pa.RecordBatch.from_arrays(
+        [
+            ids.take(pa.array(column)), batch["doc_id"].take(pa.array(row)), batch["source"].take(pa.array(row)),
+            pa.array(dense[row, column]), pa.array(lexical[row, column]), pa.array(score[row, column]),
+        ],
+        names=["question_id", "doc_id", "source", "dense", "lexical", "score"],
     )
 
 
@@ -205,8 +228,7 @@ def search(
 ) -> DataFrame:
     """Flat top k per question; an empty source list means no restriction."""
     allowed = documents.where(F.col("source").isin(*sources)) if sources else documents
-    scored = hybrid_candidates(allowed, questions, lexical, k, alpha, False, broadcast_bytes)
-    return top_k(scored, ["question_id"], _best_first(), k)
+    return best_documents(allowed, questions, k, lexical, alpha, False, broadcast_bytes)
 
 
 def search_stratified(
@@ -220,18 +242,13 @@ def search_stratified(
     """A fixed budget per source, one scoring pass for all sources, best score first."""
     wanted = {source: k for source, k in quotas.items() if k > 0}
     most = max(wanted.values(), default=1)
-    allowed = documents.where(F.col("source").cast("string").isin(*wanted))
-    scored = hybrid_candidates(allowed, questions, lexical, most, alpha, True, broadcast_bytes)
-    per_source = top_k(scored, ["question_id", "source"], _best_first(), most).drop("rank")
-    budget = F.create_map(*[F.lit(x) for item in wanted.items() for x in item]) if wanted else None
-    if budget is None:
-        return per_source.where("false").withColumn("rank", F.lit(0))
-    in_source = Window.partitionBy("question_id", "source").orderBy(*_best_first())
-    kept = per_source.withColumn("_place", F.row_number().over(in_source)).where(
-        F.col("_place") <= F.try_element_at(budget, F.col("source").cast("string"))
-    )
+    allowed = documents.where(F.col("source").isin(*wanted))
+    placed = best_documents(allowed, questions, most, lexical, alpha, True, broadcast_bytes)
+    budget = F.lit(0)
+    for source, k in wanted.items():
+        budget = F.when(F.col("source") == source, k).otherwise(budget)
     final = Window.partitionBy("question_id").orderBy(*_best_first())
-    return kept.drop("_place").withColumn("rank", F.row_number().over(final))
+    return placed.where(F.col("rank") <= budget).withColumn("rank", F.row_number().over(final))
 
 
 def scale_quotas(quotas: Mapping[str, int], k: int | None) -> dict[str, int]:
