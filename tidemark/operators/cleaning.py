@@ -52,11 +52,9 @@ def fit_medians(df: DataFrame, names: Sequence[str] | None = None) -> dict[str,
     names = list(names or numeric_columns(df))
     if not names:
         return {}
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names]).first()
-    gaps = [c for c in names if nulls[c]]
-    if not gaps:
-        return {}
-    return {c: m for c, m in exact_median(df, gaps).items() if m is not None}
+    counted = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in names]).first()
+    gaps = {c: counted[c] for c in names if counted[c] < counted["_rows"]}
+    return {c: m for c, m in exact_median(df, list(gaps), gaps).items() if m is not None}
 
 
 def fill_medians(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:

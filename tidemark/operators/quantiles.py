@@ -8,7 +8,7 @@ rank; only when the bracket is small are its value counts brought to the driver.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +31,7 @@ class _Search:
     below: int = 0
     inside: int = 0  # rows in the bracket
     distinct: int = 0  # about how many distinct values they have
+    found: tuple[float, float] | None = None  # the values at both ranks
 
 
 def exact_quantiles(
@@ -38,10 +39,15 @@ def exact_quantiles(
     columns: Sequence[str],
     probability: float = 0.5,
     bracket_limit: int = BRACKET_LIMIT,
+    counts: Mapping[str, int] | None = None,
 ) -> dict[str, float | None]:
-    """The quantile of each column, interpolated linearly; None for an all-null column."""
+    """The quantile of each column, interpolated linearly; None for an all-null column.
+
+    ``counts`` are the numbers of non-null values, if already known.
+    """
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    counts = values.agg(*[F.count(c).alias(c) for c in columns]).first()
+    if counts is None:
+        counts = values.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
     searches = []
     result: dict[str, float | None] = {}
     for c in columns:
@@ -56,18 +62,28 @@ def exact_quantiles(
             )
         )
     while searches:
-        wide = [s for s in searches if s.distinct > bracket_limit and s.low < s.high]
-        if wide:
-            _narrow(values, wide)
-        ready = [s for s in searches if s.distinct <= bracket_limit or s.low == s.high]
+        wide = [s for s in searches if s.distinct > bracket_limit]
+        stuck = [s for s in _narrow(values, wide) if s.low < s.high]
+        if stuck:
+            _peel(values, stuck)
+        for s in searches:
+            if s.found is None and s.low == s.high:
+                s.found = (s.low, s.high)
+        ready = [s for s in searches if s.found is None and s.distinct <= bracket_limit]
         if ready:
-            result.update(_finish(values, ready))
-        searches = [s for s in searches if s not in ready]
+            _finish(values, ready)
+        for s in searches:
+            if s.found is not None:
+                low, high = s.found
+                result[s.column] = low if low == high else low + (high - low) * s.weight
+        searches = [s for s in searches if s.found is None]
     return {c: result[c] for c in columns}
 
 
-def exact_median(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    return exact_quantiles(df, columns, 0.5)
+def exact_median(
+    df: DataFrame, columns: Sequence[str], counts: Mapping[str, int] | None = None
+) -> dict[str, float | None]:
+    return exact_quantiles(df, columns, 0.5, counts=counts)
 
 
 def _inside(s: _Search) -> Column:
@@ -77,16 +93,20 @@ def _inside(s: _Search) -> Column:
     return column.between(s.low, s.high)
 
 
-def _narrow(values: DataFrame, searches: list[_Search]) -> None:
-    """Two passes: sketch the ranks inside each bracket, then count the new bracket."""
+def _narrow(values: DataFrame, searches: list[_Search]) -> list[_Search]:
+    """Two passes: sketch the ranks inside each bracket, then count the new bracket.
+
+    Returns the searches whose bracket stayed the same.
+    """
+    if not searches:
+        return []
     margin = 2.0 / ACCURACY
     sketches = []
     for i, s in enumerate(searches):
         low = max(0.0, (s.first - s.below) / s.inside - margin)
         high = min(1.0, (s.second - s.below + 1) / s.inside + margin)
-        sketches.append(
-            F.percentile_approx(F.when(_inside(s), F.col(s.column)), [low, high], ACCURACY).alias(f"b{i}")
-        )
+        inside = F.when(_inside(s), F.col(s.column))
+        sketches.append(F.percentile_approx(inside, [low, high], ACCURACY).alias(f"b{i}"))
     brackets = values.agg(*sketches).first()
     counts = []
     for i, s in enumerate(searches):
@@ -98,21 +118,52 @@ def _narrow(values: DataFrame, searches: list[_Search]) -> None:
             F.approx_count_distinct(F.when(column.between(low, high), column)).alias(f"distinct{i}"),
         ]
     row = values.agg(*counts).first()
+    stuck = []
     for i, s in enumerate(searches):
         below, inside = row[f"below{i}"], row[f"inside{i}"]
         if not below <= s.first <= s.second < below + inside:
             raise RuntimeError(f"quantile bracket of {s.column} missed its rank")
+        if [s.low, s.high] == list(brackets[f"b{i}"]):
+            stuck.append(s)
         s.low, s.high = brackets[f"b{i}"]
         s.below, s.inside, s.distinct = below, inside, row[f"distinct{i}"]
+    return stuck
 
 
-def _finish(values: DataFrame, searches: list[_Search]) -> dict[str, float]:
+def _peel(values: DataFrame, searches: list[_Search]) -> None:
+    """Take the two end values off each bracket: they may hold nearly all of its rows."""
+    measures = []
+    for i, s in enumerate(searches):
+        column = F.col(s.column)
+        measures += [
+            F.count_if(column == s.low).alias(f"n_low{i}"),
+            F.count_if(column == s.high).alias(f"n_high{i}"),
+            F.min(F.when((column > s.low) & (column <= s.high), column)).alias(f"next{i}"),
+            F.max(F.when((column < s.high) & (column >= s.low), column)).alias(f"previous{i}"),
+        ]
+    row = values.agg(*measures).first()
+    for i, s in enumerate(searches):
+        n_low, n_high = row[f"n_low{i}"], row[f"n_high{i}"]
+        after, before = row[f"next{i}"], row[f"previous{i}"]
+        end = s.below + s.inside
+        first = s.low if s.first < s.below + n_low else s.high if s.first >= end - n_high else None
+        second = s.low if s.second < s.below + n_low else s.high if s.second >= end - n_high else None
+        if first is not None and second is not None:
+            s.found = (first, second)
+        elif first is not None:  # the next rank is the next value
+            s.found = (first, after)
+        elif second is not None:
+            s.found = (before, second)
+        else:
+            s.low, s.high = after, before
+            s.below, s.inside = s.below + n_low, s.inside - n_low - n_high
+
+
+def _finish(values: DataFrame, searches: list[_Search]) -> None:
     """Read the two ranks off the value counts inside each small bracket."""
     entries = F.array(
         *[
-            F.struct(
-                F.lit(s.column).alias("name"), F.when(_inside(s), F.col(s.column)).alias("value")
-            )
+            F.struct(F.lit(s.column).alias("name"), F.when(_inside(s), F.col(s.column)).alias("value"))
             for s in searches
         ]
     )
@@ -123,16 +174,13 @@ def _finish(values: DataFrame, searches: list[_Search]) -> dict[str, float]:
         .count()
         .collect()
     )
-    found = {}
     for s in searches:
         rank = s.below
-        low = high = None
+        low = None
         for value, n in sorted((r["value"], r["count"]) for r in rows if r["name"] == s.column):
             rank += n
             if low is None and s.first < rank:
                 low = value
             if s.second < rank:
-                high = value
+                s.found = (low, value)
                 break
-        found[s.column] = low if low == high else low + (high - low) * s.weight
-    return found
