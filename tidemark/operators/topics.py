@@ -26,6 +26,7 @@ from tidemark.session import ensure_checkpoint_dir
 N_TOPICS = 8
 TERMS_PER_TOPIC = 10
 _TINY = 1e-12
+_NOISE = 1e-6  # smaller entries of a singular vector, relative to the largest, count as zero
 
 
 def topic_rules(stop_words: tuple[str, ...] = ()) -> TermRules:
@@ -105,7 +106,7 @@ def _initial_components(
         positive, negative = np.maximum(v, 0.0), np.maximum(-v, 0.0)
         part = positive if np.linalg.norm(positive) >= np.linalg.norm(negative) else negative
         scaled = np.sqrt(strength[k]) * part / max(np.linalg.norm(part), _TINY)
-        out[k] = np.where(scaled > _TINY, scaled, mean)
+        out[k] = np.where(scaled > _NOISE * scaled.max(initial=0.0), scaled, mean)
     return out
 
 
