@@ -157,7 +157,7 @@ def test_tree_contributions_add_up_to_the_prediction(spark, customers, tmp_path)
             scored = {r[0]: r[1] for r in model.score(frame).select("customerID", "churn_probability").collect()}
         else:
             margin = {r[0]: r[1] for r in base.transform(encoding.encode(frame)).select("customerID", "rawPrediction").collect()}
-            scored = {k: v[1] / 2 for k, v in margin.items()}  # Spark's margin is twice the sum of the trees
+            scored = {k: v[1] for k, v in margin.items()}
         base_values = {round(scored[k] - sums[k], 6) for k in sums}
         assert len(base_values) == 1  # the sum of contributions is the prediction less one constant
 

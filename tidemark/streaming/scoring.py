@@ -38,7 +38,8 @@ def rollup_stream(
     served = F.when(~F.col(failed), F.col(latency))
     quantiles = F.percentile_approx(served, [0.5, 0.95])
     return (
-        log.withWatermark(ts, late)
+        log.withColumn(ts, F.col(ts).cast("timestamp"))
+        .withWatermark(ts, late)
         .groupBy(F.window(ts, window), path)
         .agg(
             F.count_if(~F.col(failed)).alias("requests"),
