@@ -103,26 +103,38 @@ class BlockMaxIndex:
         self.term_cells = np.searchsorted(term[self.cell_start[:-1]], np.arange(n_terms + 1))
 
     def nearest(self, query_terms: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Example numbers and cosines of the k nearest with a cosine above 0."""
-        bound = np.zeros(self.n_blocks)
-        spans = [(self.term_cells[t], self.term_cells[t + 1]) for t in query_terms]
-        for (lo, hi), q in zip(spans, query, strict=True):
-            bound[self.cell_block[lo:hi]] += q * self.cell_max[lo:hi]
+        """Example numbers and cosines of the k nearest with a cosine above 0.
+
+        Blocks are scored a few at a time, each lot twice as large as the one before."""
+        spans = [np.arange(self.term_cells[t], self.term_cells[t + 1]) for t in query_terms]
+        cells = np.concatenate(spans)
+        factor = np.repeat(query, [len(s) for s in spans])
+        block = self.cell_block[cells]
+        bound = np.bincount(block, weights=factor * self.cell_max[cells], minlength=self.n_blocks)
+        order = np.argsort(-bound, kind="stable")
+        place = np.empty(self.n_blocks, dtype=np.int64)
+        place[order] = np.arange(self.n_blocks)
+        turn = place[block]
         best, cosine = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) == k and bound[b] <= cosine[-1] + 1e-12):
+        lo, lot = 0, 4
+        while lo < self.n_blocks:
+            floor = cosine[-1] + 1e-12 if len(best) == k else 0.0
+            hi = min(lo + lot, int(np.searchsorted(-bound[order], -floor, "left")))
+            if hi <= lo:
                 break
-            score = np.zeros(BLOCK)
-            for (lo, hi), q in zip(spans, query, strict=True):
-                c = lo + np.searchsorted(self.cell_block[lo:hi], b)
-                if c < hi and self.cell_block[c] == b:
-                    s, e = self.cell_start[c], self.cell_start[c + 1]
-                    score[self.example[s:e] - b * BLOCK] += q * self.weight[s:e]
+            own = np.flatnonzero((turn >= lo) & (turn < hi))
+            start = self.cell_start[cells[own]]
+            size = self.cell_start[cells[own] + 1] - start
+            each = np.repeat(np.arange(len(own)), size)
+            posting = np.arange(len(each)) - np.repeat(np.cumsum(size) - size, size) + start[each]
+            at = (turn[own][each] - lo) * BLOCK + self.example[posting] % BLOCK
+            score = np.bincount(at, weights=factor[own][each] * self.weight[posting], minlength=(hi - lo) * BLOCK)
             hit = np.flatnonzero(score > 0)
-            best = np.concatenate([best, hit + b * BLOCK])
+            best = np.concatenate([best, order[lo + hit // BLOCK] * BLOCK + hit % BLOCK])
             cosine = np.concatenate([cosine, score[hit]])
             top = np.argsort(-cosine, kind="stable")[:k]
             best, cosine = best[top], cosine[top]
+            lo, lot = hi, lot * 2
         return best, cosine
 
 
