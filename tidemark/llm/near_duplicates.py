@@ -7,9 +7,12 @@ collections. At similarity 0.8 a pair is missed with probability below 1e-5; bel
 rarely meets.
 
 Copies (equal shingle sets) become one class first, so groups of copies of any size cost one
-row. A bucket first links its members to its least and largest one; where a bucket still
-spans several components after that, all its pairs across components are tried. No pair
-inside one component is formed, and no bucket is cut.
+row. Buckets of neighbouring collections then link their members to one drawn by hash. Where
+buckets still span components, a document whose own shingles rule out every link is put
+aside; the others meet another draw, in all tables. At last small buckets form the pairs
+across components that are still possible, and members of large ones are compared block by
+block, where a task hands on links only. No pair inside one component is formed, and no
+bucket is cut.
 
 Null, empty and wordless texts have no shingles and are linked with nothing. Rows with a null
 id are never linked; their component is null and they are kept. Rows that repeat an id are
@@ -22,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bytesets import Texts, chunks, mix, windows
@@ -36,6 +39,9 @@ N_HASHES = COLLECTIONS * PER_COLLECTION
 LEAST_AGREEMENT = 62
 #: Links from this similarity on, in percent.
 PERCENT = 80
+#: In open buckets up to this size all pairs are formed; members of larger ones are compared
+#: block by block, with so many documents in a block.
+SMALL_BUCKET, BLOCK = 64, 512
 
 _SALT = mix(np.arange(1, N_HASHES + 1, dtype=np.uint64))
 _ODD = mix(np.arange(1001, N_HASHES + 1001, dtype=np.uint64)) | np.uint64(1)
@@ -118,7 +124,8 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 
 
 def buckets(reps: DataFrame) -> DataFrame:
-    """(key, rep) for every table in which at least two class representatives meet.
+    """(key, rep) for every table in which at least two class representatives meet, with one
+    of the bucket's members drawn by hash, and whether the table's collections are neighbours.
 
     Only collections shared with another representative can be part of such a key, so the
     pairs of collections are formed from those alone.
@@ -144,12 +151,26 @@ def buckets(reps: DataFrame) -> DataFrame:
         F.transform(
             "own",
             lambda x, n: F.transform(
-                F.slice("own", n + 2, F.size("own")), lambda y: F.xxhash64(x["i"], x["part"], y["i"], y["part"])
+                F.slice("own", n + 2, F.size("own")),
+                lambda y: F.struct(
+                    F.xxhash64(x["i"], x["part"], y["i"], y["part"]).alias("key"),
+                    (y["i"] - x["i"]).isin(1, COLLECTIONS - 1).alias("ring"),
+                ),
             ),
         )
     )
-    met = keep(own.select("rep", F.explode(keys).alias("key")), "near-keys")
-    busy = met.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi")
+    met = keep(own.select("rep", F.explode(keys).alias("k")).select("rep", "k.*"), "near-keys")
+    first = F.struct(F.xxhash64("rep", "key", F.lit(1)), F.col("rep").alias("rep"))
+    busy = (
+        met.groupBy("key")
+        .agg(
+            F.min("rep").alias("lo"),
+            F.max("rep").alias("hi"),
+            F.min(first)["rep"].alias("first"),
+        )
+        .where("lo <> hi")
+        .drop("lo", "hi")
+    )
     return keep(met.join(busy, "key"), "near-buckets")
 
 
@@ -203,12 +224,166 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     return met.select("a", "b", "set_a", "set_b").mapInArrow(compare, f"a {key}, b {key}").distinct()
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def _could_link(overlap: Column, size_a: Column, size_b: Column) -> Column:
+    """Whether sets of these sizes with at most this overlap can reach the similarity."""
+    return overlap * (100 + PERCENT) >= PERCENT * (size_a + size_b)
+
+
+def _open_rows(met: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of the buckets that span several components, with their component."""
+    known = labels.withColumnRenamed("node", "rep")
+    labelled = met.select("key", "rep", *columns).join(known, "rep", "left").withColumn(
+        "label", F.coalesce("label", "rep")
+    )
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+    return keep(labelled.join(mixed.select("key"), "key"), "near-open")
+
+
+def _with_support(rows: DataFrame, docs: DataFrame, reps: DataFrame, several: DataFrame, width: int) -> DataFrame:
+    """The open rows that can still have a link in their bucket, with set size n and support.
+
+    A document's support is how many of its shingles another open document has as well. No
+    overlap is larger, so a document that differs from all others in too many places is out
+    before any pair with it is formed. Exact: nothing that could link goes.
+    """
+
+    def explode_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, texts in chunks(batch.column(1)):
+                sets, bounds = shingle_sets(texts, width)
+                owner = np.repeat(np.arange(lo, hi), np.diff(bounds))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(owner)), pa.array(_signed(sets))], ["rep", "shingle"]
+                )
+
+    ids = rows.select("rep").distinct()
+    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(ids, "rep", "left_semi")
+    key = texts.schema["rep"].dataType.simpleString()
+    alone = (
+        texts.mapInArrow(explode_sets, f"rep {key}, shingle long")
+        .groupBy("shingle").agg(F.count(F.lit(1)).alias("owners"), F.min("rep").alias("rep"))
+        .where("owners = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("alone"))
+        .join(several.select(F.col("doc_id").alias("rep")), "rep", "left_anti")
+    )
+    sized = reps.select("rep", F.col("n_shingles").alias("n")).join(ids, "rep", "left_semi").join(alone, "rep", "left")
+    able = rows.join(
+        sized.select("rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("support")), "rep"
+    )
+    least = able.groupBy("key").agg(F.min("n").alias("least"))
+    able = able.join(least, "key").where(_could_link(F.col("support"), F.col("n"), F.col("least")))
+    return keep(able.select("key", "rep", "n", "support"), "near-able")
+
+
+def _drawn(rows: DataFrame) -> DataFrame:
+    """Every row and one member of its bucket drawn by hash, where in different components."""
+    pick = F.struct(F.xxhash64("rep", "key", F.lit(2)), "rep", "label", "n", "support")
+    other = rows.groupBy("key").agg(F.min(pick).alias("o"))
+    met = rows.join(other, "key").where(
+        (F.col("label") != F.col("o.label"))
+        & _could_link(F.least("support", "o.support"), F.col("n"), F.col("o.n"))
+    )
+    return met.select(F.col("rep").alias("a"), F.col("o.rep").alias("b"))
+
+
+def _across(rows: DataFrame) -> DataFrame:
+    """All pairs across components in a bucket that can still link."""
+    other = rows.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rep", "label", "n", "support")])
+    met = rows.join(other, "key").where(
+        (F.col("rep") > F.col("rep_b"))
+        & (F.col("label") != F.col("label_b"))
+        & _could_link(F.least("support", "support_b"), F.col("n"), F.col("n_b"))
+    )
+    return met.select(F.col("rep").alias("a"), F.col("rep_b").alias("b"))
+
+
+def _split_by_size(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    sized = rows.join(sizes, "key")
+    return sized.where(F.col("members") <= SMALL_BUCKET), sized.where(F.col("members") > SMALL_BUCKET)
+
+
+def block_links(labels: np.ndarray, ids: list, sets: list[np.ndarray]) -> list[tuple]:
+    """One link (a, b) for every two labels among the documents that have any."""
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    start = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    column = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(flat))))
+    shared = np.diff(np.append(start, len(flat))) > 1
+    renumbered = np.cumsum(shared) - 1
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    inside = shared[column]
+    column, owner = renumbered[column[inside]], owner[inside]
+    for lo in range(0, int(shared.sum()), 4096):
+        here = (column >= lo) & (column < lo + 4096)
+        part = np.zeros((len(sets), 4096), dtype=np.float32)
+        part[owner[here], column[here] - lo] = 1
+        both += part @ part.T
+    size = np.array([len(x) for x in sets])
+    union = size[:, None] + size[None, :] - both
+    hit = (100 * both >= PERCENT * union) & (labels[:, None] < labels[None, :])
+    found = {}
+    for i, j in zip(*np.nonzero(hit), strict=True):
+        found.setdefault((labels[i], labels[j]), (max(ids[i], ids[j]), min(ids[i], ids[j])))
+    return list(found.values())
+
+
+def _linked_in_blocks(rows: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """Links across components among the members of large open buckets.
+
+    Documents that meet in such buckets form a group. A group is cut into blocks, every two
+    blocks are one task, and a task hands on links only, never pairs.
+    """
+    hub = rows.groupBy("key").agg(F.min("rep").alias("b"))
+    groups = component_labels(rows.join(hub, "key").select(F.col("rep").alias("a"), "b").distinct())
+    groups = groups.select(F.col("node").alias("rep"), F.col("label").alias("group"))
+    counts = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    placed = (
+        rows.select("rep", "label").distinct().join(groups, "rep").join(counts, "group")
+        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    )
+    texts = docs.select(F.col("doc_id").alias("rep"), "text")
+    key = texts.schema["rep"].dataType.simpleString()
+    columns = ["rep", "label", "group", "blocks", "block"]
+
+    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, texts in chunks(batch.column(len(columns))):
+                sets, bounds = shingle_sets(texts, width)
+                cells = [sets[bounds[i] : bounds[i + 1]].tobytes() for i in range(hi - lo)]
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(cells, pa.binary())], [*columns, "set"])
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids = table["rep"].to_pylist()
+        sets = [np.frombuffer(x, np.uint64) for x in table["set"].to_pylist()]
+        links = block_links(np.array(table["label"].to_pylist()), ids, sets)
+        kind = table.schema.field("rep").type
+        return pa.table({"a": pa.array([a for a, _ in links], kind), "b": pa.array([b for _, b in links], kind)})
+
+    with_sets = placed.join(texts, "rep").select(*columns, "text").mapInArrow(
+        to_sets, f"rep {key}, label {key}, group {key}, blocks int, block int, set binary"
+    )
+    sent = with_sets.select(
+        "rep", "label", "set", "group", "block",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
+    ).select(
+        "rep", "label", "set", "group", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")
+    )
+    return sent.groupBy("group", "lo", "hi").applyInArrow(compare, f"a {key}, b {key}").distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     signed = keep(signatures(docs, width), "near-signatures")
     able = signed.where("doc_id is not null and n_shingles > 0")
     same = ["fp_a", "fp_b", "n_shingles"]
-    classes = able.groupBy(*same).agg(F.min("doc_id").alias("rep"))
+    classes = keep(able.groupBy(*same).agg(F.min("doc_id").alias("rep")), "near-sets")
     member_of = keep(able.drop("sig").join(classes, same).select("doc_id", "rep"), "near-members")
     first = classes.withColumnRenamed("rep", "doc_id")
     reps = keep(
@@ -217,39 +392,27 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     )
     met = buckets(reps)
 
-    stars = met.select(F.col("rep").alias("a"), F.col("lo").alias("b")).union(
-        met.select(F.col("rep").alias("a"), F.col("hi").alias("b"))
-    )
-    ordered = lambda p: p.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    tried = keep(likely(ordered(stars), reps), "near-pairs")
     several = member_of.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("hi")).where("b <> hi")
-    links = keep(
-        confirmed(tried, docs, width).union(
-            member_of.join(several, "doc_id").select(F.col("rep").alias("a"), "b").where("a <> b")
-        ),
-        "near-links",
-    )
+    links = member_of.join(several, "doc_id").select(F.col("rep").alias("a"), "b").where("a <> b")
+    links = keep(links, "near-links")
+    tried = keep(likely(_ordered(met.where("ring").select(F.col("rep").alias("a"), F.col("first").alias("b"))), reps), "near-pairs")
+    links = links.union(keep(confirmed(tried, docs, width), "near-links"))
     labels = component_labels(links)
-
-    # Buckets that still span components: every pair across them that was not tried yet.
-    labelled = met.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("label", "rep").alias("label")
-    )
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-    open_rows = keep(labelled.join(mixed.select("key"), "key"), "near-open")
-    other = open_rows.select("key", F.col("rep").alias("b"), F.col("label").alias("other"))
-    across = (
-        open_rows.withColumnRenamed("rep", "a")
-        .join(other, "key")
-        .where("a > b and label <> other")
-        .select("a", "b")
-        .distinct()
-    )
-    untried = keep(likely(across.join(tried, ["a", "b"], "left_anti"), reps), "near-across")
-    if not untried.isEmpty():
-        more = keep(confirmed(untried, docs, width), "near-links")
-        if not more.isEmpty():
-            labels = component_labels(links.union(more))
+    able = _with_support(_open_rows(met, labels, []), docs, reps, several, width)
+    for step in (_drawn, _across):
+        rows = _open_rows(able, labels, ["n", "support"])
+        few, _ = _split_by_size(rows)
+        untried = _ordered(step(rows if step is _drawn else few)).join(tried, ["a", "b"], "left_anti")
+        untried = keep(likely(untried, reps), "near-pairs")
+        if not untried.isEmpty():
+            tried = tried.union(untried)
+            links = links.union(keep(confirmed(untried, docs, width), "near-links"))
+            labels = component_labels(links)
+    rows = _open_rows(able, labels, ["n", "support"])
+    _, many = _split_by_size(rows)
+    if not many.isEmpty():
+        links = links.union(keep(_linked_in_blocks(keep(many, "near-many"), docs, width), "near-links"))
+        labels = component_labels(links)
 
     least = keep(
         member_of.select("doc_id", "rep").distinct()
