@@ -24,13 +24,15 @@ from tidemark.llm import gru
 from tidemark.llm.bytesets import Texts, chunks, mix
 from tidemark.scratch import keep
 
-#: Words whose counts are broadcast.
+#: At most so many words have their counts broadcast.
 KNOWN_WORDS = 1 << 17
 #: A training sequence: steps, steps per truncated window, and one sequence for so many tokens.
 SEQUENCE, TRUNCATE, SEQUENCE_EVERY = 64, 32, 640
 BATCH, ROUNDS, LEAST_STEPS, RATE = 64, 3, 200, 0.02
 #: Sequences in a shard.
 SHARD = 4_000
+#: Tokens scored side by side.
+SIDE_BY_SIDE = 1 << 20
 #: The end token. No word hashes to it but by chance.
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
 _PIECE = 1024
@@ -90,6 +92,21 @@ def count_tokens(training: DataFrame) -> DataFrame:
     return counted.groupBy("token").agg(F.min("spelling").alias("spelling"), F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words from some frequency on, at most ``most`` of them.
+
+    The limit comes from a short histogram of frequencies, so nothing is sorted and no task
+    sends more than its share."""
+    step = F.floor(8 * F.log2(F.col("n"))).cast("int")
+    least, held = 1 << 30, 0
+    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):
+        held += r["count"]
+        if held > most:
+            break
+        least = r["step"]
+    return counts.where(step >= least)
+
+
 class Lexicon:
     """The broadcast words by sorted hash, their counts, and where the model puts them."""
 
@@ -106,6 +123,8 @@ class Lexicon:
         self.token, self.count = token[order], count[order]
         self.classes, self.members = classes[order].astype(np.int16), members[order].astype(np.int16)
         self.symbols = symbols[order].astype(np.int32)
+        self.log_plain = np.log10(np.maximum(self.count, 1))
+        self.log_count = np.log10(self.count + 0.5)
         self.member_count = np.zeros(gru.N_HEAD)
         self.member_count[: min(len(count), gru.N_HEAD)] = count[: gru.N_HEAD]
         # A table of first guesses by the leading bits saves most of the binary search.
@@ -232,7 +251,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     ).collect()
     n_all = sum(r["n"] for r in by_spelling)
     v_all = sum(r["v"] for r in by_spelling)
-    top = counts.orderBy(F.desc("n"), "token").limit(KNOWN_WORDS).toPandas()
+    top = most_frequent(counts, KNOWN_WORDS).toPandas().sort_values(["n", "token"], ascending=[False, True])
     lexicon = Lexicon(
         top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64), top["spelling"].to_numpy(np.int64)
     )
@@ -243,8 +262,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     for r in by_spelling:
         rest[r["spelling"]], once[r["spelling"]] = r["n"], max(r["once"], 1)
     head = top.iloc[: gru.N_HEAD] if len(top) else top
-    ranked = head.sort_values(["n"], ascending=False, kind="stable")
-    np.subtract.at(rest, ranked["spelling"].to_numpy(np.int64), ranked["n"].to_numpy(np.float64))
+    np.subtract.at(rest, head["spelling"].to_numpy(np.int64), head["n"].to_numpy(np.float64))
     once = np.maximum(once, 1.0)
     member_count = lexicon.member_count.reshape(gru.HEAD_CLASSES, gru.MEMBERS)
     class_count = np.concatenate([member_count.sum(1), rest + once])
@@ -256,45 +274,53 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, p = shared.value, gru.unpack(model.value)
+
+        def scored(ids: pa.Array, parts: list) -> pa.RecordBatch:
+            h, s = (np.concatenate([x[k] for x in parts]) for k in (0, 1))
+            bounds = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(x[2]) for x in parts]))])
+            found, classes, members, symbols = words.place(h, s)
+            n = len(ids)
+            doc = np.repeat(np.arange(n), np.diff(bounds))
+            net = gru.log_likelihoods(p, shifted(symbols, bounds), classes, members, bounds) / np.log(10)
+            known = found >= 0
+            base = np.bincount(doc[known], weights=words.log_count[found[known]], minlength=n)
+            outside = np.flatnonzero(classes >= gru.HEAD_CLASSES)
+            share = -log_rest[classes[outside] - gru.HEAD_CLASSES]
+            both = known[outside]
+            share[both] += words.log_plain[found[outside[both]]]
+            net += np.bincount(doc[outside], weights=share, minlength=n)
+            rare = np.flatnonzero(~known)
+            order = np.lexsort((h[rare], doc[rare]))
+            r_doc, r_key, r_class = doc[rare][order], h[rare][order], s[rare][order]
+            first = np.ones(len(order), dtype=bool)
+            first[1:] = (r_doc[1:] != r_doc[:-1]) | (r_key[1:] != r_key[:-1])
+            at = np.flatnonzero(first)
+            times = np.diff(np.append(at, len(order)))
+            edge = np.searchsorted(r_doc[at], np.arange(n + 1)).astype(np.int32)
+            cells = pa.StructArray.from_arrays(
+                [pa.array(r_key[at].view(np.int64)), pa.array(times.astype(np.int32)), pa.array(r_class[at])],
+                ["token", "times", "spelling"],
+            )
+            return pa.RecordBatch.from_arrays(
+                [
+                    ids,
+                    pa.array(np.diff(bounds)),
+                    pa.array(np.bincount(doc[known], minlength=n)),
+                    pa.array(base),
+                    pa.array(net),
+                    pa.ListArray.from_arrays(pa.array(edge), cells),
+                ],
+                ["doc_id", "n_tokens", "n_top", "base", "net", "rare"],
+            )
+
         for batch in batches:
-            for lo, hi, texts in chunks(batch.column(1)):
-                h, s, bounds = tokens(texts)
-                found, classes, members, symbols = words.place(h, s)
-                n = hi - lo
-                doc = np.repeat(np.arange(n), np.diff(bounds))
-                net = gru.log_likelihoods(p, shifted(symbols, bounds), classes, members, bounds) / np.log(10)
-                known = found >= 0
-                count = words.count[found[known]] if known.any() else np.zeros(0)
-                base = np.bincount(doc[known], weights=np.log10(count + 0.5), minlength=n)
-                outside = classes >= gru.HEAD_CLASSES
-                share = np.zeros(len(h))
-                share[outside] = -log_rest[classes[outside] - gru.HEAD_CLASSES]
-                both = known & outside
-                share[both] += np.log10(words.count[found[both]])
-                net += np.bincount(doc, weights=share, minlength=n)
-                rare = np.flatnonzero(~known)
-                key, order = h[rare], np.lexsort((h[rare], doc[rare]))
-                r_doc, r_key, r_class = doc[rare][order], key[order], s[rare][order]
-                first = np.ones(len(order), dtype=bool)
-                first[1:] = (r_doc[1:] != r_doc[:-1]) | (r_key[1:] != r_key[:-1])
-                at = np.flatnonzero(first)
-                times = np.diff(np.append(at, len(order)))
-                edge = np.searchsorted(r_doc[at], np.arange(n + 1)).astype(np.int32)
-                cells = pa.StructArray.from_arrays(
-                    [pa.array(r_key[at].view(np.int64)), pa.array(times.astype(np.int32)), pa.array(r_class[at])],
-                    ["token", "times", "spelling"],
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(lo, n),
-                        pa.array(np.diff(bounds)),
-                        pa.array(np.bincount(doc[known], minlength=n)),
-                        pa.array(base),
-                        pa.array(net),
-                        pa.ListArray.from_arrays(pa.array(edge), cells),
-                    ],
-                    ["doc_id", "n_tokens", "n_top", "base", "net", "rare"],
-                )
+            parts, held, since = [], 0, 0
+            for _, hi, texts in chunks(batch.column(1)):
+                parts.append(tokens(texts))
+                held += len(parts[-1][0])
+                if held >= SIDE_BY_SIDE or hi == batch.num_rows:
+                    yield scored(batch.column(0).slice(since, hi - since), parts)
+                    parts, held, since = [], 0, hi
 
     source = docs.select("doc_id", "text")
     key = source.schema["doc_id"].dataType.simpleString()
