@@ -15,14 +15,17 @@ def component_labels(links: DataFrame) -> DataFrame:
     shortens by a power each time. Rounds end when no label changes.
     """
     both = keep(
-        links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links"
+        links.select(F.col("a").alias("node"), F.col("b").alias("neighbour"))
+        .union(links.select("b", "a"))
+        .where("node <> neighbour")
+        .distinct(),
+        "links",
     )
-    labels = keep(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels")
-    labels = labels.withColumnRenamed("a", "node")
+    labels = keep(both.groupBy("node").agg(F.least(F.col("node"), F.min("neighbour")).alias("label")), "labels")
     while True:
         near = (
-            both.join(labels.select(F.col("node").alias("b"), "label"), "b")
-            .groupBy(F.col("a").alias("node"))
+            both.join(labels.select(F.col("node").alias("neighbour"), "label"), "neighbour")
+            .groupBy("node")
             .agg(F.min("label").alias("near"))
         )
         met = labels.join(near, "node").select(
@@ -35,3 +38,21 @@ def component_labels(links: DataFrame) -> DataFrame:
         labels = after.select("node", "label")
         if after.where("label <> old").isEmpty():
             return labels
+
+
+def merged_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after adding ``links`` (a, b): only links between components are followed."""
+    of = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+    placed = keep(
+        links.select("a", "b").distinct().join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+            "a", "b", F.coalesce("label_a", "a").alias("label_a"), F.coalesce("label_b", "b").alias("label_b")
+        ),
+        "new-links",
+    )
+    between = placed.where("label_a <> label_b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    moves = component_labels(between).select(F.col("node").alias("label"), F.col("label").alias("moved"))
+    fresh = placed.select(F.col("a").alias("node"), F.col("label_a").alias("label")).union(
+        placed.select("b", "label_b")
+    )
+    nodes = labels.union(fresh).distinct()
+    return keep(nodes.join(moves, "label", "left").select("node", F.coalesce("moved", "label").alias("label")), "labels")

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bytesets import Texts, chunks, mix, windows
-from tidemark.llm.components import component_labels
+from tidemark.llm.components import component_labels, merged_labels
 from tidemark.scratch import keep
 
 COLLECTIONS, PER_COLLECTION = 28, 4
@@ -393,11 +393,9 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     met = buckets(reps)
 
     several = member_of.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("hi")).where("b <> hi")
-    links = member_of.join(several, "doc_id").select(F.col("rep").alias("a"), "b").where("a <> b")
-    links = keep(links, "near-links")
+    own = member_of.join(several, "doc_id").select(F.col("rep").alias("a"), "b").where("a <> b")
     tried = keep(likely(_ordered(met.where("ring").select(F.col("rep").alias("a"), F.col("first").alias("b"))), reps), "near-pairs")
-    links = links.union(keep(confirmed(tried, docs, width), "near-links"))
-    labels = component_labels(links)
+    labels = component_labels(keep(confirmed(tried, docs, width).union(own), "near-links"))
     able = _with_support(_open_rows(met, labels, []), docs, reps, several, width)
     for step in (_drawn, _across):
         rows = _open_rows(able, labels, ["n", "support"])
@@ -406,13 +404,11 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
         untried = keep(likely(untried, reps), "near-pairs")
         if not untried.isEmpty():
             tried = tried.union(untried)
-            links = links.union(keep(confirmed(untried, docs, width), "near-links"))
-            labels = component_labels(links)
+            labels = merged_labels(labels, keep(confirmed(untried, docs, width), "near-links"))
     rows = _open_rows(able, labels, ["n", "support"])
     _, many = _split_by_size(rows)
     if not many.isEmpty():
-        links = links.union(keep(_linked_in_blocks(keep(many, "near-many"), docs, width), "near-links"))
-        labels = component_labels(links)
+        labels = merged_labels(labels, keep(_linked_in_blocks(keep(many, "near-many"), docs, width), "near-links"))
 
     least = keep(
         member_of.select("doc_id", "rep").distinct()
