@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 
 def parse_number(column: Column | str) -> Column:
-    """Text or number to double; blank, unparseable and NaN become null."""
+    """Text or number to double; blank, unparseable, NaN and infinite become null."""
     text = F.trim(_col(column).cast("string"))
     # A trailing type letter is Java syntax ("1.5d"), not a number in a data file.
     java_literal = text.rlike("^[0-9.eE+-]+[fFdD]$")
     number = F.when(~java_literal, text).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def round_half_up(value: Column | str, digits: int) -> Column:

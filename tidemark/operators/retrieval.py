@@ -164,9 +164,17 @@ def _part(key: str, parts: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 
 
-def _unit_rows(vectors: pa.Array) -> np.ndarray:
-    """Vectors of equal length as rows of length one (a zero vector stays zero)."""
-    rows = vectors.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(vectors), -1)
+def _unit_rows(vectors: pa.Array, width: int | None = None) -> np.ndarray:
+    """Vectors as rows of length one. A zero vector stays zero; a missing one, one of another
+    width or with a missing entry counts as zero."""
+    length = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False)
+    if width is None:
+        width = int(length.max()) if len(length) else 0
+    rows, fits = np.zeros((len(vectors), width)), length == width
+    if width and fits.any():
+        flat = vectors.filter(pa.array(fits)).flatten().to_numpy(zero_copy_only=False)
+        rows[fits] = flat.astype(float).reshape(-1, width)
+        rows[~np.isfinite(rows).all(axis=1)] = 0.0
     norm = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
     return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
 
@@ -184,7 +192,7 @@ def _batch_top(
 ) -> pa.RecordBatch:
     """The k best documents of one batch for each question (and source)."""
     batch = batch.take(pc.sort_indices(batch["doc_id"]))  # ties go to the smaller doc_id
-    dense = _rounded(_unit_rows(batch["embedding"]) @ matrix.T)
+    dense = _rounded(_unit_rows(batch["embedding"], matrix.shape[1]) @ matrix.T)
     lexical = np.zeros_like(dense)
     if "overlaps" in batch.schema.names:
         rows = pc.list_parent_indices(batch["overlaps"]).to_numpy()

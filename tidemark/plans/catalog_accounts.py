@@ -21,13 +21,13 @@ from tidemark.plans import frames as fr
 from tidemark.plans.frames import Frames
 from tidemark.plans.oracle_views import engineered, mean, number, repaired, rnd, total
 from tidemark.plans.registry import register
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.scratch import scratch_root
 from tidemark.sources import files, tables
 
 
 def scratch(frames: Frames) -> str:
-    """A new folder next to the checkpoints, which every executor can reach."""
-    return f"{ensure_checkpoint_dir(frames.spark)}/tidemark-{uuid.uuid4().hex}"
+    """A new folder in the shared scratch of this application."""
+    return f"{scratch_root(frames.spark)}/tables-{uuid.uuid4().hex}"
 
 
 # ---------------------------------------------------------------- sources and sinks
@@ -209,23 +209,44 @@ def _(f: Frames) -> DataFrame:
     return cleaning.training_target(f.views.raw_accounts).select("customerID", "Churn")
 
 
+_INPUTS = {
+    "numeric": """
+    tenure MonthlyCharges TotalCharges SeniorCitizen avg_charge_per_month charge_drift
+    charge_drift_pct services_count has_premium_support is_new_customer is_month_to_month
+    is_manual_payment
+    """,
+    "categorical": """
+    gender Partner Dependents PhoneService MultipleLines InternetService OnlineSecurity
+    OnlineBackup DeviceProtection TechSupport StreamingTV StreamingMovies Contract
+    PaperlessBilling PaymentMethod tenure_bucket
+    """,
+}
+
+
 @register(
     "c11_p8_model_inputs",
-    """SELECT * FROM (VALUES ('numeric', 'tenure'), ('numeric', 'MonthlyCharges'), ('numeric', 'TotalCharges'),
-         ('numeric', 'SeniorCitizen'), ('numeric', 'avg_charge_per_month'), ('numeric', 'charge_drift'),
-         ('numeric', 'charge_drift_pct'), ('numeric', 'services_count'), ('numeric', 'has_premium_support'),
-         ('numeric', 'is_new_customer'), ('numeric', 'is_month_to_month'), ('numeric', 'is_manual_payment'),
-         ('categorical', 'gender'), ('categorical', 'Partner'), ('categorical', 'Dependents'),
-         ('categorical', 'PhoneService'), ('categorical', 'MultipleLines'), ('categorical', 'InternetService'),
-         ('categorical', 'OnlineSecurity'), ('categorical', 'OnlineBackup'), ('categorical', 'DeviceProtection'),
-         ('categorical', 'TechSupport'), ('categorical', 'StreamingTV'), ('categorical', 'StreamingMovies'),
-         ('categorical', 'Contract'), ('categorical', 'PaperlessBilling'), ('categorical', 'PaymentMethod'),
-         ('categorical', 'tenure_bucket')) t(kind, feature)""",
+    " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, '{c}' AS feature, count({c}) AS filled FROM {{features}}"
+        for kind, names in _INPUTS.items()
+        for c in names.split()
+    ),
 )
 def _(f: Frames) -> DataFrame:
     numeric, categorical = cleaning.feature_types(f.features)
-    rows = [("numeric", c) for c in numeric] + [("categorical", c) for c in categorical]
-    return f.spark.createDataFrame(rows, "kind string, feature string")
+    measures = [(kind, c) for kind, names in (("numeric", numeric), ("categorical", categorical)) for c in names]
+    counted = f.features.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(kind).alias("kind"),
+                    F.lit(c).alias("feature"),
+                    F.count(c).alias("filled"),
+                )
+                for kind, c in measures
+            ]
+        ).alias("inputs")
+    )
+    return counted.select(F.inline("inputs"))
 
 
 @register(

@@ -58,10 +58,10 @@ def _(f: Frames) -> DataFrame:
 
 @register(
     "t4_worst_reviews",
-    "SELECT review_id, sentiment_score FROM {sentiment} ORDER BY sentiment_score, review_id LIMIT 3000",
+    "SELECT review_id, sentiment_score FROM {sentiment} ORDER BY sentiment_score, review_id LIMIT 300",
 )
 def _(f: Frames) -> DataFrame:
-    return evidence.select_reviews(f.sentiment).select("review_id", "sentiment_score")
+    return evidence.select_reviews(f.sentiment, 300).select("review_id", "sentiment_score")
 
 
 @register(
@@ -162,7 +162,7 @@ _TOPIC_TEXT = """SELECT 'topic::' || CAST(topic_id AS VARCHAR) AS doc_id,
         'topic_summary' AS source FROM {topic_summary}"""
 _REVIEW_TEXT = """SELECT 'review::' || review_id AS doc_id,
         '[' || channel || ', rating ' || CAST(rating AS VARCHAR) || '/5] ' || review_text AS text, 'review' AS source
-    FROM (SELECT * FROM {sentiment} ORDER BY sentiment_score, review_id LIMIT 3000) worst"""
+    FROM {sentiment}"""
 
 
 def _shown(documents: DataFrame) -> DataFrame:

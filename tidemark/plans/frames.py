@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import exact_avg
 from tidemark.operators import cleaning, decisions, explain, feedback, features, kpi, retrieval, tfidf
 from tidemark.plans.views import Views
+from tidemark.session import ship_package
 
 # The benchmark texts are invented words, so their lexicon and stop words are parameters.
 TEXT_POSITIVE = {"that": 1.0, "with": 1.2, "thatin": 1.6, "la": 0.7, "no": 0.5}
@@ -46,6 +47,7 @@ class Frames:
     """One scale folder, from raw views to decisions and retrieval inputs."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
+        ship_package(spark)
         self.spark = spark
         self.views = Views(spark, folder)
 

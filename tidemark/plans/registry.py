@@ -50,7 +50,7 @@ def oracle_text(body: str) -> str:
         return re.sub(r"\{([a-z_]+)\}", replace, sql)
 
     final = resolve(body)
-    views = ",\n".join(f"{name} AS (\n{sql}\n)" for name, sql in defined.items())
+    views = ",\n".join(f"{name} AS MATERIALIZED (\n{sql}\n)" for name, sql in defined.items())
     if not views:
         return final
     own = re.match(r"\s*WITH\s", final)

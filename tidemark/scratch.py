@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import ship_package
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder for intermediate tables of this application.
@@ -29,6 +31,7 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     folder is removed when the session ends.
     """
     spark = df.sparkSession
+    ship_package(spark)
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

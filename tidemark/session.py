@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -25,6 +27,21 @@ def local_session(app: str = "tidemark", cores: str = "8", partitions: int = 8)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers once per application.
+
+    Functions that run in workers refer to its modules, and a worker has only what the
+    session sends it."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tidemark-package-")  # read by the driver alone
+    shutil.copytree(package, f"{folder}/in/tidemark", ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(f"{folder}/tidemark", "zip", f"{folder}/in"))
+    context._tidemark_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the folder named by ``spark.checkpoint.dir``.
 
