@@ -83,6 +83,16 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
+def _packed(minhashes: np.ndarray) -> np.ndarray:
+    """One long per collection: 16 bits of each of its four minhashes.
+
+    Equal minhashes stay equal; unequal ones look equal once in 65,536, which only adds
+    candidates.
+    """
+    short = np.ascontiguousarray((minhashes >> np.uint64(16)).astype(np.uint16))
+    return short.view(np.int64)
+
+
 def _lists(values: np.ndarray, kind: pa.DataType, filled: np.ndarray) -> pa.ListArray:
     """A list column with one row of ``values`` for each filled entry, else an empty list."""
     offsets = np.concatenate([[0], np.cumsum(np.where(filled, values.shape[1], 0))]).astype(np.int32)
@@ -90,7 +100,7 @@ def _lists(values: np.ndarray, kind: pa.DataType, filled: np.ndarray) -> pa.List
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """Per row: doc_id, n_shingles, a fingerprint of the set, minhashes."""
+    """Per row: doc_id, n_shingles, a fingerprint of the set, its collections of minhashes."""
     source = docs.select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,21 +115,20 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                     fp[full, 0] = np.add.reduceat(mix(sets), starts)
                     fp[full, 1] = np.bitwise_xor.reduceat(mix(sets ^ np.uint64(0x5851F42D4C957F2D)), starts)
                 sig = _signatures(sets, starts) if len(starts) else np.zeros((0, N_HASHES), np.uint64)
-                short = (sig >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
                         pa.array(size, pa.int64()),
                         pa.array(_signed(fp[:, 0])),
                         pa.array(_signed(fp[:, 1])),
-                        _lists(short, pa.int32(), full),
+                        _lists(_packed(sig), pa.int64(), full),
                     ],
                     ["doc_id", "n_shingles", "fp_a", "fp_b", "sig"],
                 )
 
     key = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(
-        run, f"doc_id {key}, n_shingles long, fp_a long, fp_b long, sig array<int>"
+        run, f"doc_id {key}, n_shingles long, fp_a long, fp_b long, sig array<long>"
     )
 
 
@@ -130,11 +139,7 @@ def buckets(reps: DataFrame) -> DataFrame:
     Only collections shared with another representative can be part of such a key, so the
     pairs of collections are formed from those alone.
     """
-    parts = F.transform(
-        F.sequence(F.lit(0), F.lit(COLLECTIONS - 1)),
-        lambda i: F.xxhash64(i, F.slice("sig", i * PER_COLLECTION + 1, PER_COLLECTION)),
-    )
-    each = reps.select("rep", F.posexplode(parts).alias("i", "part"))
+    each = reps.select("rep", F.posexplode("sig").alias("i", "part"))
     shared = (
         each.groupBy("i", "part")
         .agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
@@ -174,13 +179,18 @@ def buckets(reps: DataFrame) -> DataFrame:
     return keep(met.join(busy, "key"), "near-buckets")
 
 
+def _agreeing(x: Column, y: Column) -> Column:
+    """How many of the four minhashes of a collection agree."""
+    differ = x.bitwiseXOR(y)
+    lanes = [F.shiftrightunsigned(differ, 16 * k).bitwiseAND(F.lit(0xFFFF)) for k in range(PER_COLLECTION)]
+    return sum(((lane == 0).cast("int") for lane in lanes[1:]), (lanes[0] == 0).cast("int"))
+
+
 def likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs whose sizes and minhashes allow the similarity."""
     a = reps.select(F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sig").alias("s_a"))
     b = reps.select(F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sig").alias("s_b"))
-    agree = F.aggregate(
-        F.zip_with("s_a", "s_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x
-    )
+    agree = F.aggregate(F.zip_with("s_a", "s_b", _agreeing), F.lit(0), lambda n, x: n + x)
     sized = F.least("n_a", "n_b") * 100 >= PERCENT * F.greatest("n_a", "n_b")
     return pairs.join(a, "a").join(b, "b").where(sized & (agree >= LEAST_AGREEMENT)).select("a", "b")
 
