@@ -132,6 +132,10 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     )
 
 
+def _table_key(i: Column, part_i: Column, j: Column, part_j: Column) -> Column:
+    return F.xxhash64(i, part_i, j, part_j)
+
+
 def buckets(reps: DataFrame) -> DataFrame:
     """(key, rep) for every table in which at least two class representatives meet, with one
     of the bucket's members drawn by hash, and whether the table's collections are neighbours.
@@ -158,7 +162,7 @@ def buckets(reps: DataFrame) -> DataFrame:
             lambda x, n: F.transform(
                 F.slice("own", n + 2, F.size("own")),
                 lambda y: F.struct(
-                    F.xxhash64(x["i"], x["part"], y["i"], y["part"]).alias("key"),
+                    _table_key(x["i"], x["part"], y["i"], y["part"]).alias("key"),
                     (y["i"] - x["i"]).isin(1, COLLECTIONS - 1).alias("ring"),
                 ),
             ),
@@ -299,13 +303,23 @@ def _drawn(rows: DataFrame) -> DataFrame:
     return met.select(F.col("rep").alias("a"), F.col("o.rep").alias("b"))
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """All pairs across components in a bucket that can still link."""
-    other = rows.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rep", "label", "n", "support")])
-    met = rows.join(other, "key").where(
+def _across(rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """All pairs across components in a bucket that can still link, each one once.
+
+    A pair shares as many buckets as it has pairs of equal collections. It is formed in the
+    bucket of its first two; if that one is large, the blocks compare it.
+    """
+    held = rows.select("key", "rep", "label", "n", "support").join(reps.select("rep", "sig"), "rep")
+    other = held.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rep", "label", "n", "support", "sig")])
+    equal = F.filter(
+        F.sequence(F.lit(0), F.lit(COLLECTIONS - 1)), lambda i: F.get("sig", i) == F.get("sig_b", i)
+    )
+    i, j = F.get(equal, F.lit(0)), F.get(equal, F.lit(1))
+    met = held.join(other, "key").where(
         (F.col("rep") > F.col("rep_b"))
         & (F.col("label") != F.col("label_b"))
         & _could_link(F.least("support", "support_b"), F.col("n"), F.col("n_b"))
+        & (F.col("key") == _table_key(i, F.get("sig", i), j, F.get("sig", j)))
     )
     return met.select(F.col("rep").alias("a"), F.col("rep_b").alias("b"))
 
@@ -407,10 +421,10 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     tried = keep(likely(_ordered(met.where("ring").select(F.col("rep").alias("a"), F.col("first").alias("b"))), reps), "near-pairs")
     labels = component_labels(keep(confirmed(tried, docs, width).union(own), "near-links"))
     able = _with_support(_open_rows(met, labels, []), docs, reps, several, width)
-    for step in (_drawn, _across):
+    for drawn in (True, False):
         rows = _open_rows(able, labels, ["n", "support"])
-        few, _ = _split_by_size(rows)
-        untried = _ordered(step(rows if step is _drawn else few)).join(tried, ["a", "b"], "left_anti")
+        pairs = _drawn(rows) if drawn else _across(_split_by_size(rows)[0], reps)
+        untried = _ordered(pairs).join(tried, ["a", "b"], "left_anti")
         untried = keep(likely(untried, reps), "near-pairs")
         if not untried.isEmpty():
             tried = tried.union(untried)
