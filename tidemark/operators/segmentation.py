@@ -47,9 +47,13 @@ def segment(
     k_range: Sequence[int] = K_RANGE,
     n_init: int = 10,
     seed: int = 42,
-    sample: int = SILHOUETTE_SAMPLE,
+    sample: int | None = None,
 ) -> Segmentation:
-    """Cluster the standardised inputs for every k and keep the best silhouette."""
+    """Cluster the standardised inputs for every k and keep the best silhouette.
+
+    The silhouette is the one over all rows, of squared distances; with ``sample`` it is
+    the Euclidean one over so many rows.
+    """
     spark = features.sparkSession
     ensure_checkpoint_dir(spark)
     inputs = [c for c in inputs if c in features.columns]
@@ -72,7 +76,10 @@ def segment(
         spread = parts.select(
             columns.id, "segment_id", *[F.col("scaled_values")[i].alias(n) for i, n in enumerate(names)]
         )
-        width = mean_silhouette(spread, names, "segment_id", columns.id, sample, seed)
+        if sample is None:
+            width = squared_silhouette(labelled)
+        else:
+            width = mean_silhouette(spread, names, "segment_id", columns.id, sample, seed)
         quality = cluster_quality(spread, names, "segment_id").first()
         rows.append((k, width, quality["davies_bouldin"], quality["calinski_harabasz"]))
         if best is None or width > best[1]:

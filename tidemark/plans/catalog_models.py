@@ -92,10 +92,9 @@ def _fitted(f: Frames, calibration: str | None = "sigmoid") -> modelling.ChurnMo
     encoding = modelling.fit_encoding(train, numeric, categorical)
     base = modelling.fit_model(encoding.encode(train), modelling.logistic_regression)
     parts = modelling.calibrate(train, modelling.logistic_regression, encoding, calibration, folds=3)
-    sample = encoding.encode(explain.background_sample(train, "customerID"))
     return modelling.ChurnModel(
         "logistic_regression", encoding, base, parts, threshold=0.3,
-        background=modelling.background_means(sample, encoding.names),
+        background=modelling.background_means(encoding.encode(train), encoding.names),
         medians=cleaning.exact_median(train, ["tenure", "MonthlyCharges", "TotalCharges", "SeniorCitizen"]),
     )
 
@@ -163,16 +162,17 @@ def _(f: Frames) -> DataFrame:
     return explain.background_sample(f.features, "customerID").select("customerID", "tenure", "MonthlyCharges")
 
 
-@register("r3_t10_driver_evidence")
-def _(f: Frames) -> DataFrame:
+def _driver_documents(f: Frames) -> DataFrame:
+    """Evidence on what drives the linear model, from the contributions of all customers."""
     model = _fitted(f, None)
     auc = modelling.area_under_roc(model.score(f.full_features.withColumn("label", F.col("Churn"))))
-    sample = explain.background_sample(f.full_features, "customerID", 500)
-    importance = explain.global_importance(training_run.explained_accounts(model, sample), 10)
-    ranked = evidence.ranked_importance(importance)
-    return evidence.driver_documents(ranked, model.name, auc).select(
-        "doc_id", "text", "source"
-    )
+    importance = explain.global_importance(training_run.explained_accounts(model, f.full_features), 10)
+    return evidence.driver_documents(evidence.ranked_importance(importance), model.name, auc)
+
+
+@register("r3_t10_driver_evidence")
+def _(f: Frames) -> DataFrame:
+    return _driver_documents(f).select("doc_id", "text", "source")
 
 
 @register("m16_m17_segmentation")
@@ -215,6 +215,7 @@ def _(f: Frames) -> DataFrame:
     corpus = evidence.build_corpus(
         [
             evidence.kpi_documents(f.features),
+            _driver_documents(f),
             evidence.topic_documents(f.topic_summary),
             evidence.review_documents(f.sentiment),
         ]
