@@ -30,6 +30,9 @@ SCORE_DIGITS = 10
 BROADCAST_VECTOR_BYTES = 32 << 20
 QUESTIONS_PER_BLOCK = 2_048
 DOCUMENTS_PER_CELL = 8_192
+# Scores exist for one tile at a time, whatever the batch and the number of questions: some
+# seven arrays of 16 MB.
+TILE_DOCUMENTS, TILE_QUESTIONS = 2_048, 1_024
 
 
 def lexical_scores(postings: DataFrame, question_terms: DataFrame) -> DataFrame:
@@ -118,7 +121,7 @@ def _meet_all(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield _batch_top(batch, ids, matrix, weights, k, per_source)
+                yield from _tile_tops(batch, ids, matrix, weights, k, per_source)
 
     return _with_overlaps(docs, lexical, ["doc_id"]).mapInArrow(score, schema)
 
@@ -145,7 +148,7 @@ def _meet_in_blocks(
         ids = questions["question_id"].combine_chunks()
         matrix = _unit_rows(questions["embedding"].combine_chunks())
         rows = batch.combine_chunks().to_batches()[0]
-        return pa.Table.from_batches([_batch_top(rows, ids, matrix, weights, k, per_source)])
+        return pa.Table.from_batches(_tile_tops(rows, ids, matrix, weights, k, per_source))
 
     keys = ["_block", "_cell"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, schema)
@@ -186,39 +189,56 @@ def _rounded(values: np.ndarray, digits: int = PART_DIGITS) -> np.ndarray:
     return np.sign(values) * np.floor((whole + steps // 2) / steps) / 10.0**digits
 
 
-def _batch_top(
+def _tile_tops(
     batch: pa.RecordBatch, ids: pa.Array, matrix: np.ndarray, weights: tuple[float, float], k: int,
     per_source: bool,
-) -> pa.RecordBatch:
-    """The k best documents of one batch for each question (and source)."""
+) -> Iterator[pa.RecordBatch]:
+    """The k best documents of every tile of documents for each question (and source)."""
     batch = batch.take(pc.sort_indices(batch["doc_id"]))  # ties go to the smaller doc_id
-    dense = _rounded(_unit_rows(batch["embedding"], matrix.shape[1]) @ matrix.T)
-    lexical = np.zeros_like(dense)
-    if "overlaps" in batch.schema.names:
-        rows = pc.list_parent_indices(batch["overlaps"]).to_numpy()
-        at = pc.index_in(batch["overlap_ids"].flatten(), value_set=ids)
-        known = pc.is_valid(at).to_numpy(zero_copy_only=False)
-        values = batch["overlaps"].flatten().to_numpy(zero_copy_only=False)
-        lexical[rows[known], at.drop_null().to_numpy()] = values[known]
-    score = _rounded(weights[0] * dense + weights[1] * lexical, SCORE_DIGITS)
-    if per_source:
-        codes = batch["source"].dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
-        groups = [np.flatnonzero(codes == code) for code in np.unique(codes)]
-    else:
-        groups = [np.arange(batch.num_rows)]
-    places, columns = [], []
-    for rows in groups:
-        best = np.argsort(-score[rows], axis=0, kind="stable")[:k]
-        places.append(rows[best].ravel())
-        columns.append(np.tile(np.arange(len(ids)), len(best)))
-    row, column = np.concatenate(places), np.concatenate(columns)
-    return pa.RecordBatch.from_arrays(
-        [
-            ids.take(pa.array(column)), batch["doc_id"].take(pa.array(row)), batch["source"].take(pa.array(row)),
-            pa.array(dense[row, column]), pa.array(lexical[row, column]), pa.array(score[row, column]),
-        ],
-        names=["question_id", "doc_id", "source", "dense", "lexical", "score"],
-    )
+    for lo in range(0, batch.num_rows, TILE_DOCUMENTS):
+        part = batch.slice(lo, TILE_DOCUMENTS)
+        vectors = _unit_rows(part["embedding"], matrix.shape[1])
+        row, asked, overlap = _overlaps(part, ids)
+        groups = _row_groups(part, per_source)
+        for first in range(0, len(ids), TILE_QUESTIONS):
+            dense = _rounded(vectors @ matrix[first : first + TILE_QUESTIONS].T)
+            lexical = np.zeros_like(dense)
+            here = (asked >= first) & (asked < first + TILE_QUESTIONS)
+            lexical[row[here], asked[here] - first] = overlap[here]
+            score = _rounded(weights[0] * dense + weights[1] * lexical, SCORE_DIGITS)
+            best = [rows[np.argsort(-score[rows], axis=0, kind="stable")[:k]] for rows in groups]
+            place = np.concatenate([b.ravel() for b in best])
+            column = np.concatenate([np.tile(np.arange(score.shape[1]), len(b)) for b in best])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    ids.take(pa.array(column + first)),
+                    part["doc_id"].take(pa.array(place)),
+                    part["source"].take(pa.array(place)),
+                    pa.array(dense[place, column]),
+                    pa.array(lexical[place, column]),
+                    pa.array(score[place, column]),
+                ],
+                names=["question_id", "doc_id", "source", "dense", "lexical", "score"],
+            )
+
+
+def _overlaps(part: pa.RecordBatch, ids: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place of the question and overlap of every entry in the documents' lists."""
+    if "overlaps" not in part.schema.names:
+        none = np.zeros(0, dtype=int)
+        return none, none, np.zeros(0)
+    at = pc.index_in(part["overlap_ids"].flatten(), value_set=ids)
+    known = pc.is_valid(at).to_numpy(zero_copy_only=False)
+    row = pc.list_parent_indices(part["overlaps"]).to_numpy()[known]
+    values = part["overlaps"].flatten().to_numpy(zero_copy_only=False)[known]
+    return row, at.drop_null().to_numpy(), values
+
+
+def _row_groups(part: pa.RecordBatch, per_source: bool) -> list[np.ndarray]:
+    if not per_source:
+        return [np.arange(part.num_rows)]
+    codes = part["source"].dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    return [np.flatnonzero(codes == code) for code in np.unique(codes)]
 
 
 def _best_first() -> list[Column]:
@@ -280,3 +300,38 @@ def quota_table(requests: DataFrame, quotas: Mapping[str, int] = DEFAULT_QUOTAS)
     return requests.select("*", F.inline(listed)).withColumn(
         "quota", F.when(unset, F.col("quota")).otherwise(scaled)
     )
+
+
+def search_requested(
+    documents: DataFrame,
+    questions: DataFrame,
+    lexical: DataFrame,
+    quotas: Mapping[str, int] = DEFAULT_QUOTAS,
+    flat_k: int = 6,
+    alpha: float = ALPHA,
+    broadcast_bytes: int = BROADCAST_VECTOR_BYTES,
+) -> DataFrame:
+    """Every question with its own ``top_k`` and ``sources``, in one scoring pass.
+
+    A question that names sources gets its ``top_k`` best within them (``flat_k`` if null or
+    0); one with null or no sources gets the budget per source, scaled to its ``top_k``.
+    """
+    named = F.coalesce(F.array_size("sources"), F.lit(0)) > 0
+    wanted = F.coalesce(F.nullif(F.col("top_k"), F.lit(0)), F.lit(flat_k)).cast("int")
+    requests = questions.select("question_id", "top_k", "sources")
+    budget = (
+        quota_table(requests.where(~named), quotas)
+        .select("question_id", "source", "quota", F.lit(None).cast("int").alias("total"))
+        .union(
+            requests.where(named).select(
+                "question_id", F.explode(F.array_distinct("sources")), wanted, wanted
+            )
+        )
+    )
+    most = budget.agg(F.max("quota")).first()[0] or 1
+    allowed = documents.join(budget.select("source").distinct(), "source", "left_semi")
+    placed = best_documents(allowed, questions, most, lexical, alpha, True, broadcast_bytes)
+    within = placed.join(budget, ["question_id", "source"]).where("rank <= quota")
+    final = Window.partitionBy("question_id").orderBy(*_best_first())
+    ranked = within.withColumn("rank", F.row_number().over(final))
+    return ranked.where("total is null or rank <= total").select(*placed.columns)

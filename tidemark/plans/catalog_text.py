@@ -233,14 +233,13 @@ def _(f: Frames) -> DataFrame:
     "r8_dense_top",
     f"""SELECT question_id, doc_id, source, dense FROM (
           SELECT *, row_number() OVER (PARTITION BY question_id, source ORDER BY dense DESC, doc_id) AS rn
-          FROM (SELECT a.doc_id AS question_id, b.doc_id, b.source,
+          FROM (SELECT a.question_id, b.doc_id, b.source,
                        {rnd('list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))', 8)}
                            AS dense
-                FROM {{vectors}} a CROSS JOIN {{vectors}} b) pairs) ranked WHERE rn <= 3""",
+                FROM {{questions}} a CROSS JOIN {{vectors}} b) pairs) ranked WHERE rn <= 3""",
 )
 def _(f: Frames) -> DataFrame:
-    asked = f.views.vectors.select(F.col("doc_id").alias("question_id"), "embedding")
-    return retrieval.dense_top(f.views.vectors, asked, k=3)
+    return retrieval.dense_top(f.views.vectors, f.views.questions, k=3)
 
 
 _HIT = "question_id, doc_id, source, dense, lexical, score, CAST(rank AS INTEGER) AS rank"
@@ -283,6 +282,31 @@ def _(f: Frames) -> DataFrame:
     )
 
 
+@register(
+    "r11_r12_own_budget_and_sources",
+    f"""WITH asked AS (SELECT question_id, nullif(question_id % 27, 26) AS k, question_id % 3 = 0 AS named FROM {{questions}}),
+    budget AS (SELECT question_id, source, CASE WHEN coalesce(k, 0) = 0 THEN quota
+                      ELSE greatest(1, round_even(quota * (k / 16e0), 0)) END AS quota, NULL AS total
+               FROM asked CROSS JOIN {{quotas}} WHERE NOT named
+               UNION ALL
+               SELECT question_id, source, NULL, CASE WHEN coalesce(k, 0) = 0 THEN 6 ELSE k END
+               FROM asked CROSS JOIN (VALUES ('review'), ('topic_summary')) given(source) WHERE named),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY question_id, source ORDER BY score DESC, doc_id) AS place
+               FROM {{hybrid}}),
+    taken AS (SELECT question_id, doc_id, source, dense, lexical, score, total,
+                     row_number() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS rank
+              FROM placed JOIN budget USING (question_id, source) WHERE quota IS NULL OR place <= quota)
+    SELECT {_HIT} FROM taken WHERE total IS NULL OR rank <= total""",
+)
+def _(f: Frames) -> DataFrame:
+    asked = f.views.questions.select(
+        "*",
+        F.nullif(F.col("question_id") % 27, F.lit(26)).cast("int").alias("top_k"),
+        F.when(F.col("question_id") % 3 == 0, F.array(F.lit("review"), F.lit("topic_summary"))).alias("sources"),
+    )
+    return retrieval.search_requested(f.views.evidence, asked, f.lexical)
+
+
 _EXPANSIONS = "".join(
     f" || CASE WHEN contains(lower(question), '{key}') THEN ' {extra}' ELSE '' END"
     for key, extra in lx.QUERY_EXPANSIONS.items()
