@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,6 +247,8 @@ def brute_hybrid(vectors, alpha=0.65):
 def test_search_matches_brute_force(vectors, broadcast_bytes, monkeypatch):
     monkeypatch.setattr(retrieval, "QUESTIONS_PER_BLOCK", 3)
     monkeypatch.setattr(retrieval, "DOCUMENTS_PER_CELL", 40)
+    monkeypatch.setattr(retrieval, "TILE_DOCUMENTS", 16)
+    monkeypatch.setattr(retrieval, "TILE_QUESTIONS", 2)
     rows = brute_hybrid(vectors)
     docs, asked, lexical = vectors
     flat = retrieval.search(docs, asked, lexical, k=5, broadcast_bytes=broadcast_bytes).collect()
@@ -266,6 +269,38 @@ def test_search_matches_brute_force(vectors, broadcast_bytes, monkeypatch):
         assert [r["doc_id"] for r in got] == [r[2] for r in want]
 
 
+def test_every_question_has_its_own_budget_and_sources(vectors):
+    rows = brute_hybrid(vectors)
+    docs, asked, lexical = vectors
+    spark = docs.sparkSession
+    own = {0: (None, None), 1: (2, ["a"]), 2: (0, ["a", "hot", "hot"]), 3: (12, None), 4: (3, []), 5: (1, ["absent"]), 6: (9, ["b", "hot"])}
+    requests = spark.createDataFrame([(q, *v) for q, v in own.items()], "question_id int, top_k int, sources array<string>")
+    quotas = {"a": 2, "hot": 4, "b": 1}
+    hits = retrieval.search_requested(docs, asked.join(requests, "question_id"), lexical, quotas).collect()
+    for q, (k, sources) in own.items():
+        pool = sorted((r for r in rows if r[0] == q), key=lambda r: (-round(r[3], 8), r[2]))
+        if sources:
+            want = [r for r in pool if r[1] in sources][: k or 6]
+        else:
+            budget = retrieval.scale_quotas(quotas, k)
+            want = [r for s in quotas for r in [p for p in pool if p[1] == s][: budget[s]]]
+            want.sort(key=lambda r: (-round(r[3], 8), r[2]))
+        got = sorted((r for r in hits if r["question_id"] == q), key=lambda r: r["rank"])
+        assert [r["doc_id"] for r in got] == [r[2] for r in want]
+        assert [r["rank"] for r in got] == list(range(1, len(want) + 1))
+
+
+def test_products_of_a_batch_do_not_depend_on_its_slices(monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [rng.choice(50, size=n, replace=False) for n in (0, 7, 0, 50, 1, 12, 0)]
+    batch = pd.DataFrame({"indices": rows, "values": [rng.random(len(r)) for r in rows]})
+    matrix = rng.normal(size=(50, 4))
+    want = np.array([(v[:, None] * matrix[i]).sum(axis=0) for i, v in zip(rows, batch["values"], strict=True)])
+    for size in (1, 10, 1_000):
+        monkeypatch.setattr(embedding, "ENTRIES_PER_SLICE", size)
+        np.testing.assert_allclose(embedding.batch_products(batch, matrix)[0], want, atol=1e-12)
+
+
 def test_source_filter_comes_after_scaling(spark):
     postings = spark.createDataFrame([("a", 0, 0.9), ("b", 0, 0.3)], "doc_id string, term_id int, weight double")
     terms = spark.createDataFrame([(1, 0, 1.0), (2, 5, 1.0)], "question_id int, term_id int, weight double")

@@ -26,6 +26,7 @@ from tidemark.session import ensure_checkpoint_dir
 N_TOPICS = 8
 TERMS_PER_TOPIC = 10
 _TINY = 1e-12
+_SETTLED = 1e-6
 _NOISE = 1e-6  # smaller entries of a singular vector, relative to the largest, count as zero
 
 
@@ -50,11 +51,17 @@ class TopicModel:
 
 
 def _solve_weights(products: np.ndarray, gram: np.ndarray, steps: int = 100) -> np.ndarray:
-    """Non-negative W minimising ||V − W H|| given V Hᵀ and H Hᵀ, by multiplicative steps."""
+    """Non-negative W minimising ||V − W H|| given V Hᵀ and H Hᵀ, by multiplicative steps.
+
+    Steps end when no weight moves by more than a millionth of itself or of the largest.
+    """
     weights = np.full_like(products, 1.0)
     weights *= products.sum(axis=1, keepdims=True) / np.maximum((weights @ gram).sum(axis=1, keepdims=True), _TINY)
     for _ in range(steps):
-        weights *= products / np.maximum(weights @ gram, _TINY)
+        before = weights
+        weights = before * products / np.maximum(before @ gram, _TINY)
+        if np.allclose(weights, before, rtol=_SETTLED, atol=_SETTLED * weights.max(initial=0.0)):
+            break
     return weights
 
 
@@ -70,7 +77,8 @@ def _pass(documents: DataFrame, components: np.ndarray) -> tuple[np.ndarray, np.
         for batch in batches:
             products, row, term, weight = batch_products(batch, transposed)
             w = _solve_weights(products, gram)
-            np.add.at(by_term, term, weight[:, None] * w[row])
+            for k in range(topics):
+                by_term[:, k] += np.bincount(term, weight * w[row, k], minlength=n_terms)
             by_topic += w.T @ w
         used = np.flatnonzero(by_term.any(axis=1))
         ids = np.concatenate([used, -1 - np.arange(topics)])
