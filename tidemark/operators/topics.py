@@ -124,7 +124,7 @@ def fit_topics(
     key: str = "review_id",
     topics: int = N_TOPICS,
     rules: TermRules | None = None,
-    max_passes: int = 60,
+    max_passes: int = 600,
     tolerance: float = 1e-4,
 ) -> TopicModel:
     """Alternate document weights (in the tasks) and term weights (model-sized)."""

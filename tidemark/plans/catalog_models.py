@@ -177,15 +177,12 @@ def _(f: Frames) -> DataFrame:
 
 @register("m16_m17_segmentation")
 def _(f: Frames) -> DataFrame:
-    result = segmentation.segment(f.features, k_range=(3, 4), n_init=2)
-    return result.assignments
+    return segmentation.segment(f.features).assignments
 
 
 @register("n4_n5_t6_x9_topics")
 def _(f: Frames) -> DataFrame:
-    model = topics.fit_topics(
-        f.corpus, rules=topics.topic_rules(fr.TEXT_STOP_WORDS), max_passes=10
-    )
+    model = topics.fit_topics(f.corpus, rules=topics.topic_rules(fr.TEXT_STOP_WORDS))
     labelled = topics.topic_labels(model.term_table(f.spark))
     return labelled.select("topic_id", F.array_join("terms", ", ").alias("terms"), "topic_label")
 
@@ -193,7 +190,7 @@ def _(f: Frames) -> DataFrame:
 @register("n8_feedback_run")
 def _(f: Frames) -> DataFrame:
     run = feedback_run.run_feedback(
-        f.views.feedback, fr.TEXT_STOP_WORDS, fr.TEXT_POSITIVE, fr.TEXT_NEGATIVE, fr.TEXT_NEGATORS, max_passes=5
+        f.views.feedback, fr.TEXT_STOP_WORDS, fr.TEXT_POSITIVE, fr.TEXT_NEGATIVE, fr.TEXT_NEGATORS
     )
     return run.summary
 

@@ -36,7 +36,7 @@ def run_feedback(
     negative: Mapping[str, float] = lx.NEGATIVE_WORDS,
     negators: Sequence[str] = lx.NEGATORS,
     n_topics: int = topics.N_TOPICS,
-    max_passes: int = 60,
+    max_passes: int = 600,
 ) -> FeedbackRun:
     """Clean, score, find topics, assign them, summarise.
 
