@@ -336,6 +336,10 @@ def test_answers_over_a_small_corpus(spark, tmp_path):
     assert {r["source"] for r in rows} == {"kpi", "topic_summary", "review", "model_driver"}
     only = answering_run.retrieve(index, questions, sources=["review"]).collect()
     assert {r["source"] for r in only} == {"review"}
+    own = questions.selectExpr("*", "1 AS top_k", "if(question_id = 1, array('review', 'kpi'), null) AS sources")
+    asked = answering_run.retrieve(index, own).collect()
+    assert [r["doc_id"] for r in asked if r["question_id"] == 1] == ["d3"]
+    assert sorted(r["source"] for r in asked if r["question_id"] == 2) == ["kpi", "model_driver", "review", "topic_summary"]
     out = {r["question_id"]: r for r in answering_run.answer_questions(index, questions).collect()}
     text = out[2]["answer"]
     assert text.startswith("**Answer** — Based on 5 retrieved evidence items for: “why are customers leaving?”.")

@@ -39,7 +39,7 @@ _RAW_TEXT = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _RAW)
 @register("s1_account_csv_scan", f"SELECT {_RAW_TEXT} FROM {{raw_accounts}}")
 def _(f: Frames) -> DataFrame:
     folder = scratch(f)
-    files.export_csv(f.views.raw_accounts, f"{folder}/accounts", single_file=False)
+    files.export_csv(f.views.raw_accounts, f"{folder}/accounts")
     return files.read_accounts(f.spark, [f"{folder}/absent", f"{folder}/accounts"])
 
 
@@ -51,7 +51,7 @@ def _(f: Frames) -> DataFrame:
 def _(f: Frames) -> DataFrame:
     folder = scratch(f)
     reviews = f.views.feedback.select(*files.REVIEW_FIELDS)
-    files.export_csv(reviews, f"{folder}/reviews", single_file=False)
+    files.export_csv(reviews, f"{folder}/reviews")
     read = files.read_reviews(f.spark, [f"{folder}/reviews"])
     return read.withColumn("review_date", F.col("review_date").cast("string"))
 

@@ -10,10 +10,12 @@ from tidemark.functions import render
 from tidemark.functions.numbers import ratio_to, round_half_up
 from tidemark.operators import decisions, evaluation, explain, kpi, segmentation
 from tidemark.plans import frames as fr
+from tidemark.plans.catalog_accounts import scratch
 from tidemark.plans.frames import Frames
 from tidemark.plans.oracle_views import mean, rnd, total, value_of_offer
 from tidemark.plans.registry import register
 from tidemark.settings import Economics
+from tidemark.sources import files
 
 # ---------------------------------------------------------------- decision columns
 
@@ -92,7 +94,10 @@ def _(f: Frames) -> DataFrame:
 
 @register("t2_k11_whole_call_list", _REPRICED)
 def _(f: Frames) -> DataFrame:
-    return decisions.repriced_call_list(f.joined, 0.4, _NEW_PRICES, k=None)
+    calls = decisions.repriced_call_list(f.joined, 0.4, _NEW_PRICES, k=None)
+    path = f"{scratch(f)}/calls"
+    files.export_csv(calls, path)
+    return f.spark.read.options(header=True, escape='"').schema(calls.schema).csv(path)
 
 
 _SCENARIO_ROWS = ", ".join(

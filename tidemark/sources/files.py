@@ -82,8 +82,8 @@ def write_snapshot(df: DataFrame, folder: str, name: str) -> str:
     return path
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
-    """A report as CSV. A single file suits report-sized results only."""
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """A report as CSV, a file per partition. A single file suits report-sized results only."""
     out = df.coalesce(1) if single_file else df
     keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     out.write.mode("overwrite").options(header=True, escape='"', **keep_blanks).csv(path)
