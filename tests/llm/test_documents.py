@@ -384,6 +384,35 @@ def test_language_model_scores(docs, edges):
     assert len(scored) == len(EDGES) and all(r["n_tokens"] == 1 for r in scored if r["doc_id"] in (1, 2, 3))
 
 
+def test_every_training_token_is_walked(spark):
+    rows = [(1, "a b c"), (2, None), (3, "b a"), (4, " ".join(f"w{i % 700}" for i in range(70_000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words = recurrent_lm.Lexicon(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    shared = spark.sparkContext.broadcast(words)
+    got = recurrent_lm.training_documents(docs, shared).orderBy("order", "piece").collect()
+    assert [r["size"] for r in got if r["piece"] == 0] != [] and sum(r["size"] for r in got) == 4 + 1 + 3 + 70_001
+    long = [np.frombuffer(r["data"], np.int16) for r in got if r["order"] in {x["order"] for x in got if x["piece"] == 1}]
+    assert len(long) == 2 and long[0][0] == gru.START and long[1][0] == long[0][-1]
+    assert len(set(np.concatenate([x[1:] for x in long]).tolist())) > 400
+    size = np.array([len(r["data"]) // 2 - 1 for r in got])
+    assert sorted(i for lane in gru.lanes(size, np.arange(len(size)), 3) for i in lane) == list(range(len(size)))
+
+
+def test_texts_in_a_lane_are_apart_and_rare_cells_are_learnt():
+    p = gru.initial(np.full(gru.N_CLASSES, 5.0), np.ones((gru.HEAD_CLASSES, gru.MEMBERS)))
+    cell = gru.N_HEAD + 9 * gru.MEMBERS
+    texts = [np.array([gru.START, 5, cell + 3, cell + 60, 7], np.int16), np.array([gru.START, 8, cell + 40, 9], np.int16)]
+    flat = np.concatenate([t[1:] for t in texts]).astype(np.int64)
+    inputs = np.concatenate([t[:-1] for t in texts]).astype(np.int64)
+    bounds = np.array([0, 4, 7])
+    value = lambda q: gru.log_likelihoods(q, inputs, flat // gru.MEMBERS, flat % gru.MEMBERS, bounds)
+    h = np.zeros((1, gru.HIDDEN), np.float32)
+    loss, _, _ = gru.loss_and_gradient(p, h, inputs[None], flat[None] // gru.MEMBERS, flat[None] % gru.MEMBERS)
+    assert loss * 7 == pytest.approx(-value(p).sum(), rel=1e-4)
+    learnt = gru.train(p, texts, 2, 1, 300, 0.05, 0)
+    assert value(learnt).sum() > -0.5 * 7 > value(p).sum()
+
+
 # --- decontamination -------------------------------------------------------------------------------
 
 

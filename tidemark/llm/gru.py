@@ -1,24 +1,26 @@
 """A small gated recurrent language model in numpy: forward, truncated backward, scoring.
 
-Tokens are pairs (class, member). Head classes hold the most frequent words, each with an
-output vector of its own; every other word falls into a class by its spelling, where its
-probability is its share of the class's count. So p(token | state) = p(class | state) times
-p(member | class, state) for head classes, and p(class | state) times a count share else.
+Tokens are pairs (class, member), each with an output vector. A member of a head class is one
+of the most frequent words; a member of any other class is a cell of rarer words, by spelling
+and hash, where a word has its share of the cell's count. So p(token | state) = p(class |
+state) times p(member | class, state), and for rarer words times a count share.
 """
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass
 
 import numpy as np
 
 HIDDEN = 16
 HEAD_CLASSES, MEMBERS = 32, 64
-SPELLINGS = 32
+SPELLINGS = 64
 N_CLASSES = HEAD_CLASSES + SPELLINGS
 N_HEAD = HEAD_CLASSES * MEMBERS
-#: Input symbols: head words, spelling classes, and the start of a text.
-N_INPUTS = N_HEAD + SPELLINGS + 1
+N_CELLS = SPELLINGS * MEMBERS
+#: Symbols: head words and cells, class times MEMBERS plus member; as inputs also the start of a text.
+N_INPUTS = N_HEAD + N_CELLS + 1
 START = N_INPUTS - 1
 
 SHAPES = {
@@ -28,8 +30,8 @@ SHAPES = {
     "b": (3 * HIDDEN,),
     "w_class": (HIDDEN, N_CLASSES),
     "b_class": (N_CLASSES,),
-    "w_member": (HEAD_CLASSES, HIDDEN, MEMBERS),
-    "b_member": (HEAD_CLASSES, MEMBERS),
+    "w_member": (N_CLASSES, HIDDEN, MEMBERS),
+    "b_member": (N_CLASSES, MEMBERS),
 }
 SIZES = {k: int(np.prod(s)) for k, s in SHAPES.items()}
 N_PARAMETERS = sum(SIZES.values())
@@ -51,8 +53,10 @@ def unpack(flat: np.ndarray) -> Parameters:
 
 def initial(class_count: np.ndarray, member_count: np.ndarray, seed: int = 11) -> Parameters:
     """Random input side; output biases at log frequencies, so training starts from the
-    class-factored unigram model."""
+    class-factored unigram model. Classes ``member_count`` has no rows for start out even."""
     rng = np.random.default_rng(seed)
+    even = np.ones((N_CLASSES - len(member_count), MEMBERS))
+    member_count = np.concatenate([member_count, even])
     p = {k: rng.normal(0, 0.1, s) for k, s in SHAPES.items()}
     p["b"][:] = 0
     p["w_class"] *= 0.1
@@ -104,14 +108,16 @@ def loss_and_gradient(
     """Mean negative log-likelihood of a window, its gradient, and the state after it.
 
     ``inputs``, ``classes`` and ``members`` are (batch, steps); class -1 marks padding.
-    Gradients stop at the window's start: the state that comes in is a constant.
+    Gradients stop at the window's start: the state that comes in is a constant. The input
+    START sets the state to zero, so texts may follow one another in a row.
     """
     batch, steps = inputs.shape
     n = HIDDEN
     table = p["embed"] @ p["w_in"] + p["b"]
     states, tapes = [], []
+    inside = (inputs != START).astype(h.dtype)[:, :, None]
     for t in range(steps):
-        h, tape = step(h, table[inputs[:, t]], p["w_rec"])
+        h, tape = step(h * inside[:, t], table[inputs[:, t]], p["w_rec"])
         states.append(h)
         tapes.append(tape)
     hs = np.stack(states, 1).reshape(-1, n)
@@ -131,8 +137,6 @@ def loss_and_gradient(
     grad["b_class"] = d.sum(0)
     d_hs[real] = d @ p["w_class"].T
     for c in np.unique(cls[real]):
-        if c >= HEAD_CLASSES:
-            continue
         at = real[cls[real] == c]
         logm = log_softmax(hs[at] @ p["w_member"][c] + p["b_member"][c])
         k = np.arange(len(at))
@@ -157,7 +161,7 @@ def loss_and_gradient(
         d_rec = np.concatenate([d_z, d_r, d_new * r], 1)
         grad["w_rec"] += before.T @ d_rec
         np.add.at(d_table, inputs[:, t], d_x)
-        d_h = d_h * (1 - z) + d_rec @ p["w_rec"].T
+        d_h = (d_h * (1 - z) + d_rec @ p["w_rec"].T) * inside[:, t]
     grad["embed"] = d_table @ p["w_in"].T
     grad["w_in"] = p["embed"].T @ d_table
     grad["b"] = d_table.sum(0)
@@ -167,29 +171,53 @@ def loss_and_gradient(
     return loss / count, {k: g.astype(np.float32) for k, g in grad.items()}, h
 
 
+def lanes(size: np.ndarray, order: np.ndarray, batch: int) -> list[list[int]]:
+    """Whole texts in the given order, each to the lane with the fewest tokens so far; the
+    longest lane first, none empty."""
+    filled = [(0, k) for k in range(batch)]
+    out: list[list[int]] = [[] for _ in range(batch)]
+    for i in order.tolist():
+        tokens, k = heapq.heappop(filled)
+        out[k].append(i)
+        heapq.heappush(filled, (tokens + int(size[i]), k))
+    return [out[k] for tokens, k in sorted(filled, key=lambda x: (-x[0], x[1])) if tokens]
+
+
 def train(
-    p: Parameters, sequences: np.ndarray, window: int, batch: int, least_steps: int, rate: float, seed: int
+    p: Parameters, texts: list[np.ndarray], window: int, batch: int, least_steps: int, rate: float, seed: int
 ) -> Parameters:
-    """Truncated backpropagation over sequences (rows, 3, length): inputs, classes, members.
+    """Truncated backpropagation over texts: arrays of an input symbol and the tokens' symbols.
 
-    A sequence is walked window by window with its state carried on. Passes repeat until
-    ``least_steps`` updates are done, so a small shard is learnt as well as a large one.
+    Texts follow one another in ``batch`` lanes; every token of every text is walked window by
+    window with the state carried on to the text's end. Passes repeat until ``least_steps``
+    updates are done, so a small shard is learnt as well as a large one. Steps become smaller
+    to the end, and where only some lanes are left, smaller by as much.
     """
     p = {k: v.copy() for k, v in p.items()}
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
-    adam, rng, length = Adam(rate), np.random.default_rng(seed), sequences.shape[2]
-    done = False
-    while not done and len(sequences):
-        order = rng.permutation(len(sequences))
-        for lo in range(0, len(order), batch):
-            rows = sequences[order[lo : lo + batch]]
-            h = np.zeros((len(rows), HIDDEN), dtype=np.float32)
-            for at in range(0, length, window):
-                part = rows[:, :, at : at + window]
-                if (part[:, 1] >= 0).any():
-                    _, grad, h = loss_and_gradient(p, h, part[:, 0], part[:, 1], part[:, 2])
-                    adam.apply(p, grad, m, v)
-        done = adam.t >= least_steps
+    adam, rng = Adam(rate), np.random.default_rng(seed)
+    size = np.array([len(t) - 1 for t in texts], dtype=np.int64)
+    while size.sum():
+        rows = lanes(size, rng.permutation(len(texts)), batch)
+        length = np.array([size[row].sum() for row in rows])
+        inputs = np.full((len(rows), length[0]), START, dtype=np.int16)
+        symbols = np.full((len(rows), length[0]), -1, dtype=np.int16)
+        for k, row in enumerate(rows):
+            inputs[k, : length[k]] = np.concatenate([texts[i][:-1] for i in row])
+            symbols[k, : length[k]] = np.concatenate([texts[i][1:] for i in row])
+        h = np.zeros((len(rows), HIDDEN), dtype=np.float32)
+        for at in range(0, int(length[0]), window):
+            active = int(np.searchsorted(-length, -at, "left"))
+            part = symbols[:active, at : at + window].astype(np.int32)
+            classes = np.where(part >= 0, part // MEMBERS, -1)
+            _, grad, h = loss_and_gradient(
+                p, h[:active], inputs[:active, at : at + window].astype(np.int32), classes, part % MEMBERS
+            )
+            done = adam.t / max(least_steps, -(-int(length[0]) // window))
+            adam.rate = rate * active / len(rows) * max(1 - done, 0.05)
+            adam.apply(p, grad, m, v)
+        if adam.t >= least_steps:
+            break
     return p
 
 
@@ -232,8 +260,8 @@ def log_likelihoods(
         np.exp(x, out=x)
         value -= np.log(x.sum(1))
         by_class = np.argsort(cls, kind="stable")
-        edge = np.searchsorted(cls[by_class], np.arange(HEAD_CLASSES + 1))
-        for c in range(HEAD_CLASSES):
+        edge = np.searchsorted(cls[by_class], np.arange(N_CLASSES + 1))
+        for c in range(N_CLASSES):
             rows = by_class[edge[c] : edge[c + 1]]
             if len(rows):
                 y = hs[rows] @ p["w_member"][c]

@@ -2,12 +2,12 @@
 
 Counts of all training tokens come from one grouped aggregation. The most frequent words are
 broadcast (a fixed number); rarer words of a document meet their counts by a join. The model
-is trained by rounds of parallel shards: every shard walks its sequences from the current
-parameters, and Spark averages the shards' parameters, weighted by their tokens. Training
-sequences are cut from every training document, in proportion to its length.
+is trained by rounds of parallel shards: every shard walks its documents from the current
+parameters, and Spark averages the shards' parameters, weighted by their tokens. Every round
+walks every training document from its start to its end with the state carried on.
 
 A null or empty text is just its end token. Words not seen in training are one further type
-per spelling class, with the share of words seen once there. Rows that repeat an id are
+per cell, with the share of words seen once there. Rows that repeat an id are
 scored each on its own and all count in training.
 """
 
@@ -26,11 +26,11 @@ from tidemark.scratch import keep
 
 #: At most so many words have their counts broadcast.
 KNOWN_WORDS = 1 << 17
-#: A training sequence: steps, steps per truncated window, and one sequence for so many tokens.
-SEQUENCE, TRUNCATE, SEQUENCE_EVERY = 64, 32, 640
+#: Steps per truncated window.
+TRUNCATE = 32
 BATCH, ROUNDS, LEAST_STEPS, RATE = 64, 3, 200, 0.02
-#: Sequences in a shard.
-SHARD = 4_000
+#: Tokens in a shard, and in a piece of a text: a longer one is walked in consecutive pieces.
+SHARD, LONGEST = 1 << 21, 1 << 16
 #: Tokens scored side by side.
 SIDE_BY_SIDE = 1 << 20
 #: The end token. No word hashes to it but by chance.
@@ -39,14 +39,14 @@ _PIECE = 1024
 
 
 def spelling(texts: Texts, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Class of a word by its last two bytes."""
+    """Spelling class of a word by its last two bytes."""
     last = texts.data[end - 1].astype(np.uint64)
     before = np.where(end - start > 1, texts.data[np.maximum(end - 2, 0)], 0).astype(np.uint64)
-    return (mix(last * np.uint64(257) + before) >> np.uint64(59)).astype(np.int16)
+    return (mix(last * np.uint64(257) + before) >> np.uint64(58)).astype(np.int16)
 
 
 def tokens(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and spelling class of every token, ends included, and the bounds of the texts."""
+    """Hash and cell of every token, ends included, and the bounds of the texts."""
     low = texts.lowered()
     start, end, doc = low.words()
     n = len(texts)
@@ -55,12 +55,12 @@ def tokens(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h = np.full(bounds[-1], END, dtype=np.uint64)
     s = np.zeros(bounds[-1], dtype=np.int16)
     h[at] = low.hashes(start, end)
-    s[at] = spelling(low, start, end)
+    s[at] = spelling(low, start, end) * gru.MEMBERS + (h[at] % np.uint64(gru.MEMBERS)).astype(np.int16)
     return h, s, bounds
 
 
 def count_tokens(training: DataFrame) -> DataFrame:
-    """(token, spelling, n) over all training documents."""
+    """(token, cell, n) over all training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def merged(parts):
@@ -73,7 +73,7 @@ def count_tokens(training: DataFrame) -> DataFrame:
         def send(parts):
             h, s, n = merged(parts)
             return pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(s), pa.array(n)], ["token", "spelling", "n"]
+                [pa.array(h.view(np.int64)), pa.array(s), pa.array(n)], ["token", "cell", "n"]
             )
 
         parts, held = [], 0
@@ -88,8 +88,8 @@ def count_tokens(training: DataFrame) -> DataFrame:
         if parts:
             yield send(parts)
 
-    counted = training.select("text").mapInArrow(run, "token long, spelling short, n long")
-    return counted.groupBy("token").agg(F.min("spelling").alias("spelling"), F.sum("n").alias("n"))
+    counted = training.select("text").mapInArrow(run, "token long, cell short, n long")
+    return counted.groupBy("token").agg(F.min("cell").alias("cell"), F.sum("n").alias("n"))
 
 
 def most_frequent(counts: DataFrame, most: int) -> DataFrame:
@@ -110,18 +110,14 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
 class Lexicon:
     """The broadcast words by sorted hash, their counts, and where the model puts them."""
 
-    def __init__(self, token: np.ndarray, count: np.ndarray, spell: np.ndarray):
+    def __init__(self, token: np.ndarray, count: np.ndarray, cell: np.ndarray):
         rank = np.lexsort((token, -count))
-        token, count, spell = token[rank], count[rank], spell[rank]
-        place = np.arange(len(token))
-        head = place < gru.N_HEAD
+        token, count, cell = token[rank], count[rank], cell[rank]
         # Neighbours in frequency share a class, so a class's words are about equally likely.
-        classes = np.where(head, place // gru.MEMBERS, gru.HEAD_CLASSES + spell)
-        members = np.where(head, place % gru.MEMBERS, -1)
-        symbols = np.where(head, place, gru.N_HEAD + spell)
+        place = np.arange(len(token))
+        symbols = np.where(place < gru.N_HEAD, place, gru.N_HEAD + cell)
         order = np.argsort(token)
         self.token, self.count = token[order], count[order]
-        self.classes, self.members = classes[order].astype(np.int16), members[order].astype(np.int16)
         self.symbols = symbols[order].astype(np.int32)
         self.log_plain = np.log10(np.maximum(self.count, 1))
         self.log_count = np.log10(self.count + 0.5)
@@ -147,15 +143,13 @@ class Lexicon:
             out[open_[same]] = here[open_[same]]
         return out
 
-    def place(self, h: np.ndarray, spell: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Position, class, member and input symbol of every token."""
+    def place(self, h: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Position and symbol of every token."""
         found = self.find(h)
-        known = np.maximum(found, 0)
-        rare = found < 0
-        classes = np.where(rare, gru.HEAD_CLASSES + spell, self.classes[known])
-        members = np.where(rare, -1, self.members[known])
-        symbols = np.where(rare, gru.N_HEAD + spell, self.symbols[known])
-        return found, classes, members, symbols
+        symbols = gru.N_HEAD + cell.astype(np.int32)
+        known = found >= 0
+        symbols[known] = self.symbols[found[known]]
+        return found, symbols
 
 
 def shifted(symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -166,65 +160,74 @@ def shifted(symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return inputs
 
 
-def training_sequences(training: DataFrame, shared) -> DataFrame:
-    """(order, data): int16 triples of sequences, about one for SEQUENCE_EVERY tokens.
+def training_documents(training: DataFrame, shared) -> DataFrame:
+    """(order, piece, size, data): every document as int16 symbols, the first an input only.
 
-    A document has as many sequences as its length gives, one more with the probability of
-    the remainder, at positions hashed from its words."""
+    A text of more than LONGEST tokens is cut into consecutive pieces; a piece's first input is
+    the last token of the piece before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = shared.value
         for batch in batches:
-            for _, _, texts in chunks(batch.column(0)):
+            for lo, _, texts in chunks(batch.column(1)):
                 h, s, bounds = tokens(texts)
-                _, classes, members, symbols = lexicon.place(h, s)
-                inputs = shifted(symbols, bounds)
-                size = np.diff(bounds)
-                seed = mix(np.add.reduceat(h, bounds[:-1]))
-                draw = (seed >> np.uint64(11)).astype(np.float64) / 2.0**53
-                times = (size / SEQUENCE_EVERY + draw).astype(np.int64)
-                doc = np.repeat(np.arange(len(size)), times)
-                pick = mix(seed[doc] + np.arange(len(doc), dtype=np.uint64))
-                start = bounds[doc] + (pick % np.maximum(size[doc] - SEQUENCE + 1, 1).astype(np.uint64)).astype(np.int64)
-                start = np.where(size[doc] > SEQUENCE, start, bounds[doc])
-                at = start[:, None] + np.arange(SEQUENCE)
-                real = at < bounds[doc + 1][:, None]
-                at = np.where(real, at, 0)
-                cube = np.stack([inputs[at], np.where(real, classes[at], -1), members[at]], 1).astype(np.int16)
-                if len(doc):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(pick.view(np.int64)), pa.array([c.tobytes() for c in cube], pa.binary())],
-                        ["order", "data"],
-                    )
-
-    return training.select("text").mapInArrow(run, "order long, data binary")
-
-
-def train_model(sequences: DataFrame, start: np.ndarray) -> np.ndarray:
+                symbols = lexicon.place(h, s)[1].astype(np.int16)
+                n_pieces = -(-np.diff(bounds) // LONGEST)
+                doc = np.repeat(np.arange(len(n_pieces)), n_pieces)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
+                start = bounds[doc] + piece * LONGEST
+                end = np.minimum(start + LONGEST, bounds[doc + 1])
+                before = np.where(piece > 0, symbols[np.maximum(start - 1, 0)], gru.START).astype(np.int16)
+                data = [
+                    b.tobytes() + symbols[i:j].tobytes() for b, i, j in zip(before, start.tolist(), end.tolist(), strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(lo + doc)),
+                        pa.array(piece.astype(np.int32)),
+                        pa.array(end - start),
+                        pa.array(data, pa.binary()),
+                    ],
+                    ["order", "piece", "size", "data"],
+                )
+
+    hashed = training.select(F.xxhash64("doc_id", "text").alias("order"), "text")
+    return hashed.mapInArrow(run, "order long, piece int, size long, data binary")
+
+
+def train_model(documents: DataFrame, start: np.ndarray) -> np.ndarray:
     """Rounds of local training and averaging; the parameters have a fixed size."""
-    context = sequences.sparkSession.sparkContext
-    n_shards = max(1, -(-sequences.count() // SHARD))
-    # Range by the hashed order: shards of equal size, the same rows in every run.
-    spread = keep(sequences.repartitionByRange(n_shards, "order").sortWithinPartitions("order", "data"), "lm-shards")
+    context = documents.sparkSession.sparkContext
+    kept = keep(documents, "lm-documents")
+    n_tokens = kept.agg(F.sum("size")).first()[0] or 0
+    n_shards = max(1, -(-n_tokens // SHARD))
+    # Range by the hashed order: shards of about equal size, the same rows in every run.
+    spread = keep(kept.repartitionByRange(n_shards, "order", "piece").sortWithinPartitions("order", "piece", "data"), "lm-shards")
     flat = start
     for number in range(ROUNDS):
         now = context.broadcast(flat)
 
         def run(batches: Iterator[pa.RecordBatch], number=number, now=now) -> Iterator[pa.RecordBatch]:
-            cells = [c.as_py() for batch in batches for c in batch.column(0)]
-            for lo in range(0, len(cells), 2 * SHARD):
-                rows = np.frombuffer(b"".join(cells[lo : lo + 2 * SHARD]), dtype=np.int16).reshape(-1, 3, SEQUENCE)
-                rows = rows[number % ROUNDS :: ROUNDS] if len(rows) >= BATCH * ROUNDS else rows
-                p = gru.train(
-                    gru.unpack(now.value), rows.astype(np.int32), TRUNCATE, BATCH, LEAST_STEPS // ROUNDS, RATE / (1 + number), number
-                )
-                weight = float((rows[:, 1] >= 0).sum())
+            def learnt(texts: list[np.ndarray]) -> pa.RecordBatch:
+                p = gru.train(gru.unpack(now.value), texts, TRUNCATE, BATCH, LEAST_STEPS // ROUNDS, RATE / (1 + number), number)
+                weight = float(sum(len(t) - 1 for t in texts))
                 packed = np.append(gru.pack(p).astype(np.float64), 1.0) * weight
                 pieces = [packed[i : i + _PIECE] for i in range(0, len(packed), _PIECE)]
-                yield pa.RecordBatch.from_arrays(
+                return pa.RecordBatch.from_arrays(
                     [pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.list_(pa.float64()))], ["piece", "sums"]
                 )
 
+            texts, held = [], 0
+            for batch in batches:
+                for cell in batch.column(0):
+                    texts.append(np.frombuffer(cell.as_py(), dtype=np.int16))
+                    held += len(texts[-1]) - 1
+                    if held >= 2 * SHARD:
+                        yield learnt(texts)
+                        texts, held = [], 0
+            if texts:
+                yield learnt(texts)
+
         sums = (
             spread.select("data").mapInArrow(run, "piece int, sums array<double>")
             .select("piece", F.posexplode("sums").alias("at", "value"))
@@ -244,31 +247,30 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     context = docs.sparkSession.sparkContext
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
-    training = docs.select("doc_id", "text").where(~held_out).select("text")
+    training = docs.select("doc_id", "text").where(~held_out)
     counts = keep(count_tokens(training), "lm-counts")
-    by_spelling = counts.groupBy("spelling").agg(
+    by_cell = counts.groupBy("cell").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"), F.sum((F.col("n") == 1).cast("long")).alias("once")
     ).collect()
-    n_all = sum(r["n"] for r in by_spelling)
-    v_all = sum(r["v"] for r in by_spelling)
+    n_all = sum(r["n"] for r in by_cell)
+    v_all = sum(r["v"] for r in by_cell)
     top = most_frequent(counts, KNOWN_WORDS).toPandas().sort_values(["n", "token"], ascending=[False, True])
     lexicon = Lexicon(
-        top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64), top["spelling"].to_numpy(np.int64)
+        top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64), top["cell"].to_numpy(np.int64)
     )
     shared = context.broadcast(lexicon)
 
-    # What a spelling class holds beside the head words, and its share for unseen words.
-    rest, once = np.zeros(gru.SPELLINGS), np.zeros(gru.SPELLINGS)
-    for r in by_spelling:
-        rest[r["spelling"]], once[r["spelling"]] = r["n"], max(r["once"], 1)
+    # What a cell holds beside the head words, and its share for unseen words.
+    rest, once = np.zeros(gru.N_CELLS), np.zeros(gru.N_CELLS)
+    for r in by_cell:
+        rest[r["cell"]], once[r["cell"]] = r["n"], r["once"]
     head = top.iloc[: gru.N_HEAD] if len(top) else top
-    np.subtract.at(rest, head["spelling"].to_numpy(np.int64), head["n"].to_numpy(np.float64))
-    once = np.maximum(once, 1.0)
-    member_count = lexicon.member_count.reshape(gru.HEAD_CLASSES, gru.MEMBERS)
-    class_count = np.concatenate([member_count.sum(1), rest + once])
+    np.subtract.at(rest, head["cell"].to_numpy(np.int64), head["n"].to_numpy(np.float64))
+    once = np.maximum(once, 0.5)
+    member_count = np.concatenate([lexicon.member_count, rest + once]).reshape(gru.N_CLASSES, gru.MEMBERS)
 
-    start = gru.pack(gru.initial(class_count, member_count))
-    model = context.broadcast(train_model(training_sequences(training, shared), start))
+    start = gru.pack(gru.initial(member_count.sum(1), member_count))
+    model = context.broadcast(train_model(training_documents(training, shared), start))
     log_rest, log_once = np.log10(rest + once), np.log10(once)
     scale = float(np.log10(n_all + 0.5 * (v_all + 1))) if n_all else float(np.log10(0.5))
 
@@ -278,28 +280,29 @@ def score_documents(docs: DataFrame) -> DataFrame:
         def scored(ids: pa.Array, parts: list) -> pa.RecordBatch:
             h, s = (np.concatenate([x[k] for x in parts]) for k in (0, 1))
             bounds = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(x[2]) for x in parts]))])
-            found, classes, members, symbols = words.place(h, s)
+            found, symbols = words.place(h, s)
+            classes, members = symbols // gru.MEMBERS, symbols % gru.MEMBERS
             n = len(ids)
             doc = np.repeat(np.arange(n), np.diff(bounds))
             net = gru.log_likelihoods(p, shifted(symbols, bounds), classes, members, bounds) / np.log(10)
             known = found >= 0
             base = np.bincount(doc[known], weights=words.log_count[found[known]], minlength=n)
-            outside = np.flatnonzero(classes >= gru.HEAD_CLASSES)
-            share = -log_rest[classes[outside] - gru.HEAD_CLASSES]
+            outside = np.flatnonzero(symbols >= gru.N_HEAD)
+            share = -log_rest[symbols[outside] - gru.N_HEAD]
             both = known[outside]
             share[both] += words.log_plain[found[outside[both]]]
             net += np.bincount(doc[outside], weights=share, minlength=n)
             rare = np.flatnonzero(~known)
             order = np.lexsort((h[rare], doc[rare]))
-            r_doc, r_key, r_class = doc[rare][order], h[rare][order], s[rare][order]
+            r_doc, r_key, r_cell = doc[rare][order], h[rare][order], s[rare][order]
             first = np.ones(len(order), dtype=bool)
             first[1:] = (r_doc[1:] != r_doc[:-1]) | (r_key[1:] != r_key[:-1])
             at = np.flatnonzero(first)
             times = np.diff(np.append(at, len(order)))
             edge = np.searchsorted(r_doc[at], np.arange(n + 1)).astype(np.int32)
             cells = pa.StructArray.from_arrays(
-                [pa.array(r_key[at].view(np.int64)), pa.array(times.astype(np.int32)), pa.array(r_class[at])],
-                ["token", "times", "spelling"],
+                [pa.array(r_key[at].view(np.int64)), pa.array(times.astype(np.int32)), pa.array(r_cell[at])],
+                ["token", "times", "cell"],
             )
             return pa.RecordBatch.from_arrays(
                 [
@@ -328,11 +331,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
         source.mapInArrow(
             run,
             f"doc_id {key}, n_tokens long, n_top long, base double, net double, "
-            "rare array<struct<token:long,times:int,spelling:short>>",
+            "rare array<struct<token:long,times:int,cell:short>>",
         ).withColumn("row", F.monotonically_increasing_id()),
         "lm-scores",
     )
-    unseen = F.element_at(F.array(*[F.lit(float(x)) for x in log_once]), F.col("spelling") + 1)
+    unseen = F.element_at(F.array(*[F.lit(float(x)) for x in log_once]), F.col("cell") + 1)
     met = scored.select("row", F.explode("rare").alias("r")).select("row", "r.*").join(
         counts.select("token", "n"), "token", "left"
     )
