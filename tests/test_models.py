@@ -293,3 +293,43 @@ def test_streamed_rollup(spark, frames, tmp_path):
 def test_vectors_are_what_spark_models_read(spark, customers):
     encoding = modelling.fit_encoding(customers, ["tenure"], [])
     assert isinstance(encoding.encode(customers).first()["features"], type(Vectors.dense([1.0])))
+
+
+def test_registered_fits_run_at_the_operator_defaults(frames, monkeypatch):
+    from tidemark.plans import registry
+    from tidemark.plans import catalog_models as cm
+
+    seen, stop = {}, RuntimeError("seen")
+
+    def validate(train, build, numeric, categorical, folds=5, fit_inside_fold=True):
+        seen["cv"] = build(100), folds, fit_inside_fold, train.agg({"fold": "max"}).first()[0]
+        return [0.5] * folds
+
+    def fit(encoded, build):
+        seen["fit"] = build(100)
+        raise stop
+
+    def train(features, candidates=modelling.CANDIDATES, *args, **kwargs):
+        seen["train"] = candidates, args, kwargs
+        raise stop
+
+    monkeypatch.setattr(modelling, "cross_validate", validate)
+    monkeypatch.setattr(modelling, "fit_model", fit)
+    monkeypatch.setattr(training_run, "train", train)
+    run = lambda name: registry.QUERIES[name](frames.spark, "/root/testdata/sf0.001")
+    size = lambda e: (e.getNumTrees(), e.getMaxDepth()) if hasattr(e, "getNumTrees") else (e.getMaxIter(), e.getMaxDepth())
+    for name, want in (("m4b_random_forest_cv", (400, 12)), ("m4c_depthwise_boosting_cv", (400, 4)), ("m4d_leafwise_boosting_cv", (400, 5))):
+        assert run(name).count() == 5
+        assert size(seen["cv"][0]) == want and seen["cv"][1:3] == (5, True)
+    for name in ("m13_m14_tree_importance", "m14_impurity_fallback"):
+        with pytest.raises(RuntimeError):
+            run(name)
+        assert size(seen["fit"]) == (400, 12)
+    with pytest.raises(RuntimeError):
+        run("m6_m7_m10_k7_training_report")
+    assert set(seen["train"][0]) == set(modelling.CANDIDATES) and "folds" not in seen["train"][2]
+    rules = {}
+    monkeypatch.setattr(cm.tfidf, "TermRules", lambda *a, **k: rules.update(k) or (_ for _ in ()).throw(stop))
+    with pytest.raises(RuntimeError):
+        run("r7_svd_embedding")
+    assert not rules

@@ -1,8 +1,6 @@
 """Queries that fit something: models, segments, topics, projections. Rows are checked
-by the tests on small fixtures; SQL cannot repeat an iterative fit.
-
-Ensembles are smaller here than the defaults, to keep a run short; the operators are
-the same.
+by the tests on small fixtures; SQL cannot repeat an iterative fit. Every query runs at
+the defaults of its operators.
 """
 
 from __future__ import annotations
@@ -19,8 +17,6 @@ from tidemark.plans.catalog_accounts import scratch
 from tidemark.plans.frames import Frames
 from tidemark.plans.registry import register
 
-_LINEAR = {"logistic_regression": modelling.logistic_regression}
-
 
 def _training(f: Frames) -> tuple[DataFrame, list[str], list[str]]:
     frame = modelling.prepare_training_frame(f.full_features)
@@ -56,33 +52,32 @@ def _(f: Frames) -> DataFrame:
     )
 
 
-def _cross_validated(f: Frames, name: str, build, folds: int = 3) -> DataFrame:
-    frame = modelling.prepare_training_frame(f.full_features, folds=folds)
-    numeric, categorical = modelling.model_inputs(frame)
+def _cross_validated(f: Frames, name: str) -> DataFrame:
+    frame, numeric, categorical = _training(f)
     train = frame.where(~F.col("is_test"))
-    scores = modelling.cross_validate(train, build, numeric, categorical, folds, fit_inside_fold=False)
+    scores = modelling.cross_validate(train, modelling.CANDIDATES[name], numeric, categorical)
     rows = [(name, i, score) for i, score in enumerate(scores)]
     return f.spark.createDataFrame(rows, "model string, fold int, roc_auc double")
 
 
 @register("m4a_m5_logistic_regression_cv")
 def _(f: Frames) -> DataFrame:
-    return _cross_validated(f, "logistic_regression", modelling.logistic_regression, folds=5)
+    return _cross_validated(f, "logistic_regression")
 
 
 @register("m4b_random_forest_cv")
 def _(f: Frames) -> DataFrame:
-    return _cross_validated(f, "random_forest", lambda n: modelling.random_forest(trees=20, depth=8))
+    return _cross_validated(f, "random_forest")
 
 
 @register("m4c_depthwise_boosting_cv")
 def _(f: Frames) -> DataFrame:
-    return _cross_validated(f, "boosting_depthwise", lambda n: modelling.depthwise_boosting(rounds=5))
+    return _cross_validated(f, "boosting_depthwise")
 
 
 @register("m4d_leafwise_boosting_cv")
 def _(f: Frames) -> DataFrame:
-    return _cross_validated(f, "boosting_leafwise", lambda n: modelling.leafwise_boosting(rounds=5))
+    return _cross_validated(f, "boosting_leafwise")
 
 
 def _fitted(f: Frames, calibration: str | None = "sigmoid") -> modelling.ChurnModel:
@@ -101,7 +96,7 @@ def _fitted(f: Frames, calibration: str | None = "sigmoid") -> modelling.ChurnMo
 
 @register("m6_m7_m10_k7_training_report")
 def _(f: Frames) -> DataFrame:
-    run = training_run.train(f.full_features, _LINEAR, folds=3)
+    run = training_run.train(f.full_features, modelling.CANDIDATES)
     policy = run.decision_policy.select("threshold", "n_targeted", "expected_net_saving", "roi")
     chosen = run.candidates.orderBy(F.desc("cv_roc_auc_mean"), "name").limit(1)
     return (
@@ -142,7 +137,7 @@ def _(f: Frames) -> DataFrame:
     frame, numeric, categorical = _training(f)
     train = frame.where(~F.col("is_test"))
     encoding = modelling.fit_encoding(train, numeric, categorical)
-    base = modelling.fit_model(encoding.encode(train), lambda n: modelling.random_forest(trees=10, depth=6))
+    base = modelling.fit_model(encoding.encode(train), modelling.CANDIDATES["random_forest"])
     model = modelling.ChurnModel("random_forest", encoding, base, ())
     explained = training_run.tree_explained_accounts(model, frame, scratch(f))
     return explain.global_importance(explained)
@@ -153,7 +148,7 @@ def _(f: Frames) -> DataFrame:
     frame, numeric, categorical = _training(f)
     train = frame.where(~F.col("is_test"))
     encoding = modelling.fit_encoding(train, numeric, categorical)
-    base = modelling.fit_model(encoding.encode(train), lambda n: modelling.random_forest(trees=10, depth=6))
+    base = modelling.fit_model(encoding.encode(train), modelling.CANDIDATES["random_forest"])
     return explain.model_importance(f.spark, encoding.names, modelling.impurity_weights(base))
 
 
@@ -198,8 +193,8 @@ def _(f: Frames) -> DataFrame:
 @register("r7_svd_embedding")
 def _(f: Frames) -> DataFrame:
     documents = f.views.evidence.select("doc_id", "text")
-    model = tfidf.fit_terms(documents, "text", tfidf.TermRules(fr.TEXT_STOP_WORDS, max_features=4_000))
-    projection = embedding.fit_projection(documents, "text", model, dimensions=16)
+    model = tfidf.fit_terms(documents, "text", tfidf.TermRules(fr.TEXT_STOP_WORDS))
+    projection = embedding.fit_projection(documents, "text", model)
     vectors = embedding.embed(documents, "text", "doc_id", projection)
     length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
     return vectors.select(
@@ -217,7 +212,7 @@ def _(f: Frames) -> DataFrame:
             evidence.review_documents(f.sentiment),
         ]
     )
-    index = answering_run.build_index(corpus, fr.TEXT_STOP_WORDS, dimensions=16)
+    index = answering_run.build_index(corpus, fr.TEXT_STOP_WORDS)
     return answering_run.answer_questions(index, f.views.questions.select("question_id", "question"))
 
 
