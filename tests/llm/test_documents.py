@@ -312,6 +312,16 @@ def test_article_is_kept_whole(spark):
         assert r["text"] == "\n".join(b for b in blocks if b) and r["n_chars"] == len(r["text"])
 
 
+def main_texts(spark, bodies, url="http://x.example/p"):
+    pages = spark.createDataFrame([(k, url, b) for k, b in enumerate(bodies)], "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in html_text.extract_main_text(pages).collect()}
+
+
+def test_recurring_inline_pieces_do_not_take_their_paragraph(spark):
+    got = main_texts(spark, [f"<p><a>By Staff</a> unique {k}</p><p>lead {k} <b>LONDON</b>  tail {k}</p>" for k in range(6)])
+    assert got[2] == "unique 2\nlead 2 tail 2"
+
+
 # --- toxicity ----------------------------------------------------------------------------------
 
 

@@ -1,8 +1,9 @@
 """Main text of web pages: structure first, then the templates a site repeats.
 
-Pages are parsed once into text blocks, each with the hashes of the elements around it.
-Spark counts every element subtree per host over pages with different content; subtrees on
-most pages of a host are its template and their blocks go.
+Pages are parsed once into text blocks; the pieces of a block, one per element that text
+stands in, have the hashes of all elements that contain them whole. Spark counts every element
+subtree per host over pages with different content; subtrees on most pages of a host are its
+template and their pieces of text go.
 
 A null or empty page has no text. Pages with a null or odd address form hosts of their own
 name (null: empty). Copies of a page count once, so repeated articles are no template.
@@ -62,12 +63,12 @@ _WHITE = re.compile(r"\s+")
 
 
 class _Element:
-    __slots__ = ("tag", "attrs", "dropped", "main", "parts", "blocks", "parent")
+    __slots__ = ("tag", "attrs", "dropped", "main", "parts", "pieces", "parent")
 
     def __init__(self, tag: str, attrs: str, parent: _Element | None, dropped: bool, main: bool):
         self.tag, self.attrs, self.parent, self.dropped, self.main = tag, attrs, parent, dropped, main
         self.parts: list[bytes] = []  # what the subtree hash covers
-        self.blocks: list[list] = []  # blocks that began inside, to be given the hash
+        self.pieces: list[list] = []  # pieces of text inside, to be given the hash
 
 
 def _is_furniture(tag: str, attrs: str, in_main: bool) -> bool:
@@ -82,13 +83,14 @@ def _is_furniture(tag: str, attrs: str, in_main: bool) -> bool:
     return _HIDDEN.search(attrs) is not None
 
 
-def parse_blocks(page: str | None) -> tuple[list[tuple[str, list[int]]], bool]:
-    """Blocks in page order with the subtree hashes around each; whether the page marks its
-    main part, in which case only blocks in there are given."""
+def parse_blocks(page: str | None) -> tuple[list[list[tuple[str, list[int]]]], bool]:
+    """Blocks in page order, as pieces with the subtree hashes around each; whether the page
+    marks its main part, in which case only blocks in there are given. White space in a piece
+    is single spaces."""
     text = page or ""
     root = _Element("", "", None, False, False)
     node, at = root, 0
-    blocks: list[list] = []  # [pieces, in main, hashes]
+    blocks: list[list] = []  # pieces: [texts, in main, hashes, element]
     current: list | None = None
 
     def add(raw: str) -> None:
@@ -98,10 +100,12 @@ def parse_blocks(page: str | None) -> tuple[list[tuple[str, list[int]]], bool]:
         if current is None:
             if not raw.strip():
                 return
-            current = [[], node.main, []]
+            current = []
             blocks.append(current)
-            node.blocks.append(current)
-        current[0].append(entities.unescape(raw) if "&" in raw else raw)
+        if not current or current[-1][3] is not node:
+            current.append([[], node.main, [], node])
+            node.pieces.append(current[-1])
+        current[-1][0].append(entities.unescape(raw) if "&" in raw else raw)
         node.parts.append(raw.encode("utf-8", "surrogatepass"))
 
     def close() -> None:
@@ -110,13 +114,13 @@ def parse_blocks(page: str | None) -> tuple[list[tuple[str, list[int]]], bool]:
         if gone.tag in BLOCK_TAGS:
             current = None
         if gone.dropped or not gone.parts:
-            node.blocks += gone.blocks
+            node.pieces += gone.pieces
             return
         digest = blake2b(gone.tag.encode() + b"\0" + b"\1".join(gone.parts), digest_size=8).digest()
         number = int.from_bytes(digest, "little", signed=True)
-        for block in gone.blocks:
-            block[2].append(number)
-        node.blocks += gone.blocks
+        for piece in gone.pieces:
+            piece[2].append(number)
+        node.pieces += gone.pieces
         node.parts.append(digest)
 
     for m in _TOKEN.finditer(text):
@@ -169,15 +173,19 @@ def parse_blocks(page: str | None) -> tuple[list[tuple[str, list[int]]], bool]:
     add(text[at:])
     while node is not root:
         close()
-    marked = any(b[1] for b in blocks)
+    marked = any(piece[1] for block in blocks for piece in block)
     out = []
-    for pieces, main, hashes in blocks:
-        line = _WHITE.sub(" ", "".join(pieces)).strip()
-        if line and (main or not marked):
-            out.append((line, hashes))
+    for block in blocks:
+        pieces = [(_WHITE.sub(" ", "".join(texts)), hashes) for texts, main, hashes, _ in block if main or not marked]
+        if any(text.strip() for text, _ in pieces):
+            out.append(pieces)
     return out, marked
 
 
+def line_of(pieces: list[tuple[str, list[int]]]) -> str:
+    return _WHITE.sub(" ", "".join(text for text, _ in pieces)).strip()
+
+
 def host_of(url: Column) -> Column:
     """Host of an address in lower case, without user, port and a leading ``www.``."""
     host = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
@@ -187,16 +195,16 @@ def host_of(url: Column) -> Column:
 def page_blocks(pages: DataFrame) -> DataFrame:
     """Per row: page_id, url, host, a hash of all its blocks, and the blocks."""
     source = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
-    kind = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))]))
+    kind = pa.list_(pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bodies, rows = [], []
             for page in batch.column(3):
                 found, _ = parse_blocks(page.as_py())
-                digest = blake2b("\n".join(t for t, _ in found).encode("utf-8", "replace"), digest_size=8)
+                digest = blake2b("\n".join(map(line_of, found)).encode("utf-8", "replace"), digest_size=8)
                 bodies.append(int.from_bytes(digest.digest(), "little", signed=True))
-                rows.append([{"text": t.encode("utf-8", "replace").decode(), "around": h} for t, h in found])
+                rows.append([[{"text": t.encode("utf-8", "replace").decode(), "around": h} for t, h in b] for b in found])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(bodies, pa.int64()), pa.array(rows, kind)],
                 ["page_id", "url", "host", "body", "blocks"],
@@ -204,7 +212,7 @@ def page_blocks(pages: DataFrame) -> DataFrame:
 
     key = source.schema["page_id"].dataType.simpleString()
     return source.mapInArrow(
-        run, f"page_id {key}, url string, host string, body bigint, blocks array<struct<text:string,around:array<bigint>>>"
+        run, f"page_id {key}, url string, host string, body bigint, blocks array<array<struct<text:string,around:array<bigint>>>>"
     )
 
 
@@ -215,7 +223,7 @@ def site_templates(parsed: DataFrame) -> DataFrame:
     as many as elements on an average page.
     """
     seen = (
-        parsed.select("host", "body", F.explode(F.array_distinct(F.flatten("blocks.around"))).alias("subtree"))
+        parsed.select("host", "body", F.explode(F.array_distinct(F.flatten(F.transform(F.flatten("blocks"), lambda x: x["around"])))).alias("subtree"))
         .groupBy("host", "subtree", "body")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("host", "subtree")
@@ -238,8 +246,9 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     parsed = keep(page_blocks(pages), "page-blocks")
     templates = keep(site_templates(parsed), "page-templates")
     joined = parsed.join(templates, "host", "left")
-    own = F.filter(
-        "blocks", lambda b: F.col("template").isNull() | ~F.arrays_overlap(b["around"], F.col("template"))
+    stays = lambda x: F.col("template").isNull() | ~F.arrays_overlap(x["around"], F.col("template"))
+    line = lambda b: F.trim(
+        F.regexp_replace(F.concat_ws("", F.transform(F.filter(b, stays), lambda x: x["text"])), " +", " ")
     )
-    text = F.concat_ws("\n", F.transform(own, lambda b: b["text"]))
+    text = F.concat_ws("\n", F.filter(F.transform("blocks", line), lambda t: t != ""))
     return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
