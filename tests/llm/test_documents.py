@@ -322,6 +322,17 @@ def test_recurring_inline_pieces_do_not_take_their_paragraph(spark):
     assert got[2] == "unique 2\nlead 2 tail 2"
 
 
+def test_names_drop_whole_matches_and_never_the_main_part():
+    def text(page):
+        return "\n".join(map(html_text.line_of, html_text.parse_blocks(page)[0]))
+
+    assert text('<article class="post has-sidebar"><h1 class="entry-header">T</h1><p class="alert">a</p></article>') == "T\na"
+    assert text('<div id="page" class="no-comments"><p>one</p><span class="ad">buy</span></div>') == "one"
+    assert text('<form><div class="modal"><article><p>kept</p><div class="comments">c</div></article></div></form>') == "kept"
+    assert text('<div class="sidebar">s</div><div role="search">q</div><p>x <i class="ads">ad</i> y') == "x y"
+    assert text("<header><p>top</p></header><nav><h1>n</h1></nav><p>z") == "z"
+
+
 # --- toxicity ----------------------------------------------------------------------------------
 
 

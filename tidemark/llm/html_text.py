@@ -30,13 +30,19 @@ DROPPED_TAGS = frozenset(
     "head title nav footer aside form script style noscript template iframe svg canvas object button select"
     " option textarea menu dialog math audio video map label fieldset".split()
 )
-#: Words in class, id or role that mark an element as furniture. Fixed values.
+#: Whole names in class or id that mark an element as furniture. Fixed values; names that text
+#: bears as well (alert, notice, header, search, related) are left to the counts.
 DROPPED_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies"
-    " consent complementary contentinfo discussion disqus footer header login masthead menu modal nav navbar"
-    " navigation newsletter notice notices notification pagination popup promo promotion related reply replies"
-    " respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget alert".split()
+    "ad ads advert adverts advertisement advertising ad-banner ad-container ad-slot ad-wrapper breadcrumb"
+    " breadcrumbs comments comment-list comment-form comments-area cookie cookies cookie-banner cookie-consent"
+    " cookie-notice consent disqus footer site-footer page-footer site-header login masthead menu main-menu modal"
+    " nav nav-bar nav-menu main-nav site-nav top-nav navbar navigation newsletter newsletter-signup pagination"
+    " popup promo related-articles related-posts share-buttons sidebar side-bar signup skip-link social-links"
+    " social-share sponsor sponsored subscribe toolbar".split()
 )
+DROPPED_ROLES = frozenset("alertdialog banner complementary contentinfo dialog menu menubar navigation search toolbar".split())
+#: Furniture by name, and these tags, stay if one of these is inside or is the element itself.
+YIELDING_TAGS, HELD_TAGS = frozenset({"form", "header"}), frozenset({"article", "main", "h1"})
 BLOCK_TAGS = frozenset(
     "address article blockquote body dd details div dl dt figcaption figure h1 h2 h3 h4 h5 h6 header hgroup hr html"
     " li main ol p pre section summary table tbody td tfoot th thead tr ul caption center".split()
@@ -57,30 +63,38 @@ _TOKEN = re.compile(
     r"|<(?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
     re.S | re.I,
 )
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_NAMES = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WHITE = re.compile(r"\s+")
 
 
 class _Element:
-    __slots__ = ("tag", "attrs", "dropped", "main", "parts", "pieces", "parent")
+    __slots__ = ("tag", "attrs", "dropped", "furniture", "holds", "main", "parts", "pieces", "parent")
 
     def __init__(self, tag: str, attrs: str, parent: _Element | None, dropped: bool, main: bool):
         self.tag, self.attrs, self.parent, self.dropped, self.main = tag, attrs, parent, dropped, main
+        self.furniture = False  # dropped at its end unless it holds a main part
+        self.holds = tag in HELD_TAGS
         self.parts: list[bytes] = []  # what the subtree hash covers
         self.pieces: list[list] = []  # pieces of text inside, to be given the hash
 
 
+def _is_dropped(tag: str, attrs: str) -> bool:
+    if tag in DROPPED_TAGS - YIELDING_TAGS:
+        return True
+    return tag not in ("html", "body", "main") and _HIDDEN.search(attrs) is not None
+
+
 def _is_furniture(tag: str, attrs: str, in_main: bool) -> bool:
-    if tag in DROPPED_TAGS or (tag == "header" and not in_main):
+    if tag == "form" or (tag == "header" and not in_main):
         return True
-    if not attrs or tag in ("html", "body", "main"):
+    if not attrs or tag in ("html", "body"):
         return False
     for m in _NAMES.finditer(attrs):
-        for word in re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower()):
-            if word in DROPPED_NAMES:
-                return True
-    return _HIDDEN.search(attrs) is not None
+        names = DROPPED_ROLES if m[1].lower() == "role" else DROPPED_NAMES
+        if not names.isdisjoint((m[2] or m[3] or m[4] or "").lower().split()):
+            return True
+    return False
 
 
 def parse_blocks(page: str | None) -> tuple[list[list[tuple[str, list[int]]]], bool]:
@@ -90,7 +104,7 @@ def parse_blocks(page: str | None) -> tuple[list[list[tuple[str, list[int]]]], b
     text = page or ""
     root = _Element("", "", None, False, False)
     node, at = root, 0
-    blocks: list[list] = []  # pieces: [texts, in main, hashes, element]
+    blocks: list[list] = []  # pieces: [texts, in main, hashes, element, dropped]
     current: list | None = None
 
     def add(raw: str) -> None:
@@ -103,7 +117,7 @@ def parse_blocks(page: str | None) -> tuple[list[list[tuple[str, list[int]]]], b
             current = []
             blocks.append(current)
         if not current or current[-1][3] is not node:
-            current.append([[], node.main, [], node])
+            current.append([[], node.main, [], node, False])
             node.pieces.append(current[-1])
         current[-1][0].append(entities.unescape(raw) if "&" in raw else raw)
         node.parts.append(raw.encode("utf-8", "surrogatepass"))
@@ -113,7 +127,14 @@ def parse_blocks(page: str | None) -> tuple[list[list[tuple[str, list[int]]]], b
         gone, node = node, node.parent
         if gone.tag in BLOCK_TAGS:
             current = None
-        if gone.dropped or not gone.parts:
+        if gone.dropped:
+            return
+        if gone.furniture and not gone.holds:
+            for piece in gone.pieces:
+                piece[4] = True
+            return
+        node.holds |= gone.holds
+        if not gone.parts:
             node.pieces += gone.pieces
             return
         digest = blake2b(gone.tag.encode() + b"\0" + b"\1".join(gone.parts), digest_size=8).digest()
@@ -164,8 +185,10 @@ def parse_blocks(page: str | None) -> tuple[list[list[tuple[str, list[int]]]], b
             attrs = m["attrs"] or ""
             if tag in BLOCK_TAGS:
                 current = None
-            dropped = node.dropped or _is_furniture(tag, attrs, node.main)
+            dropped = node.dropped or _is_dropped(tag, attrs)
+            furniture = not dropped and _is_furniture(tag, attrs, node.main)
             node = _Element(tag, attrs, node, dropped, not dropped and (node.main or tag in ("article", "main")))
+            node.furniture = furniture
             if attrs.rstrip().endswith("/") and tag not in BLOCK_TAGS:
                 close()
         elif m["raw"]:
@@ -173,10 +196,14 @@ def parse_blocks(page: str | None) -> tuple[list[list[tuple[str, list[int]]]], b
     add(text[at:])
     while node is not root:
         close()
-    marked = any(piece[1] for block in blocks for piece in block)
+    marked = any(piece[1] and not piece[4] for block in blocks for piece in block)
     out = []
     for block in blocks:
-        pieces = [(_WHITE.sub(" ", "".join(texts)), hashes) for texts, main, hashes, _ in block if main or not marked]
+        pieces = [
+            (_WHITE.sub(" ", "".join(texts)), hashes)
+            for texts, main, hashes, _, gone in block
+            if not gone and (main or not marked)
+        ]
         if any(text.strip() for text, _ in pieces):
             out.append(pieces)
     return out, marked
