@@ -333,6 +333,17 @@ def test_names_drop_whole_matches_and_never_the_main_part():
     assert text("<header><p>top</p></header><nav><h1>n</h1></nav><p>z") == "z"
 
 
+def test_rotating_pieces_go_outside_a_marked_main_part_only(spark):
+    def body(k):
+        advert = f"<div><p>Buy lamp {k % 6}</p></div>" if k % 2 else ""
+        return f"<p>unique {k}</p>{advert}"
+
+    got = main_texts(spark, [body(k) for k in range(60)] + [f"<p>Said twice</p><p>alone {k}</p>" for k in range(3)])
+    assert all(got[k] == f"unique {k}" for k in range(60)) and got[61] == "Said twice\nalone 1"
+    got = main_texts(spark, [f"<article>{body(k)}</article>" for k in range(60)])
+    assert got[3] == "unique 3\nBuy lamp 3" and got[4] == "unique 4"
+
+
 # --- toxicity ----------------------------------------------------------------------------------
 
 

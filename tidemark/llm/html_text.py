@@ -2,8 +2,9 @@
 
 Pages are parsed once into text blocks; the pieces of a block, one per element that text
 stands in, have the hashes of all elements that contain them whole. Spark counts every element
-subtree per host over pages with different content; subtrees on most pages of a host are its
-template and their pieces of text go.
+subtree per host over pages with different content; recurring subtrees are its template and
+their pieces of text go. In a marked main part, where real lines repeat as well, a subtree must
+be on half of the host's pages; on a page that marks none, on a small share of them.
 
 A null or empty page has no text. Pages with a null or odd address form hosts of their own
 name (null: empty). Copies of a page count once, so repeated articles are no template.
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 
 from tidemark.scratch import keep
 
-#: A subtree is template from this many different pages of a host on, and this share of them.
-LEAST_PAGES, LEAST_SHARE = 4, 0.5
+#: A subtree is template from this many different pages of a host on, and this share of them:
+#: inside a marked main part, and on pages without one.
+LEAST_PAGES, LEAST_SHARE, OPEN_SHARE = 4, 0.5, 0.02
 
 #: Elements that never hold main text. Fixed values.
 DROPPED_TAGS = frozenset(
@@ -220,37 +222,46 @@ def host_of(url: Column) -> Column:
 
 
 def page_blocks(pages: DataFrame) -> DataFrame:
-    """Per row: page_id, url, host, a hash of all its blocks, and the blocks."""
+    """Per row: page_id, url, host, a hash of all its blocks, whether they are of a marked main
+    part, and the blocks."""
     source = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
     kind = pa.list_(pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies, rows = [], []
+            bodies, marks, rows = [], [], []
             for page in batch.column(3):
-                found, _ = parse_blocks(page.as_py())
+                found, marked = parse_blocks(page.as_py())
+                marks.append(marked)
                 digest = blake2b("\n".join(map(line_of, found)).encode("utf-8", "replace"), digest_size=8)
                 bodies.append(int.from_bytes(digest.digest(), "little", signed=True))
                 rows.append([[{"text": t.encode("utf-8", "replace").decode(), "around": h} for t, h in b] for b in found])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(bodies, pa.int64()), pa.array(rows, kind)],
-                ["page_id", "url", "host", "body", "blocks"],
+                [*batch.columns[:3], pa.array(bodies, pa.int64()), pa.array(marks, pa.bool_()), pa.array(rows, kind)],
+                ["page_id", "url", "host", "body", "marked", "blocks"],
             )
 
     key = source.schema["page_id"].dataType.simpleString()
     return source.mapInArrow(
-        run, f"page_id {key}, url string, host string, body bigint, blocks array<array<struct<text:string,around:array<bigint>>>>"
+        run,
+        f"page_id {key}, url string, host string, body bigint, marked boolean, "
+        "blocks array<array<struct<text:string,around:array<bigint>>>>",
     )
 
 
+def _around(blocks: str) -> Column:
+    return F.array_distinct(F.flatten(F.transform(F.flatten(blocks), lambda x: x["around"])))
+
+
 def site_templates(parsed: DataFrame) -> DataFrame:
-    """Per host with any: ``template``, the hashes of its recurring subtrees.
+    """Per host with any: the hashes of its recurring subtrees, ``template`` by OPEN_SHARE and
+    ``strict`` by LEAST_SHARE.
 
-    A host's list is short: each entry is on half of its pages, so there are at most twice
-    as many as elements on an average page.
+    A host's list is short: each entry is on a fixed share of its pages, so there are at most
+    1 / OPEN_SHARE times as many as elements on an average page.
     """
     seen = (
-        parsed.select("host", "body", F.explode(F.array_distinct(F.flatten(F.transform(F.flatten("blocks"), lambda x: x["around"])))).alias("subtree"))
+        parsed.select("host", "body", F.explode(_around("blocks")).alias("subtree"))
         .groupBy("host", "subtree", "body")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("host", "subtree")
@@ -260,11 +271,12 @@ def site_templates(parsed: DataFrame) -> DataFrame:
     sizes = parsed.groupBy("host", "body").agg(F.count(F.lit(1)).alias("n")).groupBy("host").agg(
         F.count(F.lit(1)).alias("host_pages")
     )
+    strict = F.when(F.col("n_pages") >= LEAST_SHARE * F.col("host_pages"), F.col("subtree"))
     return (
         seen.join(sizes, "host")
-        .where(F.col("n_pages") >= LEAST_SHARE * F.col("host_pages"))
+        .where(F.col("n_pages") >= OPEN_SHARE * F.col("host_pages"))
         .groupBy("host")
-        .agg(F.collect_list("subtree").alias("template"))
+        .agg(F.collect_list("subtree").alias("template"), F.collect_list(strict).alias("strict"))
     )
 
 
@@ -273,9 +285,14 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     parsed = keep(page_blocks(pages), "page-blocks")
     templates = keep(site_templates(parsed), "page-templates")
     joined = parsed.join(templates, "host", "left")
-    stays = lambda x: F.col("template").isNull() | ~F.arrays_overlap(x["around"], F.col("template"))
-    line = lambda b: F.trim(
-        F.regexp_replace(F.concat_ws("", F.transform(F.filter(b, stays), lambda x: x["text"])), " +", " ")
-    )
-    text = F.concat_ws("\n", F.filter(F.transform("blocks", line), lambda t: t != ""))
+    listed = F.when(F.col("marked"), F.col("strict")).otherwise(F.col("template"))
+    # Once per page, as the only element of an array: what of the host's list the page has.
+    hits = F.array_intersect(_around("blocks"), F.coalesce(listed, F.array().cast("array<bigint>")))
+
+    def line(block: Column, hit: Column) -> Column:
+        own = F.filter(block, lambda x: ~F.arrays_overlap(x["around"], hit))
+        return F.trim(F.regexp_replace(F.concat_ws("", F.transform(own, lambda x: x["text"])), " +", " "))
+
+    lines = F.transform(F.array(hits), lambda hit: F.transform("blocks", lambda b: line(b, hit)))[0]
+    text = F.concat_ws("\n", F.filter(lines, lambda t: t != ""))
     return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
