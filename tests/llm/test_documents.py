@@ -110,6 +110,16 @@ def test_widely_copied_values_are_examples(spark):
     assert got[9]["n_live"] == 1 and got[9]["n_example"] == 0
 
 
+def test_values_in_many_repositories_of_one_owner_are_examples(spark):
+    copied, own = "see qwertyUIOP0123456789zx here", "token = zyxw9876vutsrqpo"
+    rows = [(i, copied, "hot") for i in range(40)] + [(50 + i, own, "hot") for i in range(3)] + [(90, copied, "hot")] * 2
+    got = by_id(secrets.secrets_digest(spark.createDataFrame(rows, "doc_id long, text string, source string")))
+    assert got[0]["n_live"] == 0 and got[0]["spans"] == ""
+    assert got[51]["n_live"] == 1 and got[51]["n_example"] == 0
+    twice = secrets.secrets_digest(spark.createDataFrame([(1, copied, "hot")] * 40, "doc_id long, text string, source string"))
+    assert twice.first()["n_live"] == 1
+
+
 # --- mixing ------------------------------------------------------------------------------
 
 

@@ -1,7 +1,7 @@
 """Secrets, with how widely each candidate is owned across the corpus. Columns and joins only.
 
-A candidate value that stands with many owners is a copied example; one that stands with
-few and looks random is likely live. Base spans are always reported. Owner-specific,
+A candidate value that stands with many owners or in many repositories is a copied example;
+one that stands in few and looks random is likely live. Base spans are always reported. Owner-specific,
 random-looking tokens without any telling context are added as spans of kind ``token``.
 
 Null and empty texts have no spans. A null owner counts as one owner. Rows that repeat an
@@ -31,6 +31,8 @@ KINDS = (
 BASE = tuple(k for k, *_ in KINDS[:3])
 #: From this many owners on a value is a widely copied example.
 EXAMPLE_OWNERS = 4
+#: So is one in this many repositories, even of one owner, who may use an own secret in a few.
+EXAMPLE_REPOS = 10
 #: A value looks random from this many different characters on.
 RANDOM_CHARS = 8
 
@@ -92,6 +94,10 @@ def ownership(spans: DataFrame) -> DataFrame:
     )
 
 
+def is_example(owners: Column, repos: Column) -> Column:
+    return (owners >= EXAMPLE_OWNERS) | (repos >= EXAMPLE_REPOS)
+
+
 def find_secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source"
 ) -> DataFrame:
@@ -99,7 +105,7 @@ def find_secrets(
     (start, kind_no, kind, end, owners, repos, live)."""
     scanned = scan_candidates(docs, id_col, text_col, owner_col)
     spans = keep(candidate_spans(scanned), "secret-spans")
-    live = F.col("random") & (F.col("owners") < EXAMPLE_OWNERS)
+    live = F.col("random") & ~is_example(F.col("owners"), F.col("repos"))
     judged = (
         spans.join(ownership(spans), "value_hash")
         .withColumn("live", live)
@@ -129,5 +135,5 @@ def secrets_digest(docs: DataFrame) -> DataFrame:
         F.sha2(F.concat_ws(",", F.transform(base, text)), 256).alias("base_sha256"),
         F.concat_ws(",", F.transform("spans", text)).alias("spans"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
-        F.size(F.filter("spans", lambda s: s["owners"] >= EXAMPLE_OWNERS)).cast("long").alias("n_example"),
+        F.size(F.filter("spans", lambda s: is_example(s["owners"], s["repos"]))).cast("long").alias("n_example"),
     )
