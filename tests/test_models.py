@@ -333,3 +333,22 @@ def test_registered_fits_run_at_the_operator_defaults(frames, monkeypatch):
     with pytest.raises(RuntimeError):
         run("r7_svd_embedding")
     assert not rules
+
+
+def test_many_rare_levels_mean_the_same_as_few(spark, customers, monkeypatch, tmp_path):
+    odd = F.when(F.substring("customerID", 2, 4).cast("int") % 100 == 7, F.col("customerID")).otherwise(F.col("Contract"))
+    customers = customers.withColumn("Contract", odd)
+    train = customers.withColumn("label", F.col("Churn"))
+    new = customers.unionByName(
+        customers.limit(4).withColumn("customerID", F.concat(F.lit("n"), "customerID")).withColumn("Contract", F.lit("unseen"))
+    )
+    rows = lambda e: {r[0]: r[1] for r in e.encode(new).select("customerID", "features").collect()}
+    listed = modelling.fit_encoding(train, ["tenure"], ["Contract", "InternetService"])
+    assert len(listed.rare["Contract"]) > 1
+    monkeypatch.setattr(modelling, "_RARE_LEVEL_LIMIT", 1)
+    tabled = modelling.fit_encoding(train, ["tenure"], ["Contract", "InternetService"])
+    assert tabled.rare["Contract"] is None and tabled.names == listed.names
+    assert rows(tabled) == rows(listed) and len(rows(tabled)) == 604
+    base = modelling.fit_model(tabled.encode(train), modelling.logistic_regression)
+    modelling.save_model(modelling.ChurnModel("lr", tabled, base, ()), str(tmp_path / "m"), spark)
+    assert rows(modelling.load_model(str(tmp_path / "m"), spark).encoding) == rows(listed)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
@@ -26,10 +26,12 @@ from tidemark import settings as s
 from tidemark.operators.cleaning import feature_types
 from tidemark.operators.quantiles import exact_median
 from tidemark.operators.ranking import with_global_rank
+from tidemark.scratch import keep
 from tidemark.session import ensure_checkpoint_dir
 
 SEED = 42
 RARE = "infrequent"
+#: A column with more rare levels has them in a table instead of a list.
 _RARE_LEVEL_LIMIT = 10_000
 
 
@@ -78,7 +80,11 @@ def split_and_fold(
 
 @dataclass(frozen=True)
 class Encoding:
-    """Fitted preprocessing: a model-sized set of numbers and level names."""
+    """Fitted preprocessing: a model-sized set of numbers and level names.
+
+    A column's rare levels are listed; where ``rare`` is None they are the rows of
+    ``rare_table`` (column, level), which encoded rows are joined to.
+    """
 
     numeric: tuple[str, ...]
     categorical: tuple[str, ...]
@@ -88,6 +94,7 @@ class Encoding:
     modes: dict[str, str]
     levels: dict[str, tuple[str, ...]]
     rare: dict[str, tuple[str, ...] | None]
+    rare_table: DataFrame | None = field(default=None, compare=False)
 
     @property
     def names(self) -> list[str]:
@@ -98,6 +105,26 @@ class Encoding:
                 out.append(f"{c}_{RARE}")
         return out
 
+    def with_rare(self, df: DataFrame) -> DataFrame:
+        """Mark the rows whose level is in the table of rare levels; ``values`` reads the marks.
+
+        Rows with a level of its own match nothing and are spread by their inputs.
+        """
+        for c in self.categorical:
+            if self.rare[c] is not None:
+                continue
+            level = F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c]))
+            own = level.isin(*self.levels[c])
+            known = self.rare_table.where(F.col("column") == c).select(
+                F.col("level").alias("_level"), F.lit(0).cast("long").alias("_spread"), F.lit(True).alias(f"_rare_{c}")
+            )
+            spread = F.when(own, F.xxhash64(*self.numeric, *self.categorical)).otherwise(F.lit(0).cast("long"))
+            df = (
+                df.withColumn("_spread", spread).withColumn("_level", F.when(~own, level))
+                .join(known, ["_level", "_spread"], "left").drop("_level", "_spread")
+            )
+        return df
+
     def values(self) -> list[Column]:
         """Standardised numbers, then one 0/1 column per level; unknown levels are all zero."""
         out = []
@@ -108,13 +135,14 @@ class Encoding:
             level = F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c]))
             out += [(level == value).cast("double") for value in self.levels[c]]
             if self.rare[c] is None:
-                out.append((~level.isin(*self.levels[c])).cast("double"))
+                out.append(F.coalesce(F.col(f"_rare_{c}"), F.lit(False)).cast("double"))
             elif self.rare[c]:
                 out.append(level.isin(*self.rare[c]).cast("double"))
         return out
 
     def encode(self, df: DataFrame, output: str = "features") -> DataFrame:
-        return df.withColumn(output, array_to_vector(F.array(*self.values())))
+        encoded = self.with_rare(df).withColumn(output, array_to_vector(F.array(*self.values())))
+        return encoded.drop(*[f"_rare_{c}" for c in self.categorical if self.rare[c] is None])
 
 
 def fit_encoding(
@@ -124,7 +152,7 @@ def fit_encoding(
 
     Levels rarer than ``min_frequency`` share one column, so at most 1 / min_frequency
     levels of a column have their own. Rare levels are remembered to tell them from
-    unseen ones; a column with more than 10,000 of them counts every other level as rare.
+    unseen ones, in a list, or in a table where a column has more than 10,000 of them.
     """
     typed = train.select(
         *[F.col(c).cast("double").alias(c) for c in numeric],
@@ -141,6 +169,7 @@ def fit_encoding(
     modes: dict[str, str] = {}
     levels: dict[str, tuple[str, ...]] = {}
     rare: dict[str, tuple[str, ...] | None] = {}
+    table = None
     if categorical:
         pairs = F.array(
             *[F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in categorical]
@@ -167,10 +196,13 @@ def fit_encoding(
         many = {r["column"]: r["count"] for r in others.groupBy("column").count().collect()}
         listed = [c for c in categorical if 0 < many.get(c, 0) <= _RARE_LEVEL_LIMIT]
         seldom = others.where(F.col("column").isin(*listed)).collect() if listed else []
+        tabled = [c for c in categorical if many.get(c, 0) > _RARE_LEVEL_LIMIT]
+        if tabled:
+            table = keep(others.where(F.col("column").isin(*tabled)).select("column", "level"), "rare-levels")
         counts.unpersist()
         for c in categorical:
             levels[c] = tuple(sorted(r["level"] for r in own if r["column"] == c))
-            if many.get(c, 0) > _RARE_LEVEL_LIMIT:
+            if c in tabled:
                 rare[c] = None
             else:
                 rare[c] = tuple(sorted(r["level"] for r in seldom if r["column"] == c))
@@ -183,6 +215,7 @@ def fit_encoding(
         modes,
         levels,
         rare,
+        table,
     )
 
 
@@ -430,8 +463,11 @@ def save_model(model: ChurnModel, folder: str, spark: SparkSession) -> None:
             calibrators.append(None)
         else:
             calibrators.append(asdict(calibrator))
+    if model.encoding.rare_table is not None:
+        model.encoding.rare_table.write.mode("overwrite").parquet(f"{folder}/rare_levels")
     facts = {
-        "name": model.name, "class": type(model.base).__name__, "encoding": asdict(model.encoding),
+        "name": model.name, "class": type(model.base).__name__,
+        "encoding": asdict(replace(model.encoding, rare_table=None)),
         "calibrators": calibrators, "threshold": model.threshold, "metrics": model.metrics,
         "background": model.background, "medians": model.medians,
     }
@@ -448,6 +484,7 @@ def load_model(folder: str, spark: SparkSession) -> ChurnModel:
         tuple(raw["numeric"]), tuple(raw["categorical"]), raw["medians"], raw["means"], raw["deviations"],
         raw["modes"], {c: tuple(v) for c, v in raw["levels"].items()},
         {c: None if v is None else tuple(v) for c, v in raw["rare"].items()},
+        spark.read.parquet(f"{folder}/rare_levels") if None in raw["rare"].values() else None,
     )
     parts = []
     for i, calibrator in enumerate(facts["calibrators"]):

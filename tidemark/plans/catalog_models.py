@@ -44,7 +44,7 @@ def _(f: Frames) -> DataFrame:
         F.array(*[F.lit(n) for n in encoding.names]), F.array(*encoding.values()),
         lambda n, v: F.struct(n.alias("feature"), v.alias("value")),
     )
-    rows = frame.select(F.inline(values))
+    rows = encoding.with_rare(frame).select(F.inline(values))
     return rows.groupBy("feature").agg(
         F.count("value").alias("n"),
         F.round(F.avg("value"), 6).alias("mean"),
