@@ -58,6 +58,35 @@ def with_running_totals(
     return out.drop("_part", *[f"{m}_before" for m in measures])
 
 
+def with_group_totals(
+    df: DataFrame, group: Sequence[str], order_by: Sequence[Column], measures: Sequence[str]
+) -> DataFrame:
+    """Add ``cum_<measure>``: totals of a group's rows up to and including each row.
+
+    Rows are range-partitioned by group and order, so a group of any size is spread over as
+    many tasks as it fills; ``order_by`` must be unique within a group. A partition continues
+    at most one group begun before it: the totals carried over are one row per partition.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    group = list(group)
+    by = [F.col(g) for g in group]
+    placed = df.repartitionByRange(*by, *order_by).withColumn("_part", F.spark_partition_id()).checkpoint()
+    sums = placed.groupBy("_part", *group).agg(*[F.sum(m).alias(m) for m in measures])
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(
+        "_part", *group, *[F.sum(m).over(earlier).alias(f"{m}_before") for m in measures]
+    ).where(F.col(f"{measures[0]}_before").isNotNull())
+    upto = (
+        Window.partitionBy("_part", *group)
+        .orderBy(*order_by)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    out = placed.join(F.broadcast(carried), ["_part", *group], "left")
+    for m in measures:
+        out = out.withColumn(f"cum_{m}", F.coalesce(f"{m}_before", F.lit(0)) + F.sum(m).over(upto))
+    return out.drop("_part", *[f"{m}_before" for m in measures])
+
+
 def ntile_of(rank: Column, n: Column, tiles: int) -> Column:
     """1-based tile of a 0-based rank; the first n mod tiles tiles get one row more."""
     small = F.floor(n / tiles)

@@ -34,6 +34,23 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     ship_package(spark)
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder, system = _on_hadoop(spark, path)
+    system.deleteOnExit(folder)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._scratch_path = path
+    return kept
+
+
+def discard(*kept: DataFrame) -> None:
+    """Delete tables written by ``keep`` once what was made of them is written itself.
+
+    Only the frame that ``keep`` returned can be discarded; nothing may read it any more.
+    """
+    for df in kept:
+        folder, system = _on_hadoop(df.sparkSession, df._scratch_path)
+        system.delete(folder, True)
+
+
+def _on_hadoop(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
