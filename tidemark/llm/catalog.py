@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
+    conversations,
     decontamination,
     html_text,
     mixing,
@@ -68,6 +69,10 @@ def op10_site_quality(spark: SparkSession, folder: str) -> DataFrame:
     return site_quality.site_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.trie_digest(table(spark, folder, "conversations"))
+
+
 _QUERIES = (
     op1_nearest_examples,
     op2_secret_ownership,
@@ -79,6 +84,7 @@ _QUERIES = (
     op8_personal_data,
     op9_site_templates,
     op10_site_quality,
+    op11_conversation_trie,
 )
 
 
