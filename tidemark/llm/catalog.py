@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
+    alignment,
     conversations,
     decontamination,
     html_text,
@@ -73,6 +74,10 @@ def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.trie_digest(table(spark, folder, "conversations"))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.cross_tokenizer_alignment(table(spark, folder, "documents"))
+
+
 _QUERIES = (
     op1_nearest_examples,
     op2_secret_ownership,
@@ -85,6 +90,7 @@ _QUERIES = (
     op9_site_templates,
     op10_site_quality,
     op11_conversation_trie,
+    op13_tokenizer_alignment,
 )
 
 
