@@ -13,6 +13,7 @@ from tidemark.llm import (
     html_text,
     mixing,
     near_duplicates,
+    ngram_join,
     pii,
     quality_rules,
     recurrent_lm,
@@ -74,6 +75,10 @@ def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.trie_digest(table(spark, folder, "conversations"))
 
 
+def op12_multiple_order_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, folder, "documents"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.cross_tokenizer_alignment(table(spark, folder, "documents"))
 
@@ -90,6 +95,7 @@ _QUERIES = (
     op9_site_templates,
     op10_site_quality,
     op11_conversation_trie,
+    op12_multiple_order_join,
     op13_tokenizer_alignment,
 )
 
