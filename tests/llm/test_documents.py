@@ -130,6 +130,27 @@ def test_mix_agrees_with_sql(spark, docs):
     assert got == set(db.execute(mixing.MIX_SQL).fetchall())
 
 
+def test_mix_with_carried_columns_agrees(spark, docs):
+    plain = Counter(tuple(r) for r in mixing.mix_sources(docs).collect())
+    carried = mixing.mix_sources(docs, carry=("text", "source", "lang"))
+    names = ["doc_id", "size", "source_size", "target", "taken"]
+    assert Counter(tuple(r) for r in carried.select(*names).collect()) == plain
+    given = {r["doc_id"]: (r["text"], r["source"], r["lang"]) for r in docs.collect()}
+    assert all(given[r["doc_id"]] == (r["text"], r["source"], r["lang"]) for r in carried.collect())
+
+
+def test_mix_with_carried_columns_of_edges_and_copies(spark, edges):
+    copies = [(7, f"same words {i % 3}", "en", "b", i, i, "k", 1, "s") for i in range(40)]
+    rows = edges.union(spark.createDataFrame(copies + [(8, "x y z", "en", None, 1, 1, "k", 1, "s")] * 9, SCHEMA))
+    rows = rows.where("doc_id is null or doc_id not in (6)")
+    names = ["doc_id", "size", "source_size", "target", "taken"]
+    plain = Counter(tuple(r) for r in mixing.mix_sources(rows).collect())
+    carried = mixing.mix_sources(rows, carry=("text", "row", "key", "label", "spans"))
+    assert Counter(tuple(r) for r in carried.select(*names).collect()) == plain
+    assert len({(r["size"], r["taken"]) for r in carried.where("doc_id = 7").collect()}) > 1
+    assert mixing.mix_sources(rows.limit(0), carry=("text",)).count() == 0
+
+
 def test_mix_limits_and_edges(edges):
     rows = mixing.mix_sources(edges).collect()
     assert len(rows) == len(EDGES)
@@ -240,6 +261,12 @@ def test_quality_counts(docs, edges, labels):
             assert not (r["base_failed"] and r["kept"])
 
 
+def test_repeated_ids_count_once_in_the_fit(spark, docs, labels):
+    once = quality_rules.fit_quality(docs, labels, 40)
+    twice = quality_rules.fit_quality(docs.union(docs).repartition(5), labels, 40)
+    assert np.array_equal(once.weights, twice.weights) and once.bias == twice.bias
+
+
 def test_learned_quality_separates_labels(spark):
     folder = "/root/testdata/sf0.01"
     docs, marks = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
@@ -264,7 +291,7 @@ def plain_pii(text):
     for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
         out.append(("email", *m.span()))
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
-        if all(int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split(".")):
             out.append(("ip", *m.span()))
     for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
         d = re.sub("[^0-9]", "", m[0])
@@ -281,6 +308,7 @@ def test_personal_data(spark, docs):
         (9001, "é a@b.c@d.e @x.y z@q 1.2.3.4.5.6.7.8 300.1.1.1 4111 1111-1111 1111 +1 (2) 345-67890"),
         (9002, "IBAN GB82 WEST 1234 5698 7654 32 ssn 123-45-6789"),
         (9003, None),
+        (9004, "at 1.2.3." + "0" * 5001 + " and " + "0" * 5000 + "7.1.1.1 and 1.2.3." + "9" * 5001),
     ]
     df = docs.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
     got = by_id(pii.personal_data_digest(df))

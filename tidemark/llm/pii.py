@@ -86,7 +86,7 @@ def _confirmed(text: str) -> Iterator[tuple[str, int, int]]:
         return
     for m in _IP.finditer(text):
         parts = (m.group(0).split(".", 1)[0], *m.groups())
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts):
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in parts):
             yield "ip", m.start(), m.end()
     for m in _CARD.finditer(text):
         digits = _digits(m.group(0))
