@@ -71,9 +71,10 @@ def made(spark, n=200, d=5, parts=3, seed=3):
     return x, y, df.withColumn("features", array_to_vector("x")).withColumn("all", F.lit(True))
 
 
+@pytest.mark.parametrize("rows", [70, bo.ROWS_PER_TASK], ids=["passes", "one task a fit"])
 @pytest.mark.parametrize("rules", [LEAFWISE, DEPTHWISE], ids=["leafwise", "depthwise"])
-def test_trees_equal_plain_best_first(spark, monkeypatch, rules):
-    monkeypatch.setattr(bo, "ROWS_PER_TASK", 70)
+def test_trees_equal_plain_best_first(spark, monkeypatch, rules, rows):
+    monkeypatch.setattr(bo, "ROWS_PER_TASK", rows)
     x, y, df = made(spark)
     model = bo.fit_boosted(df, [bo.Fit("features", "all", rules)], key="id")[0]
     margin, steps = plain_trees(x, y, rules)
@@ -83,12 +84,14 @@ def test_trees_equal_plain_best_first(spark, monkeypatch, rules):
         assert np.allclose(tree.value[tree.leaves_of(x)], step)
 
 
-def test_folds_in_one_pass_equal_fits_apart(spark):
+def test_folds_in_one_pass_equal_fits_apart(spark, monkeypatch):
     x, y, df = made(spark, n=300)
     df = df.withColumns({f"in{i}": F.col("fold") != i for i in range(3)})
     rules = [replace(LEAFWISE, row_share=0.7, column_share=0.6), replace(DEPTHWISE, row_share=0.8)]
     fits = [bo.Fit("features", f"in{i}", r) for r in rules for i in range(3)]
+    monkeypatch.setattr(bo, "ROWS_PER_TASK", 100)
     together = bo.fit_boosted(df, fits, key="id")
+    monkeypatch.undo()
     for fit, model in zip(fits, together, strict=True):
         apart = bo.fit_boosted(df, [fit], key="id")[0]
         assert np.allclose(model.margins(x), apart.margins(x))

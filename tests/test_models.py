@@ -144,22 +144,58 @@ def test_linear_drivers_add_up(spark):
     assert (top["feature"], top["importance"], top["method"]) == ("MonthlyCharges", 2.0, "mean_abs_contribution")
 
 
-def test_tree_contributions_add_up_to_the_prediction(spark, customers, tmp_path):
+def test_tree_contributions_add_up_to_the_prediction(spark, customers):
     frame = customers.withColumn("label", F.col("Churn"))
     encoding = modelling.fit_encoding(frame, ["tenure", "MonthlyCharges"], ["Contract"])
-    for i, build in enumerate((lambda n: modelling.random_forest(trees=4, depth=4), lambda n: modelling.depthwise_boosting(rounds=3))):
+    for build in (
+        lambda n: modelling.random_forest(trees=4, depth=4),
+        lambda n: modelling.depthwise_boosting(rounds=3),
+        lambda n: modelling.leafwise_boosting(rounds=2),
+    ):
         base = modelling.fit_model(encoding.encode(frame), build)
         model = modelling.ChurnModel("trees", encoding, base, ())
-        explained = training_run.tree_explained_accounts(model, frame, str(tmp_path / f"t{i}"))
-        total = F.aggregate("contributions", F.lit(0.0), lambda acc, c: acc + c["contribution"])
-        sums = {r[0]: r[1] for r in explained.select("customerID", total).collect()}
-        if i == 0:
-            scored = {r[0]: r[1] for r in model.score(frame).select("customerID", "churn_probability").collect()}
-        else:
-            margin = {r[0]: r[1] for r in base.transform(encoding.encode(frame)).select("customerID", "rawPrediction").collect()}
-            scored = {k: v[1] for k, v in margin.items()}
-        base_values = {round(scored[k] - sums[k], 6) for k in sums}
-        assert len(base_values) == 1  # the sum of contributions is the prediction less one constant
+        rows = training_run.explained_accounts(model, frame).collect()
+        scored = {r["customerID"]: r["p"] for r in model.score(frame, "p").collect()}
+        for r in rows:
+            total = sum(c["contribution"] for c in r["contributions"])
+            assert abs(r["base_value"] + total - r["prediction"]) < 1e-9
+            p = r["prediction"] if hasattr(base, "getNumTrees") else 1 / (1 + math.exp(-r["prediction"]))
+            assert abs(p - scored[r["customerID"]]) < 1e-9
+
+
+def test_shapley_values_equal_all_subsets():
+    rng = np.random.default_rng(11)
+    n, depth, inner = 6, 5, 31
+    nodes = 2 * inner + 1
+    feature = np.where(np.arange(nodes) < inner, rng.integers(0, n, nodes), -1)
+    left, right = 2 * np.arange(nodes) + 1, 2 * np.arange(nodes) + 2
+    cover = np.zeros(nodes)
+    cover[inner:] = rng.integers(1, 50, inner + 1)
+    for i in range(inner - 1, -1, -1):
+        cover[i] = cover[left[i]] + cover[right[i]]
+    tree = explain.ShapleyTree(
+        feature, rng.normal(size=nodes) * 0.5, np.where(feature >= 0, left, -1), np.where(feature >= 0, right, -1),
+        np.where(feature < 0, rng.normal(size=nodes), 0.0), cover,
+    )
+    x = rng.normal(size=(7, n))
+
+    def value(row, known, at=0):
+        if feature[at] < 0:
+            return tree.value[at]
+        if feature[at] in known:
+            return value(row, known, left[at] if row[feature[at]] <= tree.threshold[at] else right[at])
+        return sum(cover[c] / cover[at] * value(row, known, c) for c in (left[at], right[at]))
+
+    got, expected = explain.shapley_values(x, [tree])
+    assert abs(expected - value(x[0], set())) < 1e-9
+    for row, own in zip(x, got, strict=True):
+        for i in range(n):
+            rest = [j for j in range(n) if j != i]
+            want = 0.0
+            for k in range(n):
+                weight = math.factorial(k) * math.factorial(n - k - 1) / math.factorial(n)
+                want += sum(weight * (value(row, {*s, i}) - value(row, set(s))) for s in combinations(rest, k))
+            assert abs(own[i] - want) < 1e-9
 
 
 def test_impurity_fallback(spark, run):
@@ -317,8 +353,8 @@ def test_registered_fits_run_at_the_operator_defaults(frames, monkeypatch):
     monkeypatch.setattr(modelling, "fit_model", fit)
     monkeypatch.setattr(training_run, "train", train)
     run = lambda name: registry.QUERIES[name](frames.spark, "/root/testdata/sf0.001")
-    size = lambda e: (e.getNumTrees(), e.getMaxDepth()) if hasattr(e, "getNumTrees") else (e.getMaxIter(), e.getMaxDepth())
-    for name, want in (("m4b_random_forest_cv", (400, 12)), ("m4c_depthwise_boosting_cv", (400, 4)), ("m4d_leafwise_boosting_cv", (400, 5))):
+    size = lambda e: (e.getNumTrees(), e.getMaxDepth()) if hasattr(e, "getNumTrees") else (e.rules.rounds, e.rules.max_depth or e.rules.max_leaves)
+    for name, want in (("m4b_random_forest_cv", (400, 12)), ("m4c_depthwise_boosting_cv", (400, 4)), ("m4d_leafwise_boosting_cv", (400, 31))):
         assert run(name).count() == 5
         assert size(seen["cv"][0]) == want and seen["cv"][1:3] == (5, True)
     for name in ("m13_m14_tree_importance", "m14_impurity_fallback"):

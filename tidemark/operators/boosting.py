@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,11 +30,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.scratch import discard, keep
 from tidemark.session import ensure_checkpoint_dir
 
-#: Rows a task holds; one block is at most an Arrow batch.
+#: Rows a task holds, binned; one block is at most an Arrow batch.
 ROWS_PER_TASK = 100_000
 #: Histogram entries of a block counted at once.
 ENTRIES = 1 << 21
@@ -417,114 +418,188 @@ def _walk_of_growers(growers: list[_Grower], columns: np.ndarray, slots: dict[tu
     return _Walk(columns, get("feature", -1), get("cut", 0), get("left", -1), get("right", -1), slot, np.zeros(0))
 
 
-def _summed(blocks: RDD, count) -> np.ndarray:
-    def run(parts):
-        total = None
-        for block in parts:
-            found = count(block)
-            total = found if total is None else total + found
-        return [] if total is None else [total]
+@dataclass(frozen=True)
+class _Plan:
+    """What growing needs besides the rows: for every fit its features column and rules, for
+    every features column the layout of its bins."""
 
-    counted = blocks.mapPartitions(run)
-    if blocks.getNumPartitions() > 16:
-        return counted.treeReduce(np.add)
-    return sum(counted.collect())
+    column: np.ndarray
+    rules: list[Rules]
+    edges: list[list[np.ndarray]]
+    sizes: np.ndarray
+    offsets: np.ndarray
 
+    @property
+    def rounds(self) -> int:
+        return max(r.rounds for r in self.rules)
 
-def fit_boosted(rows: DataFrame, fits: Sequence[Fit], label: str = "label", key: str = "features") -> list[BoostedTrees]:
-    """Fit all models of ``fits`` over the same rows, every pass serving all of them.
+    def of_fit(self, k: int) -> _Plan:
+        return _Plan(self.column[k : k + 1], self.rules[k : k + 1], self.edges, self.sizes, self.offsets)
 
-    ``key`` is what row samples are drawn by, best a unique id. Features are vector columns
-    without nulls. A fit without rows of both labels predicts its constant share.
-    """
-    spark = rows.sparkSession
-    ensure_checkpoint_dir(spark)
-    columns = list(dict.fromkeys(f.features for f in fits))
-    insides = list(dict.fromkeys(f.inside for f in fits))
-    bins = max(f.rules.bins for f in fits)
-    edges = _edges(rows, columns, bins)
-    n_rows = rows.count()
-    if not n_rows:
-        return [BoostedTrees(0.0, (), 0, f.rules) for f in fits]
-    parts = max(1, math.ceil(n_rows / ROWS_PER_TASK))
-    stored = keep(_blocks(rows.repartition(parts), label, key, columns, insides, edges), "boost-blocks")
-    column = np.array([columns.index(f.features) for f in fits])
-    inside = [insides.index(f.inside) for f in fits]
-    sizes = np.array([[len(e) + 1 for e in edges[c]] for c in columns])
-    offsets = np.cumsum(sizes, axis=1) - sizes
-    width = int(sizes.sum(axis=1).max())
-    rules = [f.rules for f in fits]
-    n_columns, d = len(columns), sizes.shape[1]
+    def count(self, block: _Block, walk: _Walk, n_slots: int, turn: int) -> np.ndarray:
+        width = int(self.sizes.sum(axis=1).max())
+        return _histograms(block, walk, n_slots, self.offsets, width, turn, self.rules)
 
-    counted = rows.agg(*[
-        agg
-        for i in insides
-        for agg in (F.sum(F.when(F.col(i), F.col(label).cast("double"))), F.count(F.when(F.col(i), 1)))
-    ]).first()
-    shares = [(counted[2 * i] or 0.0) / max(counted[2 * i + 1], 1) for i in inside]
-    shares = [min(max(p, 1e-9), 1 - 1e-9) for p in shares]
-    base = np.array([math.log(p / (1 - p)) for p in shares])
+    def grow(self, turn: int, counted: Callable[[_Walk, int], np.ndarray]) -> tuple[list[Tree | None], _Walk]:
+        """The trees of one round and the walk that adds them to the margins.
 
-    blocks = stored.rdd.map(lambda row: _Block.of(row, n_columns, inside, base))
-    blocks = blocks.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
-    trees: list[list[Tree]] = [[] for _ in fits]
-    older = None
-    for turn in range(max(r.rounds for r in rules)):
-        growers = []
-        for k, rule in enumerate(rules):
+        ``counted`` returns the histograms of a walk's marked nodes over all rows."""
+        d, growers = self.sizes.shape[1], []
+        for column, rule in zip(self.column, self.rules, strict=True):
             drawn = _draw(np.arange(d), rule.seed + 104_729 * (turn + 1)) < rule.column_share
             drawn = drawn if drawn.any() else np.ones(d, bool)
-            growers.append(_Grower(rule, offsets[column[k]], sizes[column[k]], drawn))
-        active = [k for k, rule in enumerate(rules) if turn < rule.rounds]
+            growers.append(_Grower(rule, self.offsets[column], self.sizes[column], drawn))
+        active = [k for k, rule in enumerate(self.rules) if turn < rule.rounds]
         asked: dict[tuple[int, int], int | None] = {(k, 0): None for k in active}
         while asked:
             slots = {at: s for s, at in enumerate(asked)}
-            walk = _walk_of_growers(growers, column, slots)
-            sums = _summed(
-                blocks, lambda b, walk=walk, n=len(slots), turn=turn: _histograms(b, walk, n, offsets, width, turn, rules)
-            )
+            sums = counted(_walk_of_growers(growers, self.column, slots), len(slots))
             for (k, node), parent in asked.items():
                 if parent is None:
                     growers[k].root(sums[:, slots[k, node]])
                 else:
                     growers[k].evaluate(parent, node, sums[:, slots[k, node]])
-            if older is not None:
-                older.unpersist()
-                older = None
             asked = {}
             for k in active:
                 # Nodes whose children need no histogram may free others in the replay.
                 while fresh := growers[k].replay()[1]:
-                    counts = [(growers[k].open_up(i), i) for i in fresh]
-                    asked |= {(k, small): i for small, i in counts if small is not None}
-                    if any(small is not None for small, _ in counts):
+                    counts = {growers[k].open_up(i): i for i in fresh}
+                    counts.pop(None, None)
+                    asked |= {(k, small): i for small, i in counts.items()}
+                    if counts:
                         break
+        trees: list[Tree | None] = []
         grown = []
         for k, g in enumerate(growers):
             if k in active:
-                tree, cut = g.finished(edges[columns[column[k]]])
-                trees[k].append(tree)
+                tree, cut = g.finished(self.edges[self.column[k]])
+                trees.append(tree)
                 grown.append((tree.feature, cut, tree.left, tree.right, tree.value))
             else:
+                trees.append(None)
                 grown.append((np.array([-1]), np.zeros(1, int), np.array([-1]), np.array([-1]), np.zeros(1)))
-        f, c, lo, hi, v = (list(a) for a in zip(*grown, strict=True))
-        last = _Walk(
-            column, _padded(f, -1, np.int64), _padded(c, 0, np.int64), _padded(lo, -1, np.int64),
-            _padded(hi, -1, np.int64), np.zeros(0), _padded(v, 0.0, np.float64),
+        feature, cut, left, right, value = (list(a) for a in zip(*grown, strict=True))
+        return trees, _Walk(
+            self.column, _padded(feature, -1, np.int64), _padded(cut, 0, np.int64), _padded(left, -1, np.int64),
+            _padded(right, -1, np.int64), np.zeros(0), _padded(value, 0.0, np.float64),
         )
 
-        def moved(b: _Block, last: _Walk = last) -> _Block:
-            step = last.value[np.arange(len(last.column))[:, None], last.nodes_of(b)]
-            return _Block(b.bins, b.y, b.ids, b.inside, b.margin + step)
 
-        older, blocks = blocks, blocks.map(moved).persist(StorageLevel.MEMORY_AND_DISK)
+def _moved(block: _Block, last: _Walk) -> _Block:
+    step = last.value[np.arange(len(last.column))[:, None], last.nodes_of(block)]
+    return _Block(block.bins, block.y, block.ids, block.inside, block.margin + step)
+
+
+def _summed(blocks: RDD, count: Callable[[_Block], np.ndarray]) -> np.ndarray:
+    def run(parts):
+        total = None
+        for block in parts:
+            found = count(block)
+            total = found if total is None else total + found
+        return [] if total is None else [total]
+
+    counted = blocks.mapPartitions(run)
+    if blocks.getNumPartitions() > 16:
+        return counted.treeReduce(np.add)
+    return sum(counted.collect())
+
+
+def _fit_in_passes(stored: DataFrame, plan: _Plan, inside: list[int], base: np.ndarray, parts: int) -> list[list[Tree]]:
+    """All fits together over blocks spread through the cluster, one job per pass."""
+    n_columns = len(plan.sizes)
+    blocks = stored.rdd.map(lambda row: _Block.of(row, n_columns, inside, base))
+    blocks = blocks.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    trees: list[list[Tree]] = [[] for _ in plan.rules]
+    older = None
+    for turn in range(plan.rounds):
+
+        def counted(walk: _Walk, n_slots: int, turn: int = turn) -> np.ndarray:
+            return _summed(blocks, lambda b: plan.count(b, walk, n_slots, turn))
+
+        grown, last = plan.grow(turn, counted)
+        for k, tree in enumerate(grown):
+            if tree is not None:
+                trees[k].append(tree)
+        if older is not None:
+            older.unpersist()
+        older, blocks = blocks, blocks.map(lambda b, last=last: _moved(b, last)).persist(StorageLevel.MEMORY_AND_DISK)
         if turn % CHECKPOINT_EVERY == CHECKPOINT_EVERY - 1:
             blocks.checkpoint()
     for rdd in (older, blocks):
         if rdd is not None:
             rdd.unpersist()
+    return trees
+
+
+def _fit_side_by_side(stored: DataFrame, plan: _Plan, inside: list[int], base: np.ndarray) -> list[list[Tree]]:
+    """Rows that one task holds: every fit is a task that makes the same passes over them."""
+    n_columns = len(plan.sizes)
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        k = key[0].as_py()
+        own = plan.of_fit(k)
+        parts = [_Block.of(row, n_columns, [inside[k]], base[k : k + 1]) for row in table.to_pylist()]
+        join = lambda f, axis: np.concatenate([getattr(p, f) for p in parts], axis=axis)
+        block = _Block(join("bins", 1), join("y", 0), join("ids", 0), join("inside", 1), join("margin", 1))
+        rows = []
+        for turn in range(own.rounds):
+            (tree,), last = own.grow(turn, lambda walk, n_slots, turn=turn, block=block: own.count(block, walk, n_slots, turn))
+            block = _moved(block, last)
+            rows += [(k, turn, i, *[getattr(tree, f)[i].item() for f in _TREE_FIELDS]) for i in range(len(tree.feature))]
+        return pa.table(dict(zip(names, zip(*rows, strict=True), strict=True)), kinds)
+
+    spark = stored.sparkSession
+    schema = f"fit int, {NODE_SCHEMA}"
+    kinds = to_arrow_schema(spark.createDataFrame([], schema).schema)
+    names = kinds.names
+    each = stored.withColumn("fit", F.explode(F.sequence(F.lit(0), F.lit(len(plan.rules) - 1))))
+    spread = each.repartition(len(plan.rules), "fit")
+    found = spread.groupBy("fit").applyInArrow(run, schema).toPandas().sort_values(["fit", "tree", "node"])
+    trees: list[list[Tree]] = [[] for _ in plan.rules]
+    for (k, _), part in found.groupby(["fit", "tree"], sort=True):
+        trees[k].append(Tree(*[part[f].to_numpy() for f in _TREE_FIELDS]))
+    return trees
+
+
+def fit_boosted(rows: DataFrame, fits: Sequence[Fit], label: str = "label", key: str = "features") -> list[BoostedTrees]:
+    """Fit all models of ``fits`` over the same rows.
+
+    Rows beyond ``ROWS_PER_TASK`` are spread through the cluster and every pass is a job that
+    serves all fits; fewer rows go whole to one task per fit, which makes the same passes and
+    the same trees. ``key`` is what row samples are drawn by, best a unique id. Features are
+    vector columns without nulls. A fit without rows of both labels predicts its constant share.
+    """
+    spark = rows.sparkSession
+    ensure_checkpoint_dir(spark)
+    columns = list(dict.fromkeys(f.features for f in fits))
+    insides = list(dict.fromkeys(f.inside for f in fits))
+    edges = _edges(rows, columns, max(f.rules.bins for f in fits))
+    n_rows = rows.count()
+    if not n_rows:
+        return [BoostedTrees(0.0, (), 0, f.rules) for f in fits]
+    parts = math.ceil(n_rows / ROWS_PER_TASK)
+    stored = keep(_blocks(rows.repartition(parts), label, key, columns, insides, edges), "boost-blocks")
+    inside = [insides.index(f.inside) for f in fits]
+    sizes = np.array([[len(e) + 1 for e in edges[c]] for c in columns])
+    plan = _Plan(
+        np.array([columns.index(f.features) for f in fits]), [f.rules for f in fits],
+        [edges[c] for c in columns], sizes, np.cumsum(sizes, axis=1) - sizes,
+    )
+    counted = rows.agg(*[
+        agg
+        for i in insides
+        for agg in (F.sum(F.when(F.col(i), F.col(label).cast("double"))), F.count(F.when(F.col(i), 1)))
+    ]).first()
+    shares = [(counted[2 * i] or 0.0) / max(counted[2 * i + 1], 1) for i in inside]
+    base = np.array([math.log(p / (1 - p)) for p in (min(max(p, 1e-9), 1 - 1e-9) for p in shares)])
+    if parts > 1:
+        trees = _fit_in_passes(stored, plan, inside, base, parts)
+    else:
+        trees = _fit_side_by_side(stored, plan, inside, base)
     discard(stored)
-    return [BoostedTrees(float(b), tuple(t), d, r) for b, t, r in zip(base, trees, rules, strict=True)]
+    return [
+        BoostedTrees(float(b), tuple(t), sizes.shape[1], r) for b, t, r in zip(base, trees, plan.rules, strict=True)
+    ]
 
 
 @dataclass(frozen=True)

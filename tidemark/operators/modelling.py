@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
     LogisticRegression,
     LogisticRegressionModel,
     RandomForestClassificationModel,
@@ -23,10 +21,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import settings as s
+from tidemark.operators.boosting import BoostedTrees, Boosting, Fit, Rules, fit_boosted
 from tidemark.operators.cleaning import feature_types
 from tidemark.operators.quantiles import exact_median
 from tidemark.operators.ranking import with_global_rank
-from tidemark.scratch import keep
+from tidemark.scratch import discard, keep
 from tidemark.session import ensure_checkpoint_dir
 
 SEED = 42
@@ -247,22 +246,25 @@ def random_forest(trees: int = 400, depth: int = 12, min_leaf: int = 5) -> Rando
     )
 
 
-def depthwise_boosting(rounds: int = 400) -> GBTClassifier:
-    return GBTClassifier(
-        labelCol="label", maxIter=rounds, maxDepth=4, stepSize=0.05, subsamplingRate=0.9,
-        featureSubsetStrategy="0.8", minInstancesPerNode=8, seed=SEED,
-    )
+#: Hyper-parameters of the two boosters (fixed values).
+DEPTHWISE = Rules(
+    rounds=400, rate=0.05, max_depth=4, least_hessian=8.0, penalty=2.0, row_share=0.9, column_share=0.8, seed=SEED
+)
+LEAFWISE = Rules(
+    rounds=400, rate=0.05, max_leaves=31, least_rows=40, row_share=0.9, column_share=0.8, seed=SEED
+)
 
+def depthwise_boosting(rounds: int = 400) -> Boosting:
+    """Newton boosting of trees of depth 4 with a penalty on leaf weights."""
+    return Boosting(replace(DEPTHWISE, rounds=rounds))
 
-def leafwise_boosting(rounds: int = 400) -> GBTClassifier:
-    """Depth 5 allows up to 32 leaves; Spark grows trees level by level."""
-    return GBTClassifier(
-        labelCol="label", maxIter=rounds, maxDepth=5, stepSize=0.05, subsamplingRate=0.9,
-        featureSubsetStrategy="0.8", minInstancesPerNode=40, seed=SEED,
-    )
+
+def leafwise_boosting(rounds: int = 400) -> Boosting:
+    """Best-first trees of up to 31 leaves."""
+    return Boosting(replace(LEAFWISE, rounds=rounds))
 
 
-CANDIDATES: dict[str, Callable[[int], Estimator]] = {
+CANDIDATES: dict[str, Callable[[int], Estimator | Boosting]] = {
     "logistic_regression": logistic_regression,
     "random_forest": lambda n: random_forest(),
     "boosting_depthwise": lambda n: depthwise_boosting(),
@@ -272,11 +274,12 @@ CANDIDATES: dict[str, Callable[[int], Estimator]] = {
 _MODEL_CLASSES = {
     "LogisticRegressionModel": LogisticRegressionModel,
     "RandomForestClassificationModel": RandomForestClassificationModel,
-    "GBTClassificationModel": GBTClassificationModel,
 }
 
 
-def positive_probability(model: Model, encoded: DataFrame, output: str) -> DataFrame:
+def positive_probability(model: Model | BoostedTrees, encoded: DataFrame, output: str) -> DataFrame:
+    if isinstance(model, BoostedTrees):
+        return encoded.withColumn(output, model.probability("features"))
     scored = model.transform(encoded)
     produced = ("rawPrediction", "probability", "prediction")
     return scored.withColumn(output, vector_to_array("probability")[1]).drop(*produced)
@@ -307,6 +310,9 @@ def cross_validate(
     fit_inside_fold: bool = True,
 ) -> list[float]:
     """ROC-AUC per held-out fold; the encoding is fitted without the held-out rows."""
+    if isinstance(booster := build(1), Boosting):
+        fitted = boosted_fits(train, {"": booster.rules}, numeric, categorical, folds, fit_inside_fold=fit_inside_fold)
+        return fold_scores(train, fitted[""])
     shared = None if fit_inside_fold else fit_encoding(train, numeric, categorical)
     scores = []
     for i in range(folds):
@@ -319,7 +325,71 @@ def cross_validate(
     return scores
 
 
-def fit_model(encoded: DataFrame, build: Callable[[int], Estimator]) -> Model:
+@dataclass(frozen=True)
+class BoostedFits:
+    """A booster fitted without each fold, on all rows, and without each calibration fold."""
+
+    folds: tuple[tuple[Encoding, BoostedTrees], ...]
+    whole: BoostedTrees | None
+    members: tuple[BoostedTrees, ...]
+
+
+def boosted_fits(
+    train: DataFrame,
+    rules: Mapping[str, Rules],
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    folds: int = 5,
+    encoding: Encoding | None = None,
+    calibration_folds: int = 0,
+    fit_inside_fold: bool = True,
+) -> dict[str, BoostedFits]:
+    """All fits that comparing and calibrating boosters needs, in the same passes over the rows.
+
+    Folds have encodings of their own (unless ``fit_inside_fold`` is false). With ``encoding``
+    there is also a fit on all rows and one without each value of ``calibration_fold``.
+    """
+    shared = None if fit_inside_fold else (encoding or fit_encoding(train, numeric, categorical))
+    encodings = [shared or fit_encoding(train.where(F.col("fold") != i), numeric, categorical) for i in range(folds)]
+    rows = train.withColumn("_key", F.xxhash64(*numeric, *categorical))
+    used = {}
+    for e in [*encodings, *([encoding] if encoding else [])]:
+        if id(e) not in used:
+            used[id(e)] = f"_features{len(used)}"
+            rows = e.encode(rows, used[id(e)])
+    rows = rows.withColumn("_whole", F.lit(True))
+    rows = rows.withColumns({f"_fold{i}": F.col("fold") != i for i in range(folds)})
+    rows = rows.withColumns({f"_member{i}": F.col("calibration_fold") != i for i in range(calibration_folds)})
+    insides = [f"_fold{i}" for i in range(folds)]
+    jobs = [(used[id(e)], inside) for e, inside in zip(encodings, insides, strict=True)]
+    if encoding:
+        jobs += [(used[id(encoding)], i) for i in ("_whole", *[f"_member{k}" for k in range(calibration_folds)])]
+    kept = keep(rows.select("_key", "label", *used.values(), *dict.fromkeys(i for _, i in jobs)), "boost-rows")
+    fits = [Fit(features, inside, rule) for rule in rules.values() for features, inside in jobs]
+    models = fit_boosted(kept, fits, key="_key")
+    discard(kept)
+    out = {}
+    for n, name in enumerate(rules):
+        own = models[n * len(jobs) : (n + 1) * len(jobs)]
+        out[name] = BoostedFits(
+            tuple(zip(encodings, own[:folds], strict=True)),
+            own[folds] if encoding else None,
+            tuple(own[folds + 1 :]),
+        )
+    return out
+
+
+def fold_scores(train: DataFrame, fitted: BoostedFits) -> list[float]:
+    """ROC-AUC of every fold's model on the rows it has not seen."""
+    return [
+        area_under_roc(positive_probability(model, e.encode(train.where(F.col("fold") == i)), "churn_probability"))
+        for i, (e, model) in enumerate(fitted.folds)
+    ]
+
+
+def fit_model(encoded: DataFrame, build: Callable[[int], Estimator | Boosting]) -> Model | BoostedTrees:
+    if isinstance(booster := build(1), Boosting):
+        return booster.fit(encoded.select("features", "label"))
     weighted = with_class_weights(encoded, "label").select("features", "label", "class_weight").persist()
     try:
         return build(weighted.count()).fit(weighted)
@@ -411,10 +481,12 @@ def calibrate(
     encoding: Encoding,
     method: str | None = "sigmoid",
     folds: int = 3,
+    members: Sequence[BoostedTrees] = (),
 ) -> tuple[tuple[Model, Sigmoid | Isotonic], ...]:
     """Refit without each fold and calibrate on it; scoring averages the members.
 
-    ``train`` carries its stratified folds in ``calibration_fold``.
+    ``train`` carries its stratified folds in ``calibration_fold``. ``members`` are models
+    already fitted without each fold.
     """
     if not method:
         return ()
@@ -422,7 +494,7 @@ def calibrate(
     encoded = encoding.encode(train)
     parts = []
     for i in range(folds):
-        model = fit_model(encoded.where(F.col("calibration_fold") != i), build)
+        model = members[i] if members else fit_model(encoded.where(F.col("calibration_fold") != i), build)
         held_out = decision_value(model, encoded.where(F.col("calibration_fold") == i), "value")
         parts.append((model, fit(held_out.select("value", "label"), "value")))
     return tuple(parts)
@@ -454,10 +526,10 @@ def background_means(encoded_sample: DataFrame, names: Sequence[str]) -> dict[st
 
 def save_model(model: ChurnModel, folder: str, spark: SparkSession) -> None:
     """Spark models as Spark saves them, everything else as a one-row JSON table."""
-    model.base.write().overwrite().save(f"{folder}/base")
+    _save(model.base, f"{folder}/base", spark)
     calibrators = []
     for i, (member, calibrator) in enumerate(model.parts):
-        member.write().overwrite().save(f"{folder}/member{i}")
+        _save(member, f"{folder}/member{i}", spark)
         if isinstance(calibrator, Isotonic):
             calibrator.model.write().overwrite().save(f"{folder}/calibrator{i}")
             calibrators.append(None)
@@ -476,9 +548,17 @@ def save_model(model: ChurnModel, folder: str, spark: SparkSession) -> None:
     )
 
 
+def _save(model: Model | BoostedTrees, folder: str, spark: SparkSession) -> None:
+    if isinstance(model, BoostedTrees):
+        model.save(folder, spark)
+    else:
+        model.write().overwrite().save(folder)
+
+
 def load_model(folder: str, spark: SparkSession) -> ChurnModel:
     facts = json.loads(spark.read.parquet(f"{folder}/facts").first()["facts"])
-    loader = _MODEL_CLASSES[facts["class"]]
+    boosted = facts["class"] == BoostedTrees.__name__
+    load = (lambda at: BoostedTrees.load(at, spark)) if boosted else _MODEL_CLASSES[facts["class"]].load
     raw = facts["encoding"]
     encoding = Encoding(
         tuple(raw["numeric"]), tuple(raw["categorical"]), raw["medians"], raw["means"], raw["deviations"],
@@ -493,9 +573,9 @@ def load_model(folder: str, spark: SparkSession) -> ChurnModel:
             if calibrator
             else Isotonic(IsotonicRegressionModel.load(f"{folder}/calibrator{i}"))
         )
-        parts.append((loader.load(f"{folder}/member{i}"), fitted))
+        parts.append((load(f"{folder}/member{i}"), fitted))
     return ChurnModel(
-        facts["name"], encoding, loader.load(f"{folder}/base"), tuple(parts), facts["threshold"],
+        facts["name"], encoding, load(f"{folder}/base"), tuple(parts), facts["threshold"],
         facts["metrics"], facts["background"], facts["medians"],
     )
 

@@ -139,8 +139,54 @@ def _(f: Frames) -> DataFrame:
     encoding = modelling.fit_encoding(train, numeric, categorical)
     base = modelling.fit_model(encoding.encode(train), modelling.CANDIDATES["random_forest"])
     model = modelling.ChurnModel("random_forest", encoding, base, ())
-    explained = training_run.tree_explained_accounts(model, frame, scratch(f))
-    return explain.global_importance(explained)
+    return explain.global_importance(training_run.explained_accounts(model, frame))
+
+
+def _boosted(f: Frames) -> tuple[modelling.ChurnModel, DataFrame]:
+    """A depth-wise booster on all training rows, without the comparison of candidates."""
+    frame, numeric, categorical = _training(f)
+    train = frame.where(~F.col("is_test"))
+    encoding = modelling.fit_encoding(train, numeric, categorical)
+    base = modelling.fit_model(encoding.encode(train), modelling.CANDIDATES["boosting_depthwise"])
+    return modelling.ChurnModel("boosting_depthwise", encoding, base, ()), frame
+
+
+@register(
+    "m13_m15_tree_shapley_sums",
+    """SELECT customerID, CAST(0 AS DOUBLE) AS gap, CAST(0 AS DOUBLE) AS beyond_model
+       FROM {features}""",
+)
+def _(f: Frames) -> DataFrame:
+    model, frame = _boosted(f)
+    explained = training_run.explained_accounts(model, frame)
+    total = F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x["contribution"])
+    scored = model.score(frame, "p").select("customerID", F.log(F.col("p") / (1 - F.col("p"))).alias("margin"))
+    return explained.join(scored, "customerID").select(
+        "customerID",
+        F.abs(F.round(F.col("base_value") + total - F.col("prediction"), 6)).alias("gap"),
+        F.abs(F.round(F.col("prediction") - F.col("margin"), 6)).alias("beyond_model"),
+    )
+
+
+@register("m13_m15_w3_booster_drivers")
+def _(f: Frames) -> DataFrame:
+    model, frame = _boosted(f)
+    return explain.top_drivers(training_run.explained_accounts(model, frame), "customerID")
+
+
+@register(
+    "m4c_leaf_weights",
+    """SELECT CAST(0 AS BIGINT) AS wrong_leaves, CAST(0 AS BIGINT) AS thin_leaves""",
+)
+def _(f: Frames) -> DataFrame:
+    model, _ = _boosted(f)
+    rules = model.base.rules
+    leaves = model.base.node_table(f.spark).where("feature < 0")
+    weight = F.lit(-rules.rate) * F.col("gradient") / (F.col("hessian") + rules.penalty)
+    return leaves.agg(
+        F.count_if(F.abs(F.col("value") - weight) > 1e-9).alias("wrong_leaves"),
+        F.count_if(F.col("hessian") < rules.least_hessian - 1e-6).alias("thin_leaves"),
+    )
 
 
 @register("m14_impurity_fallback")
