@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranking import with_global_rank, with_running_totals
+from tidemark.operators.ranking import with_global_rank, with_group_totals, with_running_totals
 from tidemark.scratch import keep
 
 #: Weights of the sources in code point order, repeating.
@@ -60,24 +60,22 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: doc_id, size, source_size, target, taken, and the columns named in ``carry``."""
+    """Per row: doc_id, size, source_size, target, taken, and the columns named in ``carry``.
+
+    Queues hold ids and sizes only. Carried columns stay where they are: inside a source the
+    finish time grows with the order of its queue, so a pass takes all documents up to one last
+    one, and a row is compared with the last ones of its source. Of rows that repeat a last
+    document's id and size as many are taken as the queue took.
+    """
     key = F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    sized = keep(
-        docs.select(
-            F.monotonically_increasing_id().alias("_row"),
-            F.col(id_col).alias("doc_id"),
-            F.col("source"),
-            word_count(F.col("text")).alias("size"),
-            key.alias("_key"),
-            *[F.col(c).alias(f"_carry_{c}") for c in carry],
-        ),
-        "mix-sizes",
-    )
+    slim = [F.col(id_col).alias("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"), key.alias("_key")]
+    sized = keep(docs.select(F.monotonically_increasing_id().alias("_row"), *slim), "mix-sizes")
     targets = keep(source_targets(sized), "mix-targets")
     budget = BUDGET * (targets.agg(F.sum("source_size")).first()[0] or 0)
     order = ["rank", "_key", "doc_id", "size", "_row"]
     renamed = targets.withColumnRenamed("source", "_source")
-    placed = sized.drop(*[f"_carry_{c}" for c in carry]).join(renamed, F.col("source").eqNullSafe(F.col("_source")))
+    own_source = F.col("source").eqNullSafe(F.col("_source"))
+    placed = sized.join(renamed, own_source)
     queued = keep(with_running_totals(placed, [F.col(c) for c in order], ["size"]), "mix-queue")
     sent = F.col("cum_size") - F.col("before")
     entry = lambda p: F.struct(
@@ -93,20 +91,58 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", carry: tuple[str, ...]
         .agg(F.max(F.struct(*merged)).alias("last"))
         .first()["last"]
     )
-    times = F.lit(0)
+    taken = [F.lit(False)] * PASSES
     if cut is not None:
         last = F.struct(*[F.lit(cut[c]).cast(entries.schema[c].dataType) for c in merged])
-        for p in range(PASSES):
-            at = entry(p)
-            times = times + F.when(F.struct(*[at[c] for c in merged]) <= last, 1).otherwise(0)
-    times = F.when((F.col("size") > 0) & (F.col("target") > 0), times).otherwise(0)
-    out = queued.select(
-        "_row", "doc_id", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken")
+        able = (F.col("size") > 0) & (F.col("target") > 0)
+        taken = [able & (F.struct(*[entry(p)[c] for c in merged]) <= last) for p in range(PASSES)]
+    if not carry:
+        times = sum((t.cast("int") for t in taken), F.lit(0))
+        return queued.select(
+            "doc_id", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken")
+        )
+    lasts = keep(_last_taken(queued, taken), "mix-lasts")
+    ends = targets.select(F.col("source").alias("_source"), "rank", "source_size", "target").join(lasts, "rank", "left")
+    carried = [F.col(c).alias(f"_carry_{c}") for c in carry]
+    met = docs.select(*slim, *carried).join(ends, own_source)
+    return _up_to_the_last(met).select(
+        "doc_id", "size", "source_size", "target", "taken", *[F.col(f"_carry_{c}").alias(c) for c in carry]
+    )
+
+
+def _last_taken(queued: DataFrame, taken: list[Column]) -> DataFrame:
+    """Per source rank and pass p: last<p>, the last document taken, with the number of rows
+    that are equal to it (all<p>) and of those the pass takes (some<p>)."""
+    document = F.struct("_key", "doc_id", "size")
+    flagged = queued.select("rank", document.alias("document"), *[t.alias(f"take{p}") for p, t in enumerate(taken)])
+    lasts = flagged.groupBy("rank").agg(
+        *[F.max(F.when(F.col(f"take{p}"), F.col("document"))).alias(f"last{p}") for p in range(PASSES)]
     )
-    if carry:
-        kept = sized.select("_row", *[F.col(f"_carry_{c}").alias(c) for c in carry])
-        out = out.join(kept, "_row")
-    return out.drop("_row")
+    met = flagged.join(lasts, "rank")
+    equal = [F.col("document").eqNullSafe(F.col(f"last{p}")) for p in range(PASSES)]
+    counts = [F.count(F.when(e, 1)).alias(f"all{p}") for p, e in enumerate(equal)]
+    counts += [F.count(F.when(e & F.col(f"take{p}"), 1)).alias(f"some{p}") for p, e in enumerate(equal)]
+    return met.groupBy("rank").agg(*[F.first(f"last{p}").alias(f"last{p}") for p in range(PASSES)], *counts)
+
+
+def _up_to_the_last(met: DataFrame) -> DataFrame:
+    """``taken`` for rows that carry the last documents of their source."""
+    document = F.struct("_key", "doc_id", "size")
+    full = [F.col(f"last{p}").isNotNull() & (document < F.col(f"last{p}")) for p in range(PASSES)]
+    equal = [F.col(f"last{p}").isNotNull() & document.eqNullSafe(F.col(f"last{p}")) for p in range(PASSES)]
+    torn = F.lit(False)
+    for p, e in enumerate(equal):
+        torn = torn | (e & (F.col(f"some{p}") < F.col(f"all{p}")))
+    torn = F.coalesce(torn, F.lit(False))
+    words = lambda flags: (F.col("size") * sum((F.coalesce(f, F.lit(False)).cast("int") for f in flags), F.lit(0)))
+    whole = met.where(~torn).withColumn("taken", words([f | e for f, e in zip(full, equal, strict=True)]).cast("long"))
+    part = met.where(torn)
+    if part.isEmpty():
+        return whole
+    rows = part.withColumn("_one", F.lit(1).cast("long")).withColumn("_at", F.monotonically_increasing_id())
+    ranked = with_group_totals(keep(rows, "mix-torn"), ["rank", "_key", "size"], [F.col("_at")], ["_one"])
+    first = [f | (e & (F.col("cum__one") <= F.col(f"some{p}"))) for p, (f, e) in enumerate(zip(full, equal, strict=True))]
+    return whole.unionByName(ranked.withColumn("taken", words(first).cast("long")).drop("_one", "_at", "cum__one"))
 
 
 MIX_SQL = r"""
