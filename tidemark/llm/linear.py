@@ -122,7 +122,8 @@ def fit_on_sample(
     """Fit on at most ``max_rows`` labelled rows, those with the smallest hash of their id.
 
     Rows with a null id or label are ignored; an id labelled twice counts once, with its
-    larger label. The bound makes the fit one small task and its broadcast of ids safe.
+    larger label, and of rows that repeat an id one is used. The bound makes the fit one small
+    task and its broadcast of ids safe.
     """
     picked = (
         labels.select(F.col("doc_id").alias("_id"), F.col(label_col).cast("double").alias("_y"))
@@ -166,7 +167,11 @@ def fit_on_sample(
         )
 
     made = sample.mapInArrow(featurise, "y double, order long, ids binary, value binary")
-    got = made.coalesce(1).mapInArrow(train, "weights binary, bias double, slope double, offset double").collect()
+    # Of rows that repeat an id one counts, the least by its features. The shuffle keeps scan,
+    # join and features in as many tasks as the table has; only the bounded sample's features
+    # reach the one task that fits.
+    once = made.groupBy("y", "order").agg(F.min(F.struct("ids", "value")).alias("f")).select("y", "order", "f.*")
+    got = once.repartition(1).mapInArrow(train, "weights binary, bias double, slope double, offset double").collect()
     if not got:
         return LinearModel(np.zeros(1 << bits, np.float32), 0.0, 1.0, 0.0, bits)
     m = got[0]
