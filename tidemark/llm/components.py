@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.scratch import keep
+from tidemark.scratch import discard, keep
 
 
 def component_labels(links: DataFrame) -> DataFrame:
@@ -35,9 +35,12 @@ def component_labels(links: DataFrame) -> DataFrame:
         after = keep(
             jumped.select("node", "old", F.least("via", F.coalesce("far", "via")).alias("label")), "labels"
         )
-        labels = after.select("node", "label")
+        discard(labels)
+        labels = after
         if after.where("label <> old").isEmpty():
-            return labels
+            found = keep(after.select("node", "label"), "labels")
+            discard(both, after)
+            return found
 
 
 def merged_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -50,9 +53,12 @@ def merged_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
         "new-links",
     )
     between = placed.where("label_a <> label_b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-    moves = component_labels(between).select(F.col("node").alias("label"), F.col("label").alias("moved"))
+    merged = component_labels(between)
+    moves = merged.select(F.col("node").alias("label"), F.col("label").alias("moved"))
     fresh = placed.select(F.col("a").alias("node"), F.col("label_a").alias("label")).union(
         placed.select("b", "label_b")
     )
     nodes = labels.union(fresh).distinct()
-    return keep(nodes.join(moves, "label", "left").select("node", F.coalesce("moved", "label").alias("label")), "labels")
+    found = keep(nodes.join(moves, "label", "left").select("node", F.coalesce("moved", "label").alias("label")), "labels")
+    discard(placed, merged)
+    return found

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bytesets import Texts, chunks, mix, windows
 from tidemark.llm.components import component_labels, merged_labels
-from tidemark.scratch import keep
+from tidemark.scratch import discard, keep
 
 COLLECTIONS, PER_COLLECTION = 28, 4
 N_HASHES = COLLECTIONS * PER_COLLECTION
@@ -180,7 +180,9 @@ def buckets(reps: DataFrame) -> DataFrame:
         .where("lo <> hi")
         .drop("lo", "hi")
     )
-    return keep(met.join(busy, "key"), "near-buckets")
+    found = keep(met.join(busy, "key"), "near-buckets")
+    discard(met)
+    return found
 
 
 def _agreeing(x: Column, y: Column) -> Column:
@@ -253,7 +255,8 @@ def _open_rows(met: DataFrame, labels: DataFrame, columns: list[str]) -> DataFra
     labelled = met.select("key", "rep", *columns).join(known, "rep", "left").withColumn(
         "label", F.coalesce("label", "rep")
     )
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+    spread = F.min("label") != F.max("label")
+    mixed = labelled.groupBy("key").agg(spread.alias("mixed")).where("mixed")
     return keep(labelled.join(mixed.select("key"), "key"), "near-open")
 
 
@@ -293,8 +296,13 @@ def _with_support(rows: DataFrame, docs: DataFrame, reps: DataFrame, several: Da
 
 
 def _drawn(rows: DataFrame) -> DataFrame:
-    """Every row and one member of its bucket drawn by hash, where in different components."""
-    pick = F.struct(F.xxhash64("rep", "key", F.lit(2)), "rep", "label", "n", "support")
+    """Every row and the member of its bucket with the fewest shingles of its own, where they
+    are in different components.
+
+    In a family of copies that is the text they were made from, if it is there; it is the same
+    in all the family's buckets."""
+    alone = (F.col("n") - F.col("support")).alias("alone")
+    pick = F.struct(alone, F.xxhash64("rep", F.lit(2)), "rep", "label", "n", "support")
     other = rows.groupBy("key").agg(F.min(pick).alias("o"))
     met = rows.join(other, "key").where(
         (F.col("label") != F.col("o.label"))
@@ -419,17 +427,26 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     several = member_of.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("hi")).where("b <> hi")
     own = member_of.join(several, "doc_id").select(F.col("rep").alias("a"), "b").where("a <> b")
     tried = keep(likely(_ordered(met.where("ring").select(F.col("rep").alias("a"), F.col("first").alias("b"))), reps), "near-pairs")
-    labels = component_labels(keep(confirmed(tried, docs, width).union(own), "near-links"))
-    able = _with_support(_open_rows(met, labels, []), docs, reps, several, width)
+    links = keep(confirmed(tried, docs, width).union(own), "near-links")
+    labels = component_labels(links)
+    opened = _open_rows(met, labels, [])
+    discard(met, links)
+    able = _with_support(opened, docs, reps, several, width)
+    discard(opened)
     for drawn in (True, False):
         rows = _open_rows(able, labels, ["n", "support"])
         pairs = _drawn(rows) if drawn else _across(_split_by_size(rows)[0], reps)
         untried = _ordered(pairs).join(tried, ["a", "b"], "left_anti")
         untried = keep(likely(untried, reps), "near-pairs")
+        discard(rows)
         if not untried.isEmpty():
             tried = tried.union(untried)
-            labels = merged_labels(labels, keep(confirmed(untried, docs, width), "near-links"))
+            links = keep(confirmed(untried, docs, width), "near-links")
+            merged = merged_labels(labels, links)
+            discard(labels, links)
+            labels = merged
     rows = _open_rows(able, labels, ["n", "support"])
+    discard(able)
     _, many = _split_by_size(rows)
     if not many.isEmpty():
         labels = merged_labels(labels, keep(_linked_in_blocks(keep(many, "near-many"), docs, width), "near-links"))
@@ -441,6 +458,7 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
         .agg(F.min(F.coalesce("label", "rep")).alias("label")),
         "near-components",
     )
+    discard(classes, member_of, reps, rows, labels)
     found = signed.select("doc_id", "n_shingles").join(least, "doc_id", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("label", "doc_id")).otherwise(F.col("doc_id"))
     return found.select(
