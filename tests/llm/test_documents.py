@@ -550,5 +550,5 @@ def test_pipeline_stage_by_stage(spark, docs):
 
 
 def test_catalog_names():
-    assert [n.split("_")[0] for n in catalog.queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [n.split("_")[0] for n in catalog.queries()] == [f"op{n}" for n in range(1, 14)]
     assert isinstance(LinearModel(np.zeros(4, np.float32), 0.0, 1.0, 0.0, 2).probability(np.zeros(1))[0], float)

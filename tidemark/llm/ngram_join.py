@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,14 +115,24 @@ def survivors(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
     return live
 
 
-def _placed_in(k: int):
-    """The place of a token in order k: rotated class, frequency, token."""
-
-    def place(x: Column) -> Column:
-        rotated = F.pmod(F.pmod(x["token"], F.lit(ORDERS)) - k, F.lit(ORDERS))
-        return F.struct(rotated.alias("c"), x["df"], x["token"])
-
-    return place
+def _prefixes_of(batch: pa.RecordBatch) -> list[pa.Array]:
+    """The prefix of every document of a batch (n, free, held as df and token) in every order."""
+    n, free = np.asarray(batch["n"]), batch["free"].to_numpy(zero_copy_only=False)
+    held = batch["held"]
+    doc = np.asarray(pc.list_parent_indices(held)).astype(np.int64)
+    df, token = (np.asarray(pc.struct_field(pc.list_flatten(held), f)) for f in ("df", "token"))
+    size = np.bincount(doc, minlength=len(n))
+    # Tokens that no other document has come first in every order, whatever their class.
+    length = n - -(-n * PERCENT // 100) + 1
+    room = np.where(free, size, np.clip(length - (n - size), 0, size))
+    start = np.cumsum(size) - size
+    out = []
+    for k in range(ORDERS):
+        order = np.lexsort((token, df, (token % ORDERS - k) % ORDERS, doc))
+        chosen = order[np.arange(len(order)) - start[doc] < room[doc]]
+        bounds = np.concatenate([[0], np.cumsum(room)]).astype(np.int32)
+        out.append(pa.ListArray.from_arrays(pa.array(bounds), pa.array(token[chosen])))
+    return out
 
 
 def prefixes(docs: DataFrame, live: DataFrame, width: int) -> DataFrame:
@@ -135,18 +146,21 @@ def prefixes(docs: DataFrame, live: DataFrame, width: int) -> DataFrame:
         .agg(F.collect_list(F.struct("df", "token")).alias("held"))
         .join(live, "rep")
     )
-    lonely = F.col("n") - F.size("held")
-    length = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
-    out = held
-    for k in range(ORDERS):
-        # Tokens that no other document has come first in every order, whatever their class.
-        placed = F.array_sort(F.transform("held", _placed_in(k)))
-        room = F.when(F.col("free"), F.size("held")).otherwise(F.greatest(length - lonely, F.lit(0))).cast("int")
-        out = out.withColumn(f"p{k}", F.transform(F.slice(placed, 1, room), lambda x: x["token"]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [batch[c] for c in ("rep", "n", "alone", "free")]
+            yield pa.RecordBatch.from_arrays([*kept, *_prefixes_of(batch)], ["rep", "n", "alone", "free", *names])
+
+    names = [f"p{k}" for k in range(ORDERS)]
+    key = live.schema["rep"].dataType.simpleString()
+    placed = held.select("rep", "n", "alone", "free", "held").mapInArrow(
+        run, f"rep {key}, n long, alone long, free boolean, " + ", ".join(f"{p} array<long>" for p in names)
+    )
     some = F.lit(True)
-    for k in range(ORDERS):
-        some = some & (F.size(f"p{k}") > 0)
-    found = keep(out.where(some).select("rep", "n", "alone", "free", *[f"p{k}" for k in range(ORDERS)]), "join-prefixes")
+    for p in names:
+        some = some & (F.size(p) > 0)
+    found = keep(placed.where(some), "join-prefixes")
     discard(tokens)
     return found
 
