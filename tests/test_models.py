@@ -8,10 +8,11 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from tidemark.operators import explain, modelling, segmentation
+from tidemark.operators import explain, kmeans, modelling, segmentation
 from tidemark.plans import training_run
 from tidemark.sources import files, tables
 from tidemark.streaming import scoring
@@ -389,3 +390,51 @@ def test_many_rare_levels_mean_the_same_as_few(spark, customers, monkeypatch, tm
     base = modelling.fit_model(tabled.encode(train), modelling.logistic_regression)
     modelling.save_model(modelling.ChurnModel("lr", tabled, base, ()), str(tmp_path / "m"), spark)
     assert rows(modelling.load_model(str(tmp_path / "m"), spark).encoding) == rows(listed)
+
+
+def test_all_k_means_fits_share_their_scans(spark, blobs, monkeypatch):
+    points, _ = segmentation.standardised_inputs(blobs, inputs=["tenure", "MonthlyCharges"])
+    x = np.array([r["scaled"] for r in points.orderBy("customerID").collect()])
+    raw = np.array([list(r) for r in blobs.orderBy("customerID").select("tenure", "MonthlyCharges").collect()])
+    assert x == pytest.approx((raw - raw.mean(axis=0)) / raw.std(axis=0, ddof=1))
+    scans = []
+    monkeypatch.setattr(kmeans, "_cluster_sums", lambda *a, _of=kmeans._cluster_sums, **n: scans.append(1) or _of(*a, **n))
+    fits = kmeans.fit_all(points, (2, 4, 6), 3)
+    assert [(f.k, f.start) for f in fits] == [(k, i) for k in (2, 4, 6) for i in range(3)]
+    assert len(scans) == kmeans.ROUNDS + 1 + max(f.passes for f in fits) + 1
+    for fit in fits:  # settled: a centre is the mean of the rows that are nearest to it
+        distance = ((x[:, None] - fit.centres[None]) ** 2).sum(axis=2)
+        own = distance.argmin(axis=1)
+        assert fit.cost == pytest.approx(distance.min(axis=1).sum())
+        for c in range(len(fit.centres)):
+            assert fit.centres[c] == pytest.approx(x[own == c].mean(axis=0), abs=1e-3)
+    best = kmeans.cheapest(fits)
+    assert best[4].cost == min(f.cost for f in fits if f.k == 4) < best[2].cost
+    again = kmeans.fit_all(points.repartition(7), (2, 4, 6), 3)  # draws don't depend on partitions
+    assert [f.cost for f in again] == pytest.approx([f.cost for f in fits])
+
+
+def test_spreads_of_several_fits_equal_the_single_measures(blobs):
+    names = ["tenure", "MonthlyCharges"]
+    points, _ = segmentation.standardised_inputs(blobs, inputs=names)
+    chosen = {k: f.centres for k, f in kmeans.cheapest(kmeans.fit_all(points, (3, 4), 2)).items()}
+    got = kmeans.spreads(points, chosen)
+    for k, centres in chosen.items():
+        labelled = points.withColumn("segment_id", kmeans.nearest(centres, F.col("scaled")))
+        own = labelled.withColumn("v", array_to_vector("scaled"))
+        assert got[k].silhouette == pytest.approx(segmentation.squared_silhouette(own, "v"))
+        spread = labelled.select("segment_id", *[F.col("scaled")[i].alias(n) for i, n in enumerate(names)])
+        single = segmentation.cluster_quality(spread, names, "segment_id").first()
+        assert got[k].davies_bouldin == pytest.approx(single["davies_bouldin"])
+        assert got[k].calinski_harabasz == pytest.approx(single["calinski_harabasz"])
+
+
+def test_fewer_points_than_clusters(spark):
+    rows = [("a", [0.0, 1.0]), ("b", [0.0, 1.0]), ("c", [2.0, 1.0])]
+    points = spark.createDataFrame(rows, "customerID string, scaled array<double>")
+    fit = kmeans.fit_all(points, (4,), 1)[0]
+    assert sorted(fit.centres.tolist()) == [[0.0, 1.0], [2.0, 1.0]] and fit.cost == 0
+    one = kmeans.spreads(points.where("customerID < 'c'"), {1: np.array([[0.0, 1.0]])})[1]
+    assert one.silhouette == 0 and one.davies_bouldin is None
+    with pytest.raises(ValueError, match="no rows"):
+        kmeans.fit_all(points.where("false"), (2,), 1)

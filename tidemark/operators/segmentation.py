@@ -7,18 +7,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import settings as s
 from tidemark.functions.numbers import exact_avg
+from tidemark.operators import kmeans
 from tidemark.operators.kpi import cluster_centroids
 from tidemark.operators.quantiles import exact_median
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.scratch import keep
 
 # Inputs and candidate numbers of segments.
 SEGMENT_FEATURES = ("tenure", "MonthlyCharges", "TotalCharges", "avg_charge_per_month", "services_count")
@@ -38,6 +36,7 @@ class Segmentation:
     assignments: DataFrame  # id, segment_id, segment_name
     quality: DataFrame  # k, silhouette, davies_bouldin, calinski_harabasz
     k: int
+    centres: np.ndarray  # one row per segment, in standardised inputs
 
 
 def segment(
@@ -51,56 +50,55 @@ def segment(
 ) -> Segmentation:
     """Cluster the standardised inputs for every k and keep the best silhouette.
 
+    All numbers of segments and all starts are fitted in the same scans.
     The silhouette is the one over all rows, of squared distances; with ``sample`` it is
     the Euclidean one over so many rows.
     """
     spark = features.sparkSession
-    ensure_checkpoint_dir(spark)
     inputs = [c for c in inputs if c in features.columns]
-    medians = exact_median(features, inputs)
-    filled = features.select(
-        columns.id,
-        *[F.col(c).cast("double").alias(c) for c in inputs],
-    )
-    complete = filled.withColumns({c: F.coalesce(c, F.lit(medians[c])) for c in inputs})
-    assembled = VectorAssembler(inputCols=inputs, outputCol="raw").transform(complete)
-    scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True).fit(assembled)
-    scaled = scaler.transform(assembled).drop("raw").checkpoint()
-
-    best = None
+    points, medians = standardised_inputs(features, columns, inputs)
+    chosen = {
+        k: fit.centres
+        for k, fit in kmeans.cheapest(kmeans.fit_all(points, k_range, n_init, seed, key=columns.id)).items()
+    }
+    spreads = kmeans.spreads(points, chosen)
     rows = []
-    for k in k_range:
-        labelled = _best_clustering(scaled, k, n_init, seed)
-        parts = labelled.withColumn("scaled_values", vector_to_array("scaled"))
-        names = [f"z{i}" for i in range(len(inputs))]
-        spread = parts.select(
-            columns.id, "segment_id", *[F.col("scaled_values")[i].alias(n) for i, n in enumerate(names)]
-        )
-        if sample is None:
-            width = squared_silhouette(labelled)
-        else:
+    for k, centres in chosen.items():
+        width = spreads[k].silhouette
+        if sample is not None:
+            names = [f"z{i}" for i in range(len(inputs))]
+            spread = points.select(
+                columns.id, kmeans.nearest(centres, F.col("scaled")).alias("segment_id"),
+                *[F.col("scaled")[i].alias(n) for i, n in enumerate(names)],
+            )
             width = mean_silhouette(spread, names, "segment_id", columns.id, sample, seed)
-        quality = cluster_quality(spread, names, "segment_id").first()
-        rows.append((k, width, quality["davies_bouldin"], quality["calinski_harabasz"]))
-        if best is None or width > best[1]:
-            best = (k, width, labelled)
-    assigned = best[2].select(columns.id, "segment_id")
-    joined = filled.join(assigned, columns.id)
-    named = name_segments(cluster_centroids(joined, inputs, "segment_id"), medians, columns)
+        rows.append((k, width, spreads[k].davies_bouldin, spreads[k].calinski_harabasz))
+    best = max(rows, key=lambda r: r[1])[0]
+    assigned = points.withColumn("segment_id", kmeans.nearest(chosen[best], F.col("scaled")))
+    named = name_segments(cluster_centroids(assigned, inputs, "segment_id"), medians, columns)
     quality_table = spark.createDataFrame(
         rows, "k int, silhouette double, davies_bouldin double, calinski_harabasz double"
     )
-    return Segmentation(assigned.join(F.broadcast(named), "segment_id"), quality_table, best[0])
+    assignments = assigned.select(columns.id, "segment_id").join(F.broadcast(named), "segment_id")
+    return Segmentation(assignments, quality_table, best, chosen[best])
 
 
-def _best_clustering(scaled: DataFrame, k: int, n_init: int, seed: int) -> DataFrame:
-    """The cheapest of several seeded starts."""
-    models = [
-        KMeans(k=k, seed=seed + i, featuresCol="scaled", predictionCol="segment_id").fit(scaled)
-        for i in range(n_init)
-    ]
-    cheapest = min(models, key=lambda m: m.summary.trainingCost)
-    return cheapest.transform(scaled)
+def standardised_inputs(
+    features: DataFrame, columns: s.AccountColumns = s.ACCOUNTS, inputs: Sequence[str] = SEGMENT_FEATURES
+) -> tuple[DataFrame, dict[str, float]]:
+    """Written once: id, the inputs as they are and ``scaled``, gaps filled by the medians."""
+    medians = exact_median(features, inputs)
+    filled = features.select(columns.id, *[F.col(c).cast("double").alias(c) for c in inputs])
+    complete = [F.coalesce(c, F.lit(medians[c])) for c in inputs]
+    moments = filled.agg(
+        *[F.avg(x).alias(f"m_{i}") for i, x in enumerate(complete)],
+        *[F.stddev_samp(x).alias(f"d_{i}") for i, x in enumerate(complete)],
+    ).first()
+    scaled = []
+    for i, x in enumerate(complete):
+        deviation = moments[f"d_{i}"]
+        scaled.append((x - F.lit(moments[f"m_{i}"])) / F.lit(deviation) if deviation else F.lit(0.0))
+    return keep(filled.withColumn("scaled", F.array(*scaled)), "segment-points"), medians
 
 
 def squared_silhouette(labelled: DataFrame, features: str = "scaled", cluster: str = "segment_id") -> float:

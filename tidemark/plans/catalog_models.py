@@ -221,6 +221,26 @@ def _(f: Frames) -> DataFrame:
     return segmentation.segment(f.features).assignments
 
 
+@register(
+    "m16_nearest_centres",
+    "SELECT customerID, CAST(0 AS BIGINT) AS nearer_centres FROM {features}",
+)
+def _(f: Frames) -> DataFrame:
+    """Centres that are nearer to a customer than the one of the own segment."""
+    result = segmentation.segment(f.features)
+    points, _ = segmentation.standardised_inputs(f.features)
+    found = points.join(result.assignments.select("customerID", "segment_id"), "customerID")
+    gaps = F.array(
+        *[
+            sum(((F.col("scaled")[i] - float(c)) * (F.col("scaled")[i] - float(c)) for i, c in enumerate(centre)), F.lit(0.0))
+            for centre in result.centres
+        ]
+    )
+    own = F.element_at(gaps, F.col("segment_id") + 1)
+    nearer = F.size(F.filter(gaps, lambda gap: gap < own - 1e-9))
+    return found.select("customerID", nearer.cast("bigint").alias("nearer_centres"))
+
+
 @register("n4_n5_t6_x9_topics")
 def _(f: Frames) -> DataFrame:
     model = topics.fit_topics(f.corpus, rules=topics.topic_rules(fr.TEXT_STOP_WORDS))
