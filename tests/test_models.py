@@ -273,8 +273,34 @@ def test_tables(spark, tmp_path):
         tables.write_table(df, "t_numbers", "merge")
 
 
+def test_runs_are_replaced_whole_and_read_only_when_complete(spark, tmp_path, monkeypatch):
+    where = {"folder": str(tmp_path), "manifest": "t_manifest"}
+    with pytest.raises(LookupError):
+        tables.read_run(spark, "t_runs", manifest="t_manifest")
+    df = spark.range(6).withColumn("text", F.lit("x"))
+    assert tables.write_run(df, "t_runs", "a'b", **where) == 6
+    assert tables.write_run(df.select("text", "id").where("id < 4"), "t_runs", "two", **where) == 4
+    assert tables.write_run(df.where("id < 3"), "t_runs", "a'b", **where) == 3
+    read = lambda run=None: tables.read_run(spark, "t_runs", run, "t_manifest")
+    assert sorted(r["id"] for r in read("a'b").collect()) == [0, 1, 2] and read("two").count() == 4
+    assert read().first()["run_id"] == "a'b"  # ended last
+    assert tables.write_run(df.where("id < 0"), "t_runs", "two", **where) == 0
+    assert read("two").count() == 0 and read("a'b").count() == 3
+    failing = df.withColumn("text", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        tables.write_run(failing, "t_runs", "a'b", **where)
+    with pytest.raises(LookupError):
+        read("a'b")
+    assert {r["run_id"]: r["rows"] for r in tables.complete_runs(spark, "t_runs", "t_manifest").collect()} == {"two": 0}
+    with pytest.raises(ValueError):
+        tables.write_run(df.select("id"), "t_runs", "two", **where)
+    with pytest.raises(ValueError):
+        tables.write_run(df.withColumn("run_id", F.lit(1)), "t_runs", "two", **where)
+
+
 def test_report_and_run_log(spark, run, tmp_path):
     tables.write_report(run.report, run.run_id, folder=str(tmp_path))
+    tables.write_report(run.report, run.run_id, folder=str(tmp_path))  # again: replaced, not repeated
     back = tables.read_report(spark, run.run_id)
     assert set(back) == set(tables.REPORT_PARTS) and back["lift_table"].count() == 10
     assert tables.read_report(spark, "x", prefix="never_written") == {}

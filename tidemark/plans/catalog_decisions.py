@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,12 +13,13 @@ from tidemark.functions import render
 from tidemark.functions.numbers import ratio_to, round_half_up
 from tidemark.operators import decisions, evaluation, explain, kpi, segmentation
 from tidemark.plans import frames as fr
+from tidemark.plans import segment_run, training_run
 from tidemark.plans.catalog_accounts import scratch
 from tidemark.plans.frames import Frames
 from tidemark.plans.oracle_views import mean, rnd, total, value_of_offer
 from tidemark.plans.registry import register
 from tidemark.settings import Economics
-from tidemark.sources import files
+from tidemark.sources import files, tables
 
 # ---------------------------------------------------------------- decision columns
 
@@ -215,6 +219,77 @@ def _(f: Frames) -> DataFrame:
     return evaluation.lift_table(f.scored)
 
 
+# ---------------------------------------------------------------- written runs
+
+
+def _names(*kinds: str) -> list[str]:
+    return [f"tidemark_{kind}_{uuid.uuid4().hex}" for kind in kinds]
+
+
+@register(
+    "k4_m22_predictions_written",
+    f"""SELECT {_DECISION}, 'second' AS run_id FROM {{predictions}} WHERE churn_probability >= 0.5
+        UNION ALL SELECT {_DECISION}, 'first' AS run_id FROM {{predictions}}""",
+)
+def _(f: Frames) -> DataFrame:
+    """Two runs, one of them written again in another form, both read back."""
+    table, manifest = _names("predictions", "manifest")
+    folder, shown = scratch(f), f.predictions.drop("scored_at")
+    training_run.write_predictions(shown, "first", folder, table, manifest)
+    training_run.write_predictions(shown, "second", folder, table, manifest)
+    again = shown.where("churn_probability >= 0.5")
+    training_run.write_predictions(again, "second", folder, table, manifest)
+    last = tables.read_run(f.spark, table, manifest=manifest)  # the run that ended last
+    return last.unionByName(tables.read_run(f.spark, table, "first", manifest))
+
+
+@register("k5_segments_written", "SELECT customerID, segment_id, segment_name, 'r' AS run_id FROM {segments}")
+def _(f: Frames) -> DataFrame:
+    table, manifest = _names("segments", "manifest")
+    segment_run.write_segments(f.segments, f.features, "r", None, scratch(f), table, manifest)
+    return tables.read_run(f.spark, table, "r", manifest)
+
+
+@register(
+    "k5_segment_profile_csv",
+    f"""SELECT segment_name, customers, {rnd('avg_tenure', 3)} AS avg_tenure, {rnd('avg_monthly', 3)} AS avg_monthly,
+               {rnd('churn_rate', 3)} AS churn_rate
+        FROM (SELECT segment_name, count(customerID) AS customers, {mean('Churn')} AS churn_rate,
+                     {mean('MonthlyCharges')} AS avg_monthly, {mean('tenure')} AS avg_tenure
+              FROM {{segments}} GROUP BY segment_name) means""",
+)
+def _(f: Frames) -> DataFrame:
+    (table, manifest), folder = _names("segments", "manifest"), scratch(f)
+    segment_run.write_segments(f.segments, f.features, "r", f"{folder}/profile", folder, table, manifest)
+    schema = "segment_name string, customers bigint, avg_tenure double, avg_monthly double, churn_rate double"
+    return f.spark.read.schema(schema).csv(f"{folder}/profile", header=True)
+
+
+@register(
+    "k7_report_written",
+    """SELECT 'decision_policy' AS part, 'r' AS run_id, CAST(1 AS BIGINT) AS n
+       UNION ALL SELECT 'final_metrics', 'r', CAST(1 AS BIGINT)
+       UNION ALL SELECT 'lift_table', 'r', least(10, count(*)) FROM {scored}""",
+)
+def _(f: Frames) -> DataFrame:
+    """The parts that don't compare candidates, written twice under one run: once each."""
+    (prefix, manifest), folder = _names("report", "manifest"), scratch(f)
+    scored = f.scored.select("customerID", "label", "MonthlyCharges", "churn_probability")
+    parts = {
+        "final_metrics": evaluation.classification_report(scored),
+        "decision_policy": decisions.choose_threshold(scored),
+        "lift_table": evaluation.lift_table(scored),
+    }
+    for _ in range(2):
+        tables.write_report(parts, "r", prefix, folder, manifest)
+    back = tables.read_report(f.spark, "r", prefix, manifest)
+    counts = [
+        rows.groupBy("run_id").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "run_id", "n")
+        for name, rows in back.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # ---------------------------------------------------------------- attribution
 
 
