@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import re
 from collections import Counter
@@ -385,3 +386,61 @@ def test_projection_keeps_neighbours(spark, themed):
     same = np.array([[a["theme"] == b["theme"] for b in rows] for a in rows])
     product = matrix @ matrix.T
     assert product[same].mean() > product[~same].mean() + 0.3
+
+
+def test_rows_keep_their_columns_and_number_through_topics_and_vectors(spark, themed):
+    corpus = themed.withColumnRenamed("review_text", "clean_text")
+    model = topics.fit_topics(corpus, topics=3, max_passes=5)
+    twice = corpus.unionByName(corpus.where("review_id = 'r000'")).withColumn("topic_label", F.lit("old"))
+    placed = topics.with_topics(twice, model)
+    assert placed.columns == [c for c in twice.columns if c != "topic_label"] + list(topics.TOPIC_COLUMNS)
+    rows = placed.collect()
+    assert len(rows) == 122 and sum(r["review_id"] == "r000" for r in rows) == 2
+    single = {r["review_id"]: r for r in topics.assign_topics(corpus, model).collect()}
+    assert all(r["topic_id"] == single[r["review_id"]]["topic_id"] for r in rows)
+    assert topics.with_topics(twice.where("false"), model).count() == 0
+    projection = embedding.fit_projection(corpus, "clean_text", model.term_model, 4)
+    vectors = embedding.with_embedding(twice, "clean_text", projection)
+    assert vectors.columns == [*twice.columns, "embedding"] and vectors.count() == 122
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_a_model_is_loaded_once_in_a_worker(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+
+        open(f"{folder}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+        sizes = []
+
+        def predict(texts):
+            sizes.append(len(texts))
+            assert max(sizes) <= 8
+            return np.array([len(t) / 100 for t in texts])
+
+        return predict
+
+    df = spark.range(200).select("id", F.when(F.col("id") != 7, F.repeat(F.lit("x"), F.col("id").cast("int"))).alias("clean_text"))
+    scored = feedback.score_sentiment(
+        df.repartition(4), backend=feedback.model_backend(load, batch_size=8), backend_name="length"
+    )
+    rows = {r["id"]: r for r in scored.collect()}
+    assert len(rows) == 200 and rows[150]["sentiment_score"] == 1.5 and rows[7]["sentiment_score"] == 0
+    assert rows[0]["sentiment_backend"] == "length"
+    loaded = [name.split("-")[0] for name in os.listdir(folder)]
+    assert 0 < len(loaded) == len(set(loaded))
+
+
+def test_word_scores(spark):
+    rows = [("good good fast", 5), ("good", 4), ("bad slow", 1), ("bad bad good", 2), ("unseen", 3), ("", 5)]
+    df = spark.createDataFrame(rows, "clean_text string, rating int")
+    rating = F.col("rating")
+    model = feedback.fit_word_scores(df, F.when(rating != 3, rating >= 4))
+    assert set(model.words) == {"good", "bad", "fast", "slow"} and model.prior == pytest.approx(np.log(4 / 3))
+    assert model.words["good"] == pytest.approx(np.log(4 / 8) - np.log(2 / 9))
+    scores = model.load()(np.array(["good", "bad", "", "unseen"]))
+    assert scores[0] > 0 > scores[1] and scores[2] == scores[3] == pytest.approx(1 / 7)
+    assert set(feedback.fit_word_scores(df, F.when(rating != 3, rating >= 4), max_words=2).words) == {"good", "bad"}

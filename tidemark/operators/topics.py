@@ -118,6 +118,9 @@ def _initial_components(
     return out
 
 
+TOPIC_COLUMNS = ("topic_id", "topic_label", "topic_strength")
+
+
 def fit_topics(
     corpus: DataFrame,
     text_column: str = "clean_text",
@@ -155,17 +158,23 @@ def fit_topics(
 
 def topic_weights(corpus: DataFrame, model: TopicModel, text_column: str, key: str) -> DataFrame:
     """Document weights on the fixed topics: ``(key, weights array<double>)``."""
-    documents = sparse_rows(vectorise(corpus.select(key, text_column), text_column, model.term_model), key)
+    vectors = vectorise(corpus.select(key, text_column), text_column, model.term_model)
+    return vectors.select(key, _weights(model, F.col("tfidf")).alias("weights"))
+
+
+def _weights(model: TopicModel, vector: Column) -> Column:
+    """A row's weights; only the vector's entries travel to Python, other columns stay."""
     gram = model.components @ model.components.T
     transposed = np.ascontiguousarray(model.components.T)
 
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            products, *_ = batch_products(batch, transposed)
-            yield pd.DataFrame({key: batch[key], "weights": list(_solve_weights(products, gram, 200))})
+    @F.pandas_udf("array<double>")
+    def solve(indices: pd.Series, values: pd.Series) -> pd.Series:
+        batch = pd.DataFrame({"indices": indices, "values": values})
+        products, *_ = batch_products(batch, transposed)
+        return pd.Series(list(_solve_weights(products, gram, 200)), index=indices.index, dtype=object)
 
-    key_type = corpus.schema[key].dataType.simpleString()
-    return documents.mapInPandas(solve, f"`{key}` {key_type}, weights array<double>")
+    fields = F.unwrap_udt(vector)
+    return solve(fields["indices"], fields["values"])
 
 
 def dominant_topic(weights: Column) -> tuple[Column, Column]:
@@ -193,11 +202,23 @@ def assign_topics(
     corpus: DataFrame, model: TopicModel, text_column: str = "clean_text", key: str = "review_id"
 ) -> DataFrame:
     """``(key, topic_id, topic_label, topic_strength)``; labels are one row per topic."""
-    topic, strength = dominant_topic(F.col("weights"))
+    return with_topics(corpus.select(key, text_column), model, text_column).select(key, *TOPIC_COLUMNS)
+
+
+def with_topics(corpus: DataFrame, model: TopicModel, text_column: str = "clean_text") -> DataFrame:
+    """The rows as they are with ``topic_id``, ``topic_label`` and ``topic_strength``.
+
+    No join on an id: rows with the same id stay as many as they were. Columns of these
+    names, ``terms`` and ``tfidf`` are replaced.
+    """
+    topic, strength = dominant_topic(F.col("_weights"))
     labels = topic_labels(model.term_table(corpus.sparkSession)).select("topic_id", "topic_label")
-    assigned = topic_weights(corpus, model, text_column, key).select(
-        key, topic.alias("topic_id"), strength.alias("topic_strength")
-    )
-    return assigned.join(F.broadcast(labels), "topic_id", "left").select(
-        key, "topic_id", F.coalesce("topic_label", F.lit("misc")).alias("topic_label"), "topic_strength"
+    kept = corpus.drop(*TOPIC_COLUMNS)
+    # Out of a generator, so that the optimiser solves a row once and not per use.
+    solved = F.inline(F.array(F.struct(_weights(model, F.col("tfidf")).alias("_weights"))))
+    weighted = vectorise(kept, text_column, model.term_model).select("*", solved).drop("tfidf")
+    placed = weighted.withColumns({"topic_id": topic, "topic_strength": strength}).drop("_weights")
+    labelled = placed.join(F.broadcast(labels), "topic_id", "left")
+    return labelled.withColumn("topic_label", F.coalesce("topic_label", F.lit("misc"))).select(
+        *kept.columns, *TOPIC_COLUMNS
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 
 from pyspark.sql import DataFrame
@@ -96,6 +97,49 @@ def _(f: Frames) -> DataFrame:
     return f.spark.table(table).groupBy("check").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register(
+    "s5_s6_optional_tables",
+    """SELECT 'absent' AS name, false AS there, CAST(0 AS BIGINT) AS customers
+       UNION ALL SELECT 'written', true, count(*) FROM {raw_accounts}""",
+)
+def _(f: Frames) -> DataFrame:
+    names = {name: f"tidemark_{name}_{uuid.uuid4().hex}" for name in ("absent", "written")}
+    tables.write_table(f.views.raw_accounts, names["written"], folder=scratch(f))
+    rows = [
+        tables.read_optional(f.spark, table, f.views.raw_accounts.schema).agg(
+            F.lit(name).alias("name"), F.lit(tables.table_exists(f.spark, table)).alias("there"),
+            F.count(F.lit(1)).alias("customers"),
+        )
+        for name, table in names.items()
+    ]
+    return rows[0].unionByName(rows[1])
+
+
+@register(
+    "k8_run_log",
+    """SELECT 'r' AS run_id, 'base' AS model, 'customers' AS key, CAST(count(*) AS VARCHAR) AS value FROM {features}
+       UNION ALL SELECT 'r', 'base', 'churned', CAST(sum(Churn) AS VARCHAR) FROM {features}""",
+)
+def _(f: Frames) -> DataFrame:
+    table = f"tidemark_log_{uuid.uuid4().hex}"
+    counts = f.features.agg(F.count(F.lit(1)).alias("customers"), F.sum("Churn").alias("churned")).first()
+    tables.log_run(f.spark, "r", {"base": counts.asDict() | {"left_out": None}}, table, scratch(f))
+    return f.spark.table(table).drop("ts")
+
+
+@register(
+    "v7_contract_refusals",
+    """SELECT "check" || ':' || "column" AS gate, detail FROM {contract_report}
+       WHERE status = 'FAIL' AND "check" <> 'target_base_rate'
+       UNION ALL SELECT 'target_base_rate:Churn', 'churn base rate outside plausible range'
+       FROM {contract_report} WHERE "check" = 'target_base_rate' AND NOT observed BETWEEN 0.9 AND 1.0""",
+)
+def _(f: Frames) -> DataFrame:
+    """Of a contract that these accounts break: hardly any are to stay."""
+    strict = dataclasses.replace(s.CONTRACT, base_rate=(0.9, 1.0))
+    return contract.refusals(contract.check_accounts(f.views.raw_accounts, strict))
+
+
 # ---------------------------------------------------------------- cleaning
 
 _DUP_COLUMNS = ", ".join(_RAW)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import economics as econ
 from tidemark.functions import render
 from tidemark.functions.numbers import ratio_to, round_half_up
-from tidemark.operators import decisions, evaluation, explain, kpi, segmentation
+from tidemark.operators import contract, decisions, evaluation, explain, kpi, segmentation
 from tidemark.plans import frames as fr
 from tidemark.plans import segment_run, training_run
 from tidemark.plans.catalog_accounts import scratch
@@ -219,6 +219,14 @@ def _(f: Frames) -> DataFrame:
     return evaluation.lift_table(f.scored)
 
 
+@register(
+    "v8_model_refusals",
+    f"""SELECT 'model:roc_auc' AS gate FROM ({_AUC}) measured WHERE roc_auc < 0.78""",
+)
+def _(f: Frames) -> DataFrame:
+    return contract.auc_refusal(evaluation.classification_report(f.scored)).select("gate")
+
+
 # ---------------------------------------------------------------- written runs
 
 
@@ -266,7 +274,7 @@ def _(f: Frames) -> DataFrame:
 
 
 @register(
-    "k7_report_written",
+    "k7_s7_report_written",
     """SELECT 'decision_policy' AS part, 'r' AS run_id, CAST(1 AS BIGINT) AS n
        UNION ALL SELECT 'final_metrics', 'r', CAST(1 AS BIGINT)
        UNION ALL SELECT 'lift_table', 'r', least(10, count(*)) FROM {scored}""",

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import lexicons as lx
 from tidemark.functions import text as tx
 from tidemark.functions.numbers import round_half_up
-from tidemark.operators import answers, evidence, kpi, retrieval, tfidf, topics
+from tidemark.operators import answers, evidence, explain, feedback, kpi, retrieval, tfidf, topics
 from tidemark.operators.ranking import top_k
+from tidemark.plans import feedback_run
 from tidemark.plans import frames as fr
 from tidemark.plans.catalog_accounts import scratch
 from tidemark.plans.frames import Frames
@@ -33,6 +36,53 @@ def _(f: Frames) -> DataFrame:
     return f.sentiment.select("review_id", "sentiment_score", "sentiment_label", "sentiment_backend")
 
 
+@register(
+    "g1_sentiment_model",
+    """WITH labelled AS (SELECT rating >= 4 AS positive, clean_text FROM {corpus} WHERE rating <> 3),
+       counted AS (
+         SELECT word, count(*) FILTER (positive) AS yes, count(*) FILTER (NOT positive) AS no
+         FROM (SELECT positive, unnest(string_split(clean_text, ' ')) AS word FROM labelled) w
+         WHERE word <> '' GROUP BY word ORDER BY count(*) DESC, word LIMIT 20000),
+       odds AS (
+         SELECT word, ln((yes + 1.0) / (SELECT sum(yes + 1) FROM counted))
+                      - ln((no + 1.0) / (SELECT sum(no + 1) FROM counted)) AS weight FROM counted),
+       margins AS (
+         SELECT review_id, coalesce(sum(weight), 0)
+             + (SELECT ln((count(*) FILTER (positive) + 1.0) / (count(*) FILTER (NOT positive) + 1)) FROM labelled) AS m
+         FROM (SELECT review_id, unnest(string_split(clean_text, ' ')) AS word FROM {corpus}) w
+         LEFT JOIN odds USING (word) GROUP BY review_id)
+       SELECT review_id, """ + rnd("tanh(m / 2)", 6) + """ AS sentiment_score, 'word odds' AS sentiment_backend
+       FROM margins""",
+)
+def _(f: Frames) -> DataFrame:
+    rating = F.col("rating")
+    model = feedback.fit_word_scores(f.corpus, F.when(rating != 3, rating >= 4))
+    scored = feedback.score_sentiment(
+        f.corpus, backend=feedback.model_backend(model.load), backend_name="word odds"
+    )
+    return scored.select("review_id", round_half_up("sentiment_score", 6).alias("sentiment_score"), "sentiment_backend")
+
+
+@register(
+    "k6_feedback_tables",
+    """SELECT review_id, CAST(review_date AS VARCHAR) AS review_date, clean_text, sentiment_score, topic_id,
+              topic_label, documents, s.avg_rating AS avg_rating
+       FROM {topics} t JOIN {topic_summary} s USING (topic_id, topic_label)""",
+)
+def _(f: Frames) -> DataFrame:
+    folder = scratch(f)
+    names = {part: f"tidemark_{part}_{uuid.uuid4().hex}" for part in ("review_topics", "topics")}
+    kept = [c for c in feedback_run.REVIEW_COLUMNS if c in f.topics.columns]
+    terms = f.topic_summary.select("topic_id", F.array("topic_label").alias("terms"))
+    run = feedback_run.FeedbackRun(f.topics.select(*kept), f.topic_summary, terms, None)
+    feedback_run.write_feedback(run, folder, f"{folder}/json", names=names)
+    written = "topic_id int, topic_label string, documents bigint, avg_rating double"
+    summary = f.spark.read.schema(written).json(f"{folder}/json")
+    return f.spark.table(names["review_topics"]).join(F.broadcast(summary), ["topic_id", "topic_label"]).select(
+        "review_id", "review_date", "clean_text", "sentiment_score", "topic_id", "topic_label", "documents", "avg_rating"
+    )
+
+
 @register("a17_median_tokens", "SELECT 'token_count' AS feature, median(token_count) AS median FROM {corpus}")
 def _(f: Frames) -> DataFrame:
     return kpi.column_medians(f.corpus, ["token_count"])
@@ -195,6 +245,29 @@ def _(f: Frames) -> DataFrame:
     return _shown(evidence.build_corpus(parts))
 
 
+_DRIVER_TEXT = f"""SELECT 'driver::' || feature AS doc_id,
+        format('Churn model driver #{{}}: ''{{}}'' with mean absolute SHAP contribution {{:.4f}}. Model: linear, test ROC-AUC 0.750.',
+               rank, feature, importance) AS text, 'model_driver' AS source
+    FROM (SELECT *, row_number() OVER (ORDER BY importance DESC, feature) AS rank
+          FROM (SELECT feature, {mean('abs(contribution)', 10)} AS importance FROM {{contributions}} GROUP BY feature) i)
+    WHERE rank <= 10"""
+
+
+@register(
+    "u1_r3_r5_corpus_with_drivers",
+    f"{_KPI_TEXT} UNION ALL {_DRIVER_TEXT} UNION ALL {_TOPIC_TEXT} UNION ALL {_REVIEW_TEXT}",
+)
+def _(f: Frames) -> DataFrame:
+    drivers = evidence.ranked_importance(explain.global_importance(f.explained, 10))
+    parts = [
+        evidence.kpi_documents(f.features),
+        evidence.driver_documents(drivers, "linear", 0.75),
+        evidence.topic_documents(f.topic_summary),
+        evidence.review_documents(f.sentiment),
+    ]
+    return _shown(evidence.build_corpus(parts))
+
+
 @register(
     "x17_metadata_map",
     """SELECT 'topic::' || CAST(topic_id AS VARCHAR) AS doc_id, CAST(negative_share AS VARCHAR) AS negative_share,

@@ -26,7 +26,7 @@ class FeedbackRun:
     reviews: DataFrame
     summary: DataFrame
     terms: DataFrame
-    model: topics.TopicModel
+    model: topics.TopicModel | None  # None where the topics are given
 
 
 def run_feedback(
@@ -47,18 +47,21 @@ def run_feedback(
     scored = feedback.score_sentiment(corpus, positive=positive, negative=negative, negators=negators).checkpoint()
     rules = topics.topic_rules(tuple(stop_words))
     model = topics.fit_topics(scored, topics=n_topics, rules=rules, max_passes=max_passes)
-    enriched = scored.join(topics.assign_topics(scored, model), "review_id")
+    enriched = topics.with_topics(scored, model)
     kept = [c for c in REVIEW_COLUMNS if c in enriched.columns]
     terms = topics.topic_labels(model.term_table(reviews.sparkSession))
     return FeedbackRun(enriched.select(*kept), kpi.topic_summary(enriched), terms, model)
 
 
-def write_feedback(run: FeedbackRun, folder: str | None = None, json_path: str | None = None) -> None:
+def write_feedback(
+    run: FeedbackRun, folder: str | None = None, json_path: str | None = None, backend: str = "lexicon",
+    names: Mapping[str, str] = tables.TABLES,
+) -> None:
     """The review and topic tables, and the topics with their terms as JSON."""
     dated = run.reviews
     if "review_date" in dated.columns:
         dated = dated.withColumn("review_date", F.col("review_date").cast("string"))
-    tables.write_table(dated, tables.TABLES["review_topics"], folder=folder)
-    tables.write_table(run.summary, tables.TABLES["topics"], folder=folder)
+    tables.write_table(dated, names["review_topics"], folder=folder)
+    tables.write_table(run.summary, names["topics"], folder=folder)
     if json_path:
-        tables.export_topics(run.summary, run.terms, "lexicon", json_path)
+        tables.export_topics(run.summary, run.terms, backend, json_path)
