@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -291,6 +292,64 @@ def test_every_question_has_its_own_budget_and_sources(vectors):
         assert [r["rank"] for r in got] == list(range(1, len(want) + 1))
 
 
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_overlap_in_the_tile_equals_the_table_of_pairs(spark, vectors, broadcast_bytes, monkeypatch):
+    monkeypatch.setattr(retrieval, "QUESTIONS_PER_BLOCK", 3)
+    monkeypatch.setattr(retrieval, "DOCUMENTS_PER_CELL", 40)
+    rng = random.Random(6)
+
+    def entries(i):
+        if i % 11 == 3:
+            return (None, None) if i % 2 else ([], [])
+        terms = sorted(rng.sample(range(1, 12), rng.randint(1, 6)) + [0])  # a term that all share
+        return terms, [rng.random() for _ in terms]
+
+    docs, asked, _ = vectors
+    schema = "indices array<int>, values array<double>"
+    ids = sorted(r["doc_id"] for r in docs.collect())
+    sides = [
+        spark.createDataFrame([(d, *entries(i)) for i, d in enumerate(ids)], f"doc_id string, {schema}"),
+        spark.createDataFrame([(q, *entries(q + 5)) for q in range(7)], f"question_id int, {schema}"),
+    ]
+    listed = [
+        side.select(side.columns[0], F.inline(F.arrays_zip("indices", "values")))
+        .withColumnsRenamed({"indices": "term_id", "values": "weight"}) for side in sides
+    ]
+    pairs = retrieval.lexical_scores(*listed)
+    rich, questions = docs.join(sides[0], "doc_id").repartition(5), asked.join(sides[1], "question_id")
+    rich = spark.createDataFrame(rich.collect(), rich.schema).repartition(5)  # without the join of this test
+    overlap = retrieval.TermOverlap(rich)
+    for own in ({"sources": ["a", "hot"]}, {}):
+        want = retrieval.search(docs, asked, pairs, 9, broadcast_bytes=broadcast_bytes, **own).collect()
+        hits = retrieval.search(rich, questions, overlap, 9, broadcast_bytes=broadcast_bytes, **own)
+        assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, want))
+        assert any(r["lexical"] > 0 for r in want)
+        if broadcast_bytes:
+            assert "Join" not in hits._jdf.queryExecution().executedPlan().toString()
+    nothing = rich.where("false")
+    assert retrieval.search(nothing, questions, retrieval.TermOverlap(nothing), broadcast_bytes=broadcast_bytes).count() == 0
+
+
+def test_term_products_do_not_depend_on_tiles_and_slices(monkeypatch):
+    rng = np.random.default_rng(2)
+    weights = [np.where(rng.random((n, 9)) < 0.5, rng.random((n, 9)), 0.0) for n in (13, 7)]
+    sides = []
+    for w in weights:
+        lists = [np.flatnonzero(row).tolist() for row in w], [row[row > 0].tolist() for row in w]
+        sides.append((pa.array(lists[0], pa.list_(pa.int32())), pa.array(lists[1], pa.list_(pa.float64()))))
+    part = pa.RecordBatch.from_arrays(list(sides[0]), names=["indices", "values"])
+    want = weights[0] @ weights[1].T
+    for tile, slice_size in ((1024, 1 << 20), (3, 1), (2, 10)):
+        monkeypatch.setattr(retrieval, "TILE_QUESTIONS", tile)
+        monkeypatch.setattr(retrieval, "TILE_DOCUMENTS", tile)
+        monkeypatch.setattr(retrieval, "PRODUCTS_PER_SLICE", slice_size)
+        terms = retrieval._AskedTerms(*sides[1])
+        got = np.hstack([terms.raw(part, first) for first in range(0, 7, tile)])
+        assert got == pytest.approx(want)
+        assert terms.raw(part.slice(4, 5), 0) == pytest.approx(want[4:9, :tile])
+        assert terms.largest(part) == pytest.approx(want.max(axis=0))
+
+
 def test_products_of_a_batch_do_not_depend_on_its_slices(monkeypatch):
     rng = np.random.default_rng(3)
     rows = [rng.choice(50, size=n, replace=False) for n in (0, 7, 0, 50, 1, 12, 0)]

@@ -9,6 +9,7 @@ point noise decides no rank; ties are broken by ``doc_id``.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ DOCUMENTS_PER_CELL = 8_192
 # Scores exist for one tile at a time, whatever the batch and the number of questions: some
 # seven arrays of 16 MB.
 TILE_DOCUMENTS, TILE_QUESTIONS = 2_048, 1_024
+PRODUCTS_PER_SLICE = 1 << 20  # term products at a time
+_ENTRIES = ("indices", "values")
 
 
 def lexical_scores(postings: DataFrame, question_terms: DataFrame) -> DataFrame:
@@ -54,11 +57,31 @@ def lexical_scores(postings: DataFrame, question_terms: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class TermOverlap:
+    """The lexical side straight from term weights, without a table of pairs.
+
+    Documents and questions carry the entries of their unit term vectors as ``indices`` and
+    ``values``; the overlap is their product inside the tile that also makes the cosine.
+    ``corpus`` holds the entries of all documents, of which each question's best is the scale
+    before any source filter. Null entries count as none.
+    """
+
+    corpus: DataFrame
+
+
+def with_entries(vectors: DataFrame, vector: str = "tfidf") -> DataFrame:
+    """The rows with the entries of their term vector as ``indices`` and ``values``."""
+    fields = F.unwrap_udt(F.col(vector))
+    kept = [c for c in vectors.columns if c not in (vector, *_ENTRIES)]
+    return vectors.select(*kept, fields["indices"].alias("indices"), fields["values"].alias("values"))
+
+
 def best_documents(
     documents: DataFrame,
     questions: DataFrame,
     k: int,
-    lexical: DataFrame | None = None,
+    lexical: DataFrame | TermOverlap | None = None,
     alpha: float = ALPHA,
     per_source: bool = True,
     broadcast_bytes: int = BROADCAST_VECTOR_BYTES,
@@ -68,11 +91,16 @@ def best_documents(
     Every question meets every document, but as one matrix product per batch of
     documents, and a batch hands on its best k only: no table of pairs exists. Small
     question tables go to every task; larger ones are joined in blocks on a key, so that
-    no side has to fit in one task. Without ``lexical`` the score is the cosine.
+    no side has to fit in one task. Without ``lexical`` the score is the cosine; it is a
+    table from ``lexical_scores`` or, without a table of pairs, a ``TermOverlap``.
     """
-    docs = documents.select("doc_id", "source", "embedding")
-    asked = questions.select("question_id", "embedding")
-    size = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).first()
+    entries = list(_ENTRIES) if isinstance(lexical, TermOverlap) else []
+    docs = documents.select("doc_id", "source", "embedding", *entries)
+    asked = questions.select("question_id", "embedding", *entries)
+    terms = F.sum(F.array_size("indices")) if entries else F.lit(0)
+    size = asked.agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim"), terms.alias("entries")
+    ).first()
     schema = T.StructType(
         [questions.schema["question_id"], documents.schema["doc_id"], documents.schema["source"]]
     )
@@ -81,7 +109,13 @@ def best_documents(
     if size["n"] == 0:
         return documents.sparkSession.createDataFrame([], schema)
     weights = (1.0, 0.0) if lexical is None else (alpha, 1.0 - alpha)
-    if size["n"] * (size["dim"] or 0) * 8 <= broadcast_bytes:
+    sent = (size["n"] * (size["dim"] or 0) + 2 * (size["entries"] or 0)) * 8
+    if isinstance(lexical, TermOverlap):
+        if sent <= broadcast_bytes:
+            scored = _meet_all_terms(docs, asked.toArrow(), lexical, weights, k, per_source, schema)
+        else:
+            scored = _meet_terms_in_blocks(docs, asked, size["n"], lexical, weights, k, per_source, schema)
+    elif sent <= broadcast_bytes:
         scored = _meet_all(docs, asked.toArrow(), lexical, weights, k, per_source, schema)
     else:
         scored = _meet_in_blocks(docs, asked, size["n"], lexical, weights, k, per_source, schema)
@@ -126,6 +160,135 @@ def _meet_all(
     return _with_overlaps(docs, lexical, ["doc_id"]).mapInArrow(score, schema)
 
 
+class _AskedTerms:
+    """The questions' term entries by term, in tiles of questions, and each question's best."""
+
+    def __init__(self, indices: pa.Array, values: pa.Array, best: np.ndarray | None = None) -> None:
+        question = pc.list_parent_indices(indices).to_numpy(zero_copy_only=False)
+        term = indices.flatten().to_numpy(zero_copy_only=False)
+        weight = values.flatten().to_numpy(zero_copy_only=False)
+        self.n, self.best, self.tiles = len(indices), best, []
+        for first in range(0, self.n, TILE_QUESTIONS):
+            here = np.flatnonzero((question >= first) & (question < first + TILE_QUESTIONS))
+            here = here[np.argsort(term[here], kind="stable")]
+            self.tiles.append((term[here], question[here] - first, weight[here]))
+
+    def raw(self, part: pa.RecordBatch, first: int) -> np.ndarray:
+        """Summed weight products of the documents of a tile and the questions from ``first`` on."""
+        asked_term, question, asked_weight = self.tiles[first // TILE_QUESTIONS]
+        width = min(TILE_QUESTIONS, self.n - first)
+        out = np.zeros(part.num_rows * width)
+        row = pc.list_parent_indices(part["indices"]).to_numpy(zero_copy_only=False)
+        term = part["indices"].flatten().to_numpy(zero_copy_only=False)
+        weight = part["values"].flatten().to_numpy(zero_copy_only=False)
+        low = np.searchsorted(asked_term, term, "left")
+        met = np.searchsorted(asked_term, term, "right") - low
+        kept = np.flatnonzero(met)
+        row, weight, low, met = row[kept], weight[kept], low[kept], met[kept]
+        ends = np.cumsum(met)
+        lo = 0
+        while lo < len(met):  # a slice holds PRODUCTS_PER_SLICE products, and those of one entry more
+            before = ends[lo] - met[lo]
+            hi = max(lo + 1, int(np.searchsorted(ends, before + PRODUCTS_PER_SLICE, "right")))
+            n = met[lo:hi]
+            starts = ends[lo:hi] - n - before
+            at = np.repeat(low[lo:hi] - starts, n) + np.arange(n.sum())
+            cell = np.repeat(row[lo:hi], n) * width + question[at]
+            out += np.bincount(cell, weights=np.repeat(weight[lo:hi], n) * asked_weight[at], minlength=len(out))
+            lo = hi
+        return out.reshape(part.num_rows, width)
+
+    def scaled(self, part: pa.RecordBatch, first: int) -> np.ndarray:
+        best = self.best[first : first + TILE_QUESTIONS]
+        return _rounded(np.divide(raw := self.raw(part, first), best, out=np.zeros_like(raw), where=best > 0))
+
+    def largest(self, batch: pa.RecordBatch) -> np.ndarray:
+        """Each question's best raw overlap within a batch of documents."""
+        out = np.zeros(self.n)
+        for lo in range(0, batch.num_rows, TILE_DOCUMENTS):
+            part = batch.slice(lo, TILE_DOCUMENTS)
+            for first in range(0, self.n, TILE_QUESTIONS):
+                here = slice(first, first + TILE_QUESTIONS)
+                out[here] = np.maximum(out[here], self.raw(part, first).max(axis=0))
+        return out
+
+
+def _meet_all_terms(
+    docs: DataFrame, asked: pa.Table, lexical: TermOverlap, weights: tuple[float, float], k: int,
+    per_source: bool, schema: T.StructType,
+) -> DataFrame:
+    ids, matrix = asked["question_id"].combine_chunks(), _unit_rows(asked["embedding"].combine_chunks())
+    indices, values = (asked[c].combine_chunks() for c in _ENTRIES)
+
+    def largest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = _AskedTerms(indices, values)
+        best = np.zeros(terms.n)
+        for batch in batches:
+            best = np.maximum(best, terms.largest(batch))
+        found = np.flatnonzero(best)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found, pa.int32()), pa.array(best[found])], names=["place", "best"]
+        )
+
+    maxima = lexical.corpus.select(*_ENTRIES).mapInArrow(largest, "place int, best double")
+    best = np.zeros(len(ids))
+    for row in maxima.groupBy("place").agg(F.max("best").alias("best")).collect():
+        best[row["place"]] = row["best"]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = _AskedTerms(indices, values, best)
+        for batch in batches:
+            if batch.num_rows:
+                yield from _tile_tops(batch, ids, matrix, weights, k, per_source, terms)
+
+    return docs.mapInArrow(score, schema)
+
+
+def _meet_terms_in_blocks(
+    docs: DataFrame, asked: DataFrame, n_questions: int, lexical: TermOverlap,
+    weights: tuple[float, float], k: int, per_source: bool, schema: T.StructType,
+) -> DataFrame:
+    keys = ["_block", "_cell"]
+
+    def largest(batch: pa.Table, questions: pa.Table) -> pa.Table:
+        best = np.zeros(questions.num_rows)
+        if batch.num_rows and questions.num_rows:
+            terms = _AskedTerms(*[questions[c].combine_chunks() for c in _ENTRIES])
+            best = terms.largest(batch.combine_chunks().to_batches()[0])
+        return pa.table({"question_id": questions["question_id"], "best": pa.array(best)})
+
+    corpus = lexical.corpus.select("doc_id", *_ENTRIES)
+    left, right = _cells(corpus, asked.select("question_id", *_ENTRIES), n_questions)
+    found = T.StructType([asked.schema["question_id"], T.StructField("best", T.DoubleType())])
+    maxima = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(largest, found)
+    best = maxima.groupBy("question_id").agg(F.max("best").alias("best"))
+
+    def score(batch: pa.Table, questions: pa.Table) -> pa.Table:
+        if not batch.num_rows or not questions.num_rows:
+            return _nothing(batch, questions)
+        ids = questions["question_id"].combine_chunks()
+        matrix = _unit_rows(questions["embedding"].combine_chunks())
+        highest = pc.fill_null(questions["best"].combine_chunks(), 0.0).to_numpy(zero_copy_only=False)
+        terms = _AskedTerms(*[questions[c].combine_chunks() for c in _ENTRIES], highest)
+        rows = batch.combine_chunks().to_batches()[0]
+        return pa.Table.from_batches(_tile_tops(rows, ids, matrix, weights, k, per_source, terms))
+
+    left, right = _cells(docs, asked.join(best, "question_id", "left"), n_questions)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, schema)
+
+
+def _cells(docs: DataFrame, asked: DataFrame, n_questions: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_block`` and ``_cell``: each is repeated over the other's parts."""
+    blocks = -(-n_questions // QUESTIONS_PER_BLOCK)
+    cells = max(1, -(-docs.count() // DOCUMENTS_PER_CELL))
+    left = docs.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = asked.withColumn("_cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
+    return (
+        left.withColumn("_cell", _part("doc_id", cells)),
+        right.withColumn("_block", _part("question_id", blocks)),
+    )
+
+
 def _meet_in_blocks(
     docs: DataFrame, asked: DataFrame, n_questions: int, lexical: DataFrame | None,
     weights: tuple[float, float], k: int, per_source: bool, schema: T.StructType,
@@ -191,7 +354,7 @@ def _rounded(values: np.ndarray, digits: int = PART_DIGITS) -> np.ndarray:
 
 def _tile_tops(
     batch: pa.RecordBatch, ids: pa.Array, matrix: np.ndarray, weights: tuple[float, float], k: int,
-    per_source: bool,
+    per_source: bool, terms: _AskedTerms | None = None,
 ) -> Iterator[pa.RecordBatch]:
     """The k best documents of every tile of documents for each question (and source)."""
     batch = batch.take(pc.sort_indices(batch["doc_id"]))  # ties go to the smaller doc_id
@@ -202,9 +365,12 @@ def _tile_tops(
         groups = _row_groups(part, per_source)
         for first in range(0, len(ids), TILE_QUESTIONS):
             dense = _rounded(vectors @ matrix[first : first + TILE_QUESTIONS].T)
-            lexical = np.zeros_like(dense)
-            here = (asked >= first) & (asked < first + TILE_QUESTIONS)
-            lexical[row[here], asked[here] - first] = overlap[here]
+            if terms is None:
+                lexical = np.zeros_like(dense)
+                here = (asked >= first) & (asked < first + TILE_QUESTIONS)
+                lexical[row[here], asked[here] - first] = overlap[here]
+            else:
+                lexical = terms.scaled(part, first)
             score = _rounded(weights[0] * dense + weights[1] * lexical, SCORE_DIGITS)
             best = [rows[np.argsort(-score[rows], axis=0, kind="stable")[:k]] for rows in groups]
             place = np.concatenate([b.ravel() for b in best])
@@ -248,7 +414,7 @@ def _best_first() -> list[Column]:
 def search(
     documents: DataFrame,
     questions: DataFrame,
-    lexical: DataFrame,
+    lexical: DataFrame | TermOverlap,
     k: int = 6,
     alpha: float = ALPHA,
     sources: Sequence[str] | None = None,
@@ -262,7 +428,7 @@ def search(
 def search_stratified(
     documents: DataFrame,
     questions: DataFrame,
-    lexical: DataFrame,
+    lexical: DataFrame | TermOverlap,
     quotas: Mapping[str, int],
     alpha: float = ALPHA,
     broadcast_bytes: int = BROADCAST_VECTOR_BYTES,
@@ -305,7 +471,7 @@ def quota_table(requests: DataFrame, quotas: Mapping[str, int] = DEFAULT_QUOTAS)
 def search_requested(
     documents: DataFrame,
     questions: DataFrame,
-    lexical: DataFrame,
+    lexical: DataFrame | TermOverlap,
     quotas: Mapping[str, int] = DEFAULT_QUOTAS,
     flat_k: int = 6,
     alpha: float = ALPHA,

@@ -321,7 +321,7 @@ _HIT = "question_id, doc_id, source, dense, lexical, score, CAST(rank AS INTEGER
 @register("r9_t8_flat_hybrid_search", f"""SELECT {_HIT} FROM (SELECT *, row_number() OVER (PARTITION BY question_id
           ORDER BY score DESC, doc_id) AS rank FROM {{hybrid}}) ranked WHERE rank <= 6""")
 def _(f: Frames) -> DataFrame:
-    return retrieval.search(f.views.evidence, f.views.questions, f.lexical, k=6)
+    return retrieval.search(f.indexed_evidence, f.encoded_questions, f.overlap, k=6)
 
 
 @register(
@@ -331,14 +331,14 @@ def _(f: Frames) -> DataFrame:
 )
 def _(f: Frames) -> DataFrame:
     return retrieval.search(
-        f.views.evidence, f.views.questions, f.lexical, k=6, sources=["review", "topic_summary"]
+        f.indexed_evidence, f.encoded_questions, f.overlap, k=6, sources=["review", "topic_summary"]
     )
 
 
 @register("r10_w4_u2_t9_stratified_search", f"SELECT {_HIT} FROM {{hits}}")
 def _(f: Frames) -> DataFrame:
     return retrieval.search_stratified(
-        f.views.evidence, f.views.questions, f.lexical, retrieval.DEFAULT_QUOTAS
+        f.indexed_evidence, f.encoded_questions, f.overlap, retrieval.DEFAULT_QUOTAS
     )
 
 
@@ -372,12 +372,12 @@ def _(f: Frames) -> DataFrame:
     SELECT {_HIT} FROM taken WHERE total IS NULL OR rank <= total""",
 )
 def _(f: Frames) -> DataFrame:
-    asked = f.views.questions.select(
+    asked = f.encoded_questions.select(
         "*",
         F.nullif(F.col("question_id") % 27, F.lit(26)).cast("int").alias("top_k"),
         F.when(F.col("question_id") % 3 == 0, F.array(F.lit("review"), F.lit("topic_summary"))).alias("sources"),
     )
-    return retrieval.search_requested(f.views.evidence, asked, f.lexical)
+    return retrieval.search_requested(f.indexed_evidence, asked, f.overlap)
 
 
 _EXPANSIONS = "".join(

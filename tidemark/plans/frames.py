@@ -141,6 +141,20 @@ class Frames:
         vectors = tfidf.vectorise(asked, "question", self.term_model)
         return retrieval.lexical_scores(self.postings, tfidf.postings(vectors, "question_id"))
 
+    @cached_property
+    def indexed_evidence(self) -> DataFrame:
+        """Evidence with its vector and the entries of its term vector."""
+        return retrieval.with_entries(tfidf.vectorise(self.views.evidence, "text", self.term_model)).drop("text")
+
+    @cached_property
+    def encoded_questions(self) -> DataFrame:
+        vectors = tfidf.vectorise(self.views.questions, "question", self.term_model)
+        return retrieval.with_entries(vectors)
+
+    @cached_property
+    def overlap(self) -> retrieval.TermOverlap:
+        return retrieval.TermOverlap(self.indexed_evidence)
+
     @cached_property
     def evidence_text(self) -> DataFrame:
         share = F.create_map(F.lit("negative_share"), F.col("negative_share").cast("string"))
@@ -149,7 +163,7 @@ class Frames:
     @cached_property
     def hits(self) -> DataFrame:
         found = retrieval.search_stratified(
-            self.views.evidence, self.views.questions, self.lexical, retrieval.DEFAULT_QUOTAS
+            self.indexed_evidence, self.encoded_questions, self.overlap, retrieval.DEFAULT_QUOTAS
         )
         from tidemark.operators.answers import with_text
 
