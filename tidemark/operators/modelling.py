@@ -5,8 +5,11 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, replace
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     LogisticRegression,
@@ -32,6 +35,20 @@ SEED = 42
 RARE = "infrequent"
 #: A column with more rare levels has them in a table instead of a list.
 _RARE_LEVEL_LIMIT = 10_000
+#: Fits whose jobs the session runs at the same time.
+FITS_AT_ONCE = 8
+
+T = TypeVar("T")
+
+
+def at_once(jobs: Sequence[Callable[[], T]], spark: SparkSession, parallelism: int = FITS_AT_ONCE) -> list[T]:
+    """The results of independent jobs in their order, ``parallelism`` of them at a time.
+
+    One fit's passes wait for each other; other fits use the cores meanwhile."""
+    if len(jobs) < 2 or parallelism < 2:
+        return [job() for job in jobs]
+    with ThreadPoolExecutor(min(parallelism, len(jobs))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
 
 
 # ---------------------------------------------------------------- split and folds
@@ -312,17 +329,27 @@ def cross_validate(
     """ROC-AUC per held-out fold; the encoding is fitted without the held-out rows."""
     if isinstance(booster := build(1), Boosting):
         fitted = boosted_fits(train, {"": booster.rules}, numeric, categorical, folds, fit_inside_fold=fit_inside_fold)
-        return fold_scores(train, fitted[""])
-    shared = None if fit_inside_fold else fit_encoding(train, numeric, categorical)
-    scores = []
-    for i in range(folds):
-        rest, held_out = train.where(F.col("fold") != i), train.where(F.col("fold") == i)
-        encoding = shared or fit_encoding(rest, numeric, categorical)
-        model = fit_model(encoding.encode(rest), build)
-        scores.append(
-            area_under_roc(positive_probability(model, encoding.encode(held_out), "churn_probability"))
-        )
-    return scores
+        return fold_scores(train, fitted[""].folds)
+    encodings = fold_encodings(train, numeric, categorical, folds, fit_inside_fold)
+    return fold_scores(train, list(zip(encodings, fold_models(train, build, encodings), strict=True)))
+
+
+def fold_encodings(
+    train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], folds: int = 5, fit_inside_fold: bool = True
+) -> list[Encoding]:
+    """The encoding of every fold's other rows, or one of all rows for every fold."""
+    if not fit_inside_fold:
+        return [fit_encoding(train, numeric, categorical)] * folds
+    rest = [train.where(F.col("fold") != i) for i in range(folds)]
+    return at_once([lambda r=r: fit_encoding(r, numeric, categorical) for r in rest], train.sparkSession)
+
+
+def fold_models(
+    train: DataFrame, build: Callable[[int], Estimator], encodings: Sequence[Encoding]
+) -> list[Model | BoostedTrees]:
+    """A model without each fold, fitted side by side."""
+    rest = [e.encode(train.where(F.col("fold") != i)) for i, e in enumerate(encodings)]
+    return at_once([lambda r=r: fit_model(r, build) for r in rest], train.sparkSession)
 
 
 @dataclass(frozen=True)
@@ -343,14 +370,17 @@ def boosted_fits(
     encoding: Encoding | None = None,
     calibration_folds: int = 0,
     fit_inside_fold: bool = True,
+    encodings: Sequence[Encoding] = (),
 ) -> dict[str, BoostedFits]:
     """All fits that comparing and calibrating boosters needs, in the same passes over the rows.
 
-    Folds have encodings of their own (unless ``fit_inside_fold`` is false). With ``encoding``
-    there is also a fit on all rows and one without each value of ``calibration_fold``.
+    Folds have encodings of their own (unless ``fit_inside_fold`` is false), in ``encodings``
+    if already fitted. With ``encoding`` there is also a fit on all rows and one without each
+    value of ``calibration_fold``.
     """
-    shared = None if fit_inside_fold else (encoding or fit_encoding(train, numeric, categorical))
-    encodings = [shared or fit_encoding(train.where(F.col("fold") != i), numeric, categorical) for i in range(folds)]
+    if not encodings:
+        shared = encoding and not fit_inside_fold
+        encodings = [encoding] * folds if shared else fold_encodings(train, numeric, categorical, folds, fit_inside_fold)
     rows = train.withColumn("_key", F.xxhash64(*numeric, *categorical))
     used = {}
     for e in [*encodings, *([encoding] if encoding else [])]:
@@ -379,12 +409,15 @@ def boosted_fits(
     return out
 
 
-def fold_scores(train: DataFrame, fitted: BoostedFits) -> list[float]:
+def fold_scores(train: DataFrame, fitted: Sequence[tuple[Encoding, Model | BoostedTrees]]) -> list[float]:
     """ROC-AUC of every fold's model on the rows it has not seen."""
-    return [
-        area_under_roc(positive_probability(model, e.encode(train.where(F.col("fold") == i)), "churn_probability"))
-        for i, (e, model) in enumerate(fitted.folds)
-    ]
+
+    def score(i: int) -> float:
+        encoding, model = fitted[i]
+        held_out = encoding.encode(train.where(F.col("fold") == i))
+        return area_under_roc(positive_probability(model, held_out, "churn_probability"))
+
+    return at_once([lambda i=i: score(i) for i in range(len(fitted))], train.sparkSession)
 
 
 def fit_model(encoded: DataFrame, build: Callable[[int], Estimator | Boosting]) -> Model | BoostedTrees:
@@ -492,12 +525,13 @@ def calibrate(
         return ()
     fit = {"sigmoid": fit_sigmoid, "isotonic": fit_isotonic}[method]
     encoded = encoding.encode(train)
-    parts = []
-    for i in range(folds):
+
+    def part(i: int) -> tuple[Model, Sigmoid | Isotonic]:
         model = members[i] if members else fit_model(encoded.where(F.col("calibration_fold") != i), build)
         held_out = decision_value(model, encoded.where(F.col("calibration_fold") == i), "value")
-        parts.append((model, fit(held_out.select("value", "label"), "value")))
-    return tuple(parts)
+        return model, fit(held_out.select("value", "label"), "value")
+
+    return tuple(at_once([lambda i=i: part(i) for i in range(folds)], train.sparkSession))
 
 
 # ---------------------------------------------------------------- attribution inputs
