@@ -157,6 +157,53 @@ def test_exact_quantiles_match_brute_force(spark, limit):
     assert q95 == pytest.approx(ordered[low] + (ordered[low + 1] - ordered[low]) * (at - low))
 
 
+def test_quantiles_past_a_bracket_that_missed(spark, monkeypatch):
+    """A bracket of single values misses most ranks, NaN is the largest value, ties fill brackets."""
+    from tidemark.operators import quantiles
+
+    rng = random.Random(11)
+    wide = [rng.uniform(-1, 1) for _ in range(4001)]
+    tied = [3.0] * 2500 + [float(x) for x in range(1501)]
+    late = [float("nan")] * 3000 + [rng.uniform(0, 1) for _ in range(1001)]
+    endless = [float("-inf")] * 2500 + [float("inf")] * 1501
+    names = ["wide", "tied", "late", "endless"]
+    data = spark.createDataFrame(
+        list(zip(wide, tied, late, endless, strict=True)), ", ".join(f"{n} double" for n in names)
+    ).repartition(5)
+    for margin in (quantiles.MARGIN, 0.0):
+        monkeypatch.setattr(quantiles, "MARGIN", margin)
+        for p in (0.0, 0.25, 0.5, 1.0):
+            got = exact_quantiles(data, names, p, bracket_limit=100)
+            at = int(4000 * p)
+            assert got["wide"] == sorted(wide)[at] and got["tied"] == sorted(tied)[at]
+            assert got["endless"] == sorted(endless)[at]
+            numbers = sorted(late[3000:])
+            assert got["late"] == numbers[at] if at < 1001 else got["late"] != got["late"]
+    known = exact_quantiles(data, ["wide"], 0.5, bracket_limit=100, counts={"wide": 4001})
+    assert known == {"wide": sorted(wide)[2000]}
+    empty = data.limit(0)
+    assert exact_quantiles(empty, ["wide", "late"]) == {"wide": None, "late": None}
+    assert exact_quantiles(data, []) == {}
+
+
+def test_quantiles_take_two_scans(spark, tmp_path):
+    """However many columns: one scan for the sketches, one for the counts."""
+    scans = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            scans.add(batch.num_rows)
+            yield batch
+
+    n = 3000
+    rows = spark.range(n).selectExpr(*[f"cast(hash(id, {k}) as double) as c{k}" for k in range(6)])
+    watched = rows.mapInArrow(counted, rows.schema)
+    got = exact_quantiles(watched, watched.columns, 0.5, bracket_limit=10)
+    assert scans.value == 2 * n
+    whole = rows.toPandas().median()
+    assert all(got[c] == pytest.approx(whole[c]) for c in watched.columns)
+
+
 # ---------------------------------------------------------------- contract
 
 CHECKED = s.DataContract(ranges={"tenure": (0, 100), "MonthlyCharges": (0, 1000)})
