@@ -350,6 +350,27 @@ def test_article_is_kept_whole(spark):
         assert r["text"] == "\n".join(b for b in blocks if b) and r["n_chars"] == len(r["text"])
 
 
+def test_page_structure_by_attributes_comments_and_mass():
+    def text(page):
+        return "\n".join(map(html_text.line_of, html_text.parse_blocks(page)[0]))
+
+    # "hidden" is an attribute of its own, not a word in another one's value.
+    assert text('<p title="the hidden cost">a</p><p data-note="some hidden thing">b</p><div class="x hidden y">c</div>') == "a\nb\nc"
+    assert text('<article class="x hidden y">c</article>') == "c"
+    assert text('<p hidden>a</p><p HIDDEN="">b</p><p aria-hidden=true>c</p><p style="color:red; display : none">d</p><p>e</p>') == "e"
+    # What readers wrote goes at any depth, also where each comment is an article.
+    comments = '<div class="comments-area"><article class="comment"><p>reader says</p></article></div>'
+    assert text(f"{comments}<div><p>body</p></div>") == "body"
+    assert text(f'<article><p>body</p><div class="comment"><p>me too</p></div>{comments}<p>end</p></article>') == "body\nend"
+    assert text('<article class="comment"><p>an opinion piece</p></article>') == "an opinion piece"
+    assert text('<div id="page" class="no-comments"><p>body</p></div>') == "body"
+    # Teasers don't make the rest of the page furniture; links don't outweigh a short article.
+    body = '<div id="content"><h1>Title</h1><p>All the main text.</p></div>'
+    assert text(f'{body}<div class="more"><article><a>Teaser</a></article></div>').startswith("Title\nAll the main text.")
+    links = "".join(f"<li><a href=/{k}>Another page of this site</a></li>" for k in range(50))
+    assert text(f"<ul>{links}</ul><article><p>Short.</p></article>") == "Short."
+
+
 def main_texts(spark, bodies, url="http://x.example/p"):
     pages = spark.createDataFrame([(k, url, b) for k, b in enumerate(bodies)], "page_id long, url string, html string")
     return {r["page_id"]: r["text"] for r in html_text.extract_main_text(pages).collect()}

@@ -4,7 +4,8 @@ Pages are parsed once into text blocks; the pieces of a block, one per element t
 stands in, have the hashes of all elements that contain them whole. Spark counts every element
 subtree per host over pages with different content; recurring subtrees are its template and
 their pieces of text go. In a marked main part, where real lines repeat as well, a subtree must
-be on half of the host's pages; on a page that marks none, on a small share of them.
+be on half of the host's pages; on a page that marks none, on a small share of them. Articles
+that are little more than links beside the text of the page mark nothing.
 
 A null or empty page has no text. Pages with a null or odd address form hosts of their own
 name (null: empty). Copies of a page count once, so repeated articles are no template.
@@ -42,6 +43,13 @@ DROPPED_NAMES = frozenset(
     " popup promo related-articles related-posts share-buttons sidebar side-bar signup skip-link social-links"
     " social-share sponsor sponsored subscribe toolbar".split()
 )
+#: Whole names of what readers wrote: dropped with all it holds, articles too. The second set
+#: names a single comment, which also is what some sites call an opinion piece: inside a main
+#: part only. Fixed values.
+COMMENT_NAMES = frozenset("comments comment-list comment-form comments-area comments-section commentlist disqus_thread".split())
+ONE_COMMENT = frozenset("comment comment-body comment-content".split())
+#: Text outside links in the marked main parts must come to this share of that beside them.
+MAIN_SHARE = 0.25
 DROPPED_ROLES = frozenset("alertdialog banner complementary contentinfo dialog menu menubar navigation search toolbar".split())
 #: Furniture by name, and these tags, stay if one of these is inside or is the element itself.
 YIELDING_TAGS, HELD_TAGS = frozenset({"form", "header"}), frozenset({"article", "main", "h1"})
@@ -65,38 +73,53 @@ _TOKEN = re.compile(
     r"|<(?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
     re.S | re.I,
 )
-_NAMES = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'=<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _WHITE = re.compile(r"\s+")
 
 
 class _Element:
-    __slots__ = ("tag", "attrs", "dropped", "furniture", "holds", "main", "parts", "pieces", "parent")
+    __slots__ = ("tag", "dropped", "furniture", "holds", "main", "link", "parts", "pieces", "parent")
 
-    def __init__(self, tag: str, attrs: str, parent: _Element | None, dropped: bool, main: bool):
-        self.tag, self.attrs, self.parent, self.dropped, self.main = tag, attrs, parent, dropped, main
+    def __init__(self, tag: str, parent: _Element | None, dropped: bool, main: bool):
+        self.tag, self.parent, self.dropped, self.main = tag, parent, dropped, main
+        self.link = tag == "a" or (parent is not None and parent.link)
         self.furniture = False  # dropped at its end unless it holds a main part
         self.holds = tag in HELD_TAGS
         self.parts: list[bytes] = []  # what the subtree hash covers
         self.pieces: list[list] = []  # pieces of text inside, to be given the hash
 
 
-def _is_dropped(tag: str, attrs: str) -> bool:
+def _attributes(raw: str) -> dict[str, str]:
+    """Values by lower-case name; the first of equal names counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(raw):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return found
+
+
+def _names(attrs: dict[str, str]) -> set[str]:
+    return {n for key in ("class", "id") for n in attrs.get(key, "").lower().split()}
+
+
+def _is_dropped(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
     if tag in DROPPED_TAGS - YIELDING_TAGS:
         return True
-    return tag not in ("html", "body", "main") and _HIDDEN.search(attrs) is not None
+    if not attrs or tag in ("html", "body", "main"):
+        return False
+    if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or _NO_DISPLAY.search(attrs.get("style", "")):
+        return True
+    names = _names(attrs)
+    return not COMMENT_NAMES.isdisjoint(names) or (in_main and not ONE_COMMENT.isdisjoint(names))
 
 
-def _is_furniture(tag: str, attrs: str, in_main: bool) -> bool:
+def _is_furniture(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
     if tag == "form" or (tag == "header" and not in_main):
         return True
     if not attrs or tag in ("html", "body"):
         return False
-    for m in _NAMES.finditer(attrs):
-        names = DROPPED_ROLES if m[1].lower() == "role" else DROPPED_NAMES
-        if not names.isdisjoint((m[2] or m[3] or m[4] or "").lower().split()):
-            return True
-    return False
+    roles = attrs.get("role", "").lower().split()
+    return not (DROPPED_NAMES.isdisjoint(_names(attrs)) and DROPPED_ROLES.isdisjoint(roles))
 
 
 def parse_blocks(page: str | None) -> tuple[list[list[tuple[str, list[int]]]], bool]:
@@ -104,7 +127,7 @@ def parse_blocks(page: str | None) -> tuple[list[list[tuple[str, list[int]]]], b
     marks its main part, in which case only blocks in there are given. White space in a piece
     is single spaces."""
     text = page or ""
-    root = _Element("", "", None, False, False)
+    root = _Element("", None, False, False)
     node, at = root, 0
     blocks: list[list] = []  # pieces: [texts, in main, hashes, element, dropped]
     current: list | None = None
@@ -184,21 +207,28 @@ def parse_blocks(page: str | None) -> tuple[list[list[tuple[str, list[int]]]], b
                     while node is not seek:
                         close()
                     close()
-            attrs = m["attrs"] or ""
+            raw = m["attrs"] or ""
+            attrs = _attributes(raw) if raw else {}
             if tag in BLOCK_TAGS:
                 current = None
-            dropped = node.dropped or _is_dropped(tag, attrs)
+            dropped = node.dropped or _is_dropped(tag, attrs, node.main)
             furniture = not dropped and _is_furniture(tag, attrs, node.main)
-            node = _Element(tag, attrs, node, dropped, not dropped and (node.main or tag in ("article", "main")))
+            node = _Element(tag, node, dropped, not dropped and (node.main or tag in ("article", "main")))
             node.furniture = furniture
-            if attrs.rstrip().endswith("/") and tag not in BLOCK_TAGS:
+            if raw.rstrip().endswith("/") and tag not in BLOCK_TAGS:
                 close()
         elif m["raw"]:
             current = None if m["raw"].lower() not in ("script", "style") else current
     add(text[at:])
     while node is not root:
         close()
+    held = {True: 0, False: 0}
+    for block in blocks:
+        for texts, main, _, element, gone in block:
+            if not gone and not element.link:
+                held[main] += sum(len(t.strip()) for t in texts)
     marked = any(piece[1] and not piece[4] for block in blocks for piece in block)
+    marked = marked and held[True] >= MAIN_SHARE * held[False]
     out = []
     for block in blocks:
         pieces = [
