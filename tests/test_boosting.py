@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import heapq
+import pickle
 from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -122,3 +124,45 @@ def test_one_label_and_no_rows(spark):
     same = bo.Boosting(LEAFWISE).fit(df.withColumn("label", F.lit(1)).select("features", "label"))
     assert all((t.feature < 0).all() for t in same.trees)
     assert bo.Boosting(LEAFWISE).fit(df.limit(0).select("features", "label")).trees == ()
+
+
+def test_passes_return_splits_not_histograms(spark, monkeypatch):
+    """What the driver gets in a pass grows with the tree, neither with the bins nor with the tasks."""
+    _, _, df = made(spark, n=600, parts=6)
+    monkeypatch.setattr(bo, "ROWS_PER_TASK", 100)
+    sizes, collect = [], RDD.collect
+
+    def measured(self):
+        found = collect(self)
+        sizes.append(len(pickle.dumps(found)))
+        return found
+
+    monkeypatch.setattr(RDD, "collect", measured)
+    bo.fit_boosted(df, [bo.Fit("features", "all", DEPTHWISE)], key="id")
+    assert len(sizes) == DEPTHWISE.rounds * DEPTHWISE.max_depth
+    assert max(sizes) < 3 * 8 * 5 * 200  # one histogram of one node
+
+
+@pytest.mark.parametrize("rows", [100, bo.ROWS_PER_TASK], ids=["passes", "one task a fit"])
+def test_fits_may_have_features_of_different_number(spark, monkeypatch, rows):
+    """An encoding without a fold's rows can lack a level."""
+    x, _, df = made(spark)
+    df = df.withColumn("fewer", array_to_vector(F.slice("x", 1, 3)))
+    monkeypatch.setattr(bo, "ROWS_PER_TASK", rows)
+    fits = [bo.Fit("features", "all", DEPTHWISE), bo.Fit("fewer", "all", LEAFWISE)]
+    both = bo.fit_boosted(df, fits, key="id")
+    for fit, model, width in zip(fits, both, (5, 3), strict=True):
+        apart = bo.fit_boosted(df, [fit], key="id")[0]
+        assert model.width == width
+        assert np.allclose(model.margins(x[:, :width]), apart.margins(x[:, :width]))
+
+
+def test_features_of_few_bins_share_a_byte():
+    rng = np.random.default_rng(5)
+    sizes = [2, 255, 2, 3, 1, 7, 2]
+    x = np.stack([rng.integers(0, s, 500) for s in sizes], axis=1).astype(float)
+    layout = bo._Layout.of(sizes)
+    assert len(layout.spans) == 2
+    packed = layout.packed(x, [np.arange(s - 1) for s in sizes])
+    for f, size in enumerate(sizes):
+        assert (packed[layout.byte[f]] // layout.stride[f] % size == x[:, f]).all()
