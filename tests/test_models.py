@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import random
+import weakref
 from itertools import combinations
 
 import numpy as np
@@ -464,3 +466,29 @@ def test_fewer_points_than_clusters(spark):
     assert one.silhouette == 0 and one.davies_bouldin is None
     with pytest.raises(ValueError, match="no rows"):
         kmeans.fit_all(points.where("false"), (2,), 1)
+
+
+def test_forests_of_folds_are_let_go_once_scored(spark, customers, monkeypatch):
+    """The driver holds one forest at a time where it cannot hold all, with the same scores."""
+    frame = customers.withColumns({"label": F.col("Churn"), "fold": F.pmod(F.xxhash64("customerID"), F.lit(3))})
+    build = lambda n: modelling.random_forest(trees=3, depth=3)
+    together = modelling.cross_validate(frame, build, ["tenure", "MonthlyCharges"], ["Contract"], folds=3)
+    alive, most, fit = weakref.WeakSet(), [], modelling.fit_model
+
+    def watched(encoded, build):
+        gc.collect()
+        most.append(len(alive))
+        model = fit(encoded, build)
+        alive.add(model)
+        return model
+
+    monkeypatch.setattr(modelling, "NODES_AT_ONCE", 1, raising=False)
+    monkeypatch.setattr(modelling, "fit_model", watched)
+    assert modelling.cross_validate(frame, build, ["tenure", "MonthlyCharges"], ["Contract"], folds=3) == together
+    assert most == [0, 0, 0]
+
+
+def test_number_of_forests_at_once():
+    assert modelling.fits_at_once(modelling.logistic_regression, 10**9) == modelling.FITS_AT_ONCE
+    assert modelling.fits_at_once(modelling.CANDIDATES["random_forest"], 1_200) == modelling.FITS_AT_ONCE
+    assert modelling.fits_at_once(modelling.CANDIDATES["random_forest"], 10**6) == 1
