@@ -492,3 +492,26 @@ def test_number_of_forests_at_once():
     assert modelling.fits_at_once(modelling.logistic_regression, 10**9) == modelling.FITS_AT_ONCE
     assert modelling.fits_at_once(modelling.CANDIDATES["random_forest"], 1_200) == modelling.FITS_AT_ONCE
     assert modelling.fits_at_once(modelling.CANDIDATES["random_forest"], 10**6) == 1
+
+
+def test_nodes_of_a_forest_come_as_columns(spark, customers, monkeypatch, tmp_path):
+    frame = customers.withColumn("label", F.col("Churn"))
+    encoding = modelling.fit_encoding(frame, ["tenure", "MonthlyCharges"], ["Contract"])
+    forest = modelling.fit_model(encoding.encode(frame), lambda n: modelling.random_forest(trees=3, depth=3))
+    forest.write().overwrite().save(str(tmp_path / "forest"))
+    saved = spark.read.parquet(str(tmp_path / "forest" / "data"))
+    rows = {(r["treeID"], r["nodeData"]["id"]): r["nodeData"] for r in saved.collect()}
+
+    def refuse(self):
+        raise AssertionError("a row object per node")
+
+    monkeypatch.setattr(type(saved), "collect", refuse)
+    nodes = explain.tree_nodes(saved, classification=True)
+    assert sorted(nodes) == [0, 1, 2] and sum(len(t["left"]) for t in nodes.values()) == len(rows)
+    for (tree, i), row in rows.items():
+        got = {name: column[i] for name, column in nodes[tree].items()}
+        stats, inner = row["impurityStats"], row["leftChild"] >= 0
+        assert (got["left"], got["right"]) == (row["leftChild"], row["rightChild"])
+        assert got["feature"] == (row["split"]["featureIndex"] if inner else -1)
+        assert got["threshold"] == (row["split"]["leftCategoriesOrThreshold"][0] if inner else 0.0)
+        assert (got["value"], got["cover"]) == (stats[1] / sum(stats), sum(stats))
