@@ -503,3 +503,63 @@ def test_word_scores(spark):
     scores = model.load()(np.array(["good", "bad", "", "unseen"]))
     assert scores[0] > 0 > scores[1] and scores[2] == scores[3] == pytest.approx(1 / 7)
     assert set(feedback.fit_word_scores(df, F.when(rating != 3, rating >= 4), max_words=2).words) == {"good", "bad"}
+
+
+def test_terms_are_exact_where_pairs_are_ruled_out(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(words, weights=range(60, 0, -1), k=rng.randint(0, 80))) for _ in range(120)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "doc_id int, text string").repartition(3)
+    total, df = Counter(), Counter()
+    for text in texts:
+        kept = [w for w in text.split() if w != "w3"]
+        terms = kept + [f"{a} {b}" for a, b in zip(kept, kept[1:])]
+        total.update(terms)
+        df.update(set(terms))
+    for most in (20, 70, 5_000):
+        model = tfidf.fit_terms(docs, "text", tfidf.TermRules(stop_words=("w3",), max_features=most))
+        best = sorted(total, key=lambda t: (-total[t], t))[:most]
+        assert list(model.terms) == best and model.n_docs == 120
+        assert list(model.document_frequency) == [df[t] for t in best]
+    weights = {r["doc_id"]: r["tfidf"] for r in tfidf.vectorise(docs, "text", model).collect()}
+    assert weights[120].numNonzeros() == 0  # a null text has no terms
+    for i, text in enumerate(texts):
+        kept = [w for w in text.split() if w != "w3"]
+        times = Counter(kept + [f"{a} {b}" for a, b in zip(kept, kept[1:])])
+        raw = {t: n * (math.log(121 / (1 + df[t])) + 1) for t, n in times.items()}
+        norm = math.sqrt(sum(v * v for v in raw.values()))
+        found = {model.terms[j]: v for j, v in zip(weights[i].indices, weights[i].values)}
+        assert found == pytest.approx({t: v / norm for t, v in raw.items()})
+
+
+def test_only_pairs_in_full_counters_are_counted(spark):
+    docs = spark.createDataFrame([("aa bb cc aa bb",), ("aa bb dd",)], "text string")
+    counted = tfidf._word_counts(docs, ())
+    for least, pairs in ((1, {"aa bb": 3, "bb cc": 1, "cc aa": 1, "bb dd": 1}), (2, {"aa bb": 3}), (4, {})):
+        rows = tfidf._pair_counts(docs, (), tfidf._full_counters(counted, least)).groupBy("term").sum("total").collect()
+        assert {r[0]: r[1] for r in rows} == pairs
+
+
+def test_hits_are_written_before_they_meet_the_texts(spark):
+    docs = spark.createDataFrame([("d1", "one"), ("d2", "two")], "doc_id string, text string")
+    hits = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rank"))
+    joined = answers.with_text(hits, docs, ("text",))
+    assert "Aggregate" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(tuple(r) for r in joined.collect()) == [("d1", 1, "one"), ("d2", 1, "two")]
+
+
+def test_email_pattern_covers_the_run_of_non_blanks(spark):
+    texts = ["x a@b.c, y", "@a.b", "@@a.b z@q", "p.q@r s@t.u@v", "a@b .c"]
+    plain = [re.sub(r"\S+@\S+\.\S+", " <email> ", t) for t in texts]
+    assert column(spark, texts, lambda c: F.regexp_replace(c, tx._UNICODE + tx.EMAIL_PATTERN, " <email> ")) == plain
+
+
+def test_reviews_are_cleaned_once_for_their_tables(spark, monkeypatch):
+    from tidemark.plans import catalog_text
+    from tidemark.plans.registry import QUERIES
+
+    kept = []
+    monkeypatch.setattr(catalog_text, "keep", lambda df, name: kept.append(name) or df.checkpoint(), raising=False)
+    for query in ("k6_feedback_tables", "u1_r3_r5_corpus_with_drivers", "n3_topic_tfidf"):
+        QUERIES[query](spark, "/root/testdata/sf0.001")
+    assert kept == ["topics", "topic-summary", "topics", "corpus"]
