@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import round_half_up
+from tidemark.scratch import keep
 
 # Lengths of quoted text.
 CITATION_LENGTH = 400
@@ -108,5 +109,9 @@ def _section(i: int) -> Column:
 
 
 def with_text(hits: DataFrame, corpus: DataFrame, extra: Sequence[str] = ("text", "metadata")) -> DataFrame:
-    """Attach document text to the few hits that survived retrieval."""
-    return hits.join(corpus.select("doc_id", *extra), "doc_id")
+    """Attach document text to the few hits that survived retrieval.
+
+    The hits are written first: their true size is known then, and few of them go to the
+    texts, which need not be shuffled.
+    """
+    return keep(hits, "hits").join(corpus.select("doc_id", *extra), "doc_id")
