@@ -18,6 +18,7 @@ from tidemark.plans.catalog_accounts import scratch
 from tidemark.plans.frames import Frames
 from tidemark.plans.oracle_views import mean, rnd, strings, term_rows, total
 from tidemark.plans.registry import register
+from tidemark.scratch import keep
 from tidemark.sources import tables
 
 # ---------------------------------------------------------------- feedback
@@ -73,8 +74,10 @@ def _(f: Frames) -> DataFrame:
     folder = scratch(f)
     names = {part: f"tidemark_{part}_{uuid.uuid4().hex}" for part in ("review_topics", "topics")}
     kept = [c for c in feedback_run.REVIEW_COLUMNS if c in f.topics.columns]
-    terms = f.topic_summary.select("topic_id", F.array("topic_label").alias("terms"))
-    run = feedback_run.FeedbackRun(f.topics.select(*kept), f.topic_summary, terms, None)
+    reviews = keep(f.topics, "topics")  # read for the reviews and the summary, cleaned once
+    summary = keep(kpi.topic_summary(reviews), "topic-summary")
+    terms = summary.select("topic_id", F.array("topic_label").alias("terms"))
+    run = feedback_run.FeedbackRun(reviews.select(*kept), summary, terms, None)
     feedback_run.write_feedback(run, folder, f"{folder}/json", names=names)
     written = "topic_id int, topic_label string, documents bigint, avg_rating double"
     summary = f.spark.read.schema(written).json(f"{folder}/json")
@@ -142,8 +145,9 @@ _TOPIC_TERMS = term_rows("{corpus}", "review_id", "clean_text", _TOPIC_STOP)
         FROM vocabulary JOIN unit USING (term) GROUP BY term, df, idf""",
 )
 def _(f: Frames) -> DataFrame:
-    model = tfidf.fit_terms(f.corpus, "clean_text", topics.topic_rules(fr.TEXT_STOP_WORDS))
-    vectors = tfidf.vectorise(f.corpus.select("review_id", "clean_text"), "clean_text", model)
+    corpus = keep(f.corpus.select("review_id", "clean_text"), "corpus")  # read twice, cleaned once
+    model = tfidf.fit_terms(corpus, "clean_text", topics.topic_rules(fr.TEXT_STOP_WORDS))
+    vectors = tfidf.vectorise(corpus, "clean_text", model)
     return _term_weights(model.table(f.spark), tfidf.postings(vectors, "review_id"))
 
 
@@ -259,11 +263,12 @@ _DRIVER_TEXT = f"""SELECT 'driver::' || feature AS doc_id,
 )
 def _(f: Frames) -> DataFrame:
     drivers = evidence.ranked_importance(explain.global_importance(f.explained, 10))
+    reviews = keep(f.topics, "topics")  # read for the themes and the reviews, cleaned once
     parts = [
         evidence.kpi_documents(f.features),
         evidence.driver_documents(drivers, "linear", 0.75),
-        evidence.topic_documents(f.topic_summary),
-        evidence.review_documents(f.sentiment),
+        evidence.topic_documents(kpi.topic_summary(reviews)),
+        evidence.review_documents(reviews.drop("topic_id", "topic_label")),
     ]
     return _shown(evidence.build_corpus(parts))
 
