@@ -21,6 +21,8 @@ ROUNDS = 3
 MOST_PASSES = 300
 TOLERANCE = 1e-4  # a centre that moves less has settled
 
+TILE = 2_048  # rows compared with a fit's centres at a time: their distances stay in the cache
+
 _DRAWS = "fit int, centre array<double>"
 
 
@@ -65,7 +67,7 @@ def fit_all(
     passes = np.zeros(len(fits), dtype=int)
     open_fits = list(range(len(fits)))
     while open_fits:
-        sums = _cluster_sums(table, {f: centres[f] for f in open_fits})
+        sums = _cluster_sums(table, {f: centres[f] for f in open_fits}, squares=False)
         still = []
         for f in open_fits:
             moved = centres[f].copy()
@@ -225,6 +227,22 @@ def _by_distance(candidates: list[np.ndarray], cost: np.ndarray, counts: list[in
     return take
 
 
+def _nearest(coordinates: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per column of ``coordinates`` the nearest centre, the first among equals, and its squared
+    distance: as by ``_distances``, with rows side by side in memory."""
+    distance = np.zeros((len(centres), coordinates.shape[1]))
+    gap = np.empty_like(distance)
+    for j, values in enumerate(coordinates):
+        np.subtract(values, centres[:, j, None], out=gap)
+        np.multiply(gap, gap, out=gap)
+        distance += gap
+    least, own = distance[0].copy(), np.zeros(coordinates.shape[1], dtype=np.int16)
+    for c in range(1, len(centres)):
+        np.copyto(own, c, where=distance[c] < least)
+        np.minimum(least, distance[c], out=least)
+    return own, least
+
+
 def _drawn(table: DataFrame, take: Callable, fits: int) -> list[np.ndarray]:
     """Drawn rows per fit; of rows with a number in front only the least one stays."""
     rows = table.mapInArrow(take, _DRAWS)
@@ -239,25 +257,28 @@ def _drawn(table: DataFrame, take: Callable, fits: int) -> list[np.ndarray]:
 
 
 def _cluster_sums(
-    table: DataFrame, centres: Mapping[int, np.ndarray], about_origin: bool = False
+    table: DataFrame, centres: Mapping[int, np.ndarray], about_origin: bool = False, squares: bool = True
 ) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per fit: rows, coordinate sums and summed squares of each centre's rows, in one scan.
 
-    Squares are of the distances to the centre, or ``about_origin`` of the rows' lengths."""
+    Squares are of the distances to the centre, or ``about_origin`` of the rows' lengths; without
+    ``squares`` they are zero."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for x in _matrices(batches):
-            lengths = (x**2).sum(axis=1)
-            for f, matrix in centres.items():
-                distance = _distances(x, matrix)
-                own = distance.argmin(axis=1)
-                square = lengths if about_origin else distance[np.arange(len(x)), own]
-                k = len(matrix)
-                columns = [np.bincount(own, minlength=k)]
-                columns += [np.bincount(own, weights=w, minlength=k) for w in (square, *x.T)]
-                part = np.stack(columns, axis=1)
-                sums[f] = sums[f] + part if f in sums else part
+        sums = {f: np.zeros((len(matrix), width)) for f, matrix in centres.items()}
+        for whole in _matrices(batches):
+            for lo in range(0, len(whole), TILE):
+                x = whole[lo : lo + TILE]
+                columns = np.zeros((len(x), width))  # rows, squares, coordinates
+                columns[:, 0], columns[:, 2:] = 1, x
+                if about_origin:
+                    columns[:, 1] = (x**2).sum(axis=1)
+                coordinates = np.ascontiguousarray(x.T)
+                for f, matrix in centres.items():
+                    own, least = _nearest(coordinates, matrix)
+                    if squares and not about_origin:
+                        columns[:, 1] = least
+                    sums[f] += (np.arange(len(matrix))[:, None] == own).astype(float) @ columns
         for f, part in sums.items():
             at = np.flatnonzero(part[:, 0])
             columns = [pa.array(column) for column in part[at].T]

@@ -16,7 +16,7 @@ from tidemark.functions.numbers import exact_avg
 from tidemark.operators import kmeans
 from tidemark.operators.kpi import cluster_centroids
 from tidemark.operators.quantiles import exact_median
-from tidemark.scratch import keep
+from tidemark.scratch import discard, keep
 
 # Inputs and candidate numbers of segments.
 SEGMENT_FEATURES = ("tenure", "MonthlyCharges", "TotalCharges", "avg_charge_per_month", "services_count")
@@ -87,8 +87,9 @@ def standardised_inputs(
     features: DataFrame, columns: s.AccountColumns = s.ACCOUNTS, inputs: Sequence[str] = SEGMENT_FEATURES
 ) -> tuple[DataFrame, dict[str, float]]:
     """Written once: id, the inputs as they are and ``scaled``, gaps filled by the medians."""
-    medians = exact_median(features, inputs)
-    filled = features.select(columns.id, *[F.col(c).cast("double").alias(c) for c in inputs])
+    given = keep(features.select(columns.id, *inputs), "segment-inputs")  # read in four scans
+    medians = exact_median(given, inputs)
+    filled = given.select(columns.id, *[F.col(c).cast("double").alias(c) for c in inputs])
     complete = [F.coalesce(c, F.lit(medians[c])) for c in inputs]
     moments = filled.agg(
         *[F.avg(x).alias(f"m_{i}") for i, x in enumerate(complete)],
@@ -98,7 +99,11 @@ def standardised_inputs(
     for i, x in enumerate(complete):
         deviation = moments[f"d_{i}"]
         scaled.append((x - F.lit(moments[f"m_{i}"])) / F.lit(deviation) if deviation else F.lit(0.0))
-    return keep(filled.withColumn("scaled", F.array(*scaled)), "segment-points"), medians
+    # One file is one task in every later scan, however large, so rows are dealt out evenly.
+    spread = filled.withColumn("scaled", F.array(*scaled)).repartition(features.sparkSession.sparkContext.defaultParallelism)
+    points = keep(spread, "segment-points")
+    discard(given)
+    return points, medians
 
 
 def squared_silhouette(labelled: DataFrame, features: str = "scaled", cluster: str = "segment_id") -> float:

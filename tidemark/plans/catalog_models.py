@@ -16,6 +16,7 @@ from tidemark.plans import frames as fr
 from tidemark.plans.catalog_accounts import scratch
 from tidemark.plans.frames import Frames
 from tidemark.plans.registry import register
+from tidemark.scratch import keep
 
 
 def _training(f: Frames) -> tuple[DataFrame, list[str], list[str]]:
@@ -227,8 +228,9 @@ def _(f: Frames) -> DataFrame:
 )
 def _(f: Frames) -> DataFrame:
     """Centres that are nearer to a customer than the one of the own segment."""
-    result = segmentation.segment(f.features)
-    points, _ = segmentation.standardised_inputs(f.features)
+    features = keep(f.features.select("customerID", *segmentation.SEGMENT_FEATURES), "segment-features")  # read twice
+    result = segmentation.segment(features)
+    points, _ = segmentation.standardised_inputs(features)
     found = points.join(result.assignments.select("customerID", "segment_id"), "customerID")
     gaps = F.array(
         *[
@@ -243,7 +245,8 @@ def _(f: Frames) -> DataFrame:
 
 @register("n4_n5_t6_x9_topics")
 def _(f: Frames) -> DataFrame:
-    model = topics.fit_topics(f.corpus, rules=topics.topic_rules(fr.TEXT_STOP_WORDS))
+    corpus = keep(f.corpus.select("review_id", "clean_text"), "corpus")  # read twice, cleaned once
+    model = topics.fit_topics(corpus, rules=topics.topic_rules(fr.TEXT_STOP_WORDS))
     labelled = topics.topic_labels(model.term_table(f.spark))
     return labelled.select("topic_id", F.array_join("terms", ", ").alias("terms"), "topic_label")
 
