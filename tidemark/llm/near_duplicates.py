@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bytesets import Texts, chunks, mix, windows
@@ -371,8 +371,9 @@ def _linked_in_blocks(rows: DataFrame, docs: DataFrame, width: int) -> DataFrame
     Documents that meet in such buckets form a group. A group is cut into blocks, every two
     blocks are one task, and a task hands on links only, never pairs.
     """
-    hub = rows.groupBy("key").agg(F.min("rep").alias("b"))
-    groups = component_labels(rows.join(hub, "key").select(F.col("rep").alias("a"), "b").distinct())
+    # One row per document of a bucket: its own and the bucket's least document, without a join.
+    hub = F.min("rep").over(Window.partitionBy("key"))
+    groups = component_labels(rows.select(F.col("rep").alias("a"), hub.alias("b")).distinct())
     groups = groups.select(F.col("node").alias("rep"), F.col("label").alias("group"))
     counts = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = (
