@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tidemark.functions import lexicons as lx
@@ -447,6 +448,38 @@ def test_projection_keeps_neighbours(spark, themed):
     assert product[same].mean() > product[~same].mean() + 0.3
 
 
+def test_singular_vectors_equal_a_dense_solver_in_few_scans(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    dense = rng.random((300, 180)) * (rng.random((300, 180)) < 0.1)
+    dense[:40] = dense[0]  # equal rows
+    dense[40:44] = 0.0  # rows without terms
+    cells = [(Vectors.sparse(180, {int(j): float(row[j]) for j in np.flatnonzero(row)}),) for row in dense]
+    vectors = spark.createDataFrame(cells, ["tfidf"]).repartition(5)
+    scans, product = [], embedding._gram_product
+    monkeypatch.setattr(embedding, "_gram_product", lambda *a: scans.append(a) or product(*a))
+    _, strength, right = np.linalg.svd(dense)
+    for k, per_slice, per_sort in ((1, 1, 1), (8, 7, 100), (60, 1 << 13, 1 << 20)):
+        monkeypatch.setattr(embedding, "ENTRIES_PER_SLICE", per_slice)
+        monkeypatch.setattr(embedding, "ENTRIES_PER_SORT", per_sort)
+        scans.clear()
+        found, values = embedding.singular_vectors(vectors, k)
+        assert np.allclose(values, strength[:k], rtol=1e-9) and len(scans) <= 6
+        assert np.allclose(np.abs((found * right[:k].T).sum(axis=0)), 1.0, atol=1e-7)
+
+
+def test_singular_vectors_of_a_low_rank_and_of_a_repeated_value():
+    rng = np.random.default_rng(6)
+    low = rng.random((500, 3))
+    values, vectors = embedding._leading_pairs(lambda block: low @ (low.T @ block), 500, 10)
+    assert np.allclose(values[:3], np.linalg.eigvalsh(low.T @ low)[::-1]) and np.allclose(values[3:], 0.0, atol=1e-9)
+    weight = np.concatenate([np.full(100, 2.0), np.full(900, 1.0)])[:, None]  # more often than a block is wide
+    values, vectors = embedding._leading_pairs(lambda block: weight * block, 1000, 90)
+    assert np.allclose(values, 2.0) and np.allclose(vectors.T @ vectors, np.eye(90), atol=1e-9)
+    falling = np.sort(rng.random(2000))[::-1][:, None]  # dense at the cut: the basis is filled and restarted
+    values, _ = embedding._leading_pairs(lambda block: falling * block, 2000, 20)
+    assert np.allclose(values, falling[:20, 0], rtol=1e-9)
+
+
 def test_rows_keep_their_columns_and_number_through_topics_and_vectors(spark, themed):
     corpus = themed.withColumnRenamed("review_text", "clean_text")
     model = topics.fit_topics(corpus, topics=3, max_passes=5)
