@@ -515,3 +515,15 @@ def test_nodes_of_a_forest_come_as_columns(spark, customers, monkeypatch, tmp_pa
         assert got["feature"] == (row["split"]["featureIndex"] if inner else -1)
         assert got["threshold"] == (row["split"]["leftCategoriesOrThreshold"][0] if inner else 0.0)
         assert (got["value"], got["cover"]) == (stats[1] / sum(stats), sum(stats))
+
+
+def test_forests_keep_the_nodes_of_rows_and_grow_the_same_trees(spark):
+    rows = spark.range(300).select(
+        array_to_vector(F.array(F.rand(1), F.rand(2), F.rand(3))).alias("features"), F.lit(1.0).alias("class_weight"),
+        (F.rand(1) + F.rand(4) > 1).cast("double").alias("label"),
+    ).persist()
+    forest = modelling.random_forest(trees=4, depth=5)
+    assert forest.getCacheNodeIds()
+    walked = forest.copy({forest.cacheNodeIds: False})
+    assert forest.fit(rows).toDebugString.split("\n")[1:] == walked.fit(rows).toDebugString.split("\n")[1:]
+    rows.unpersist()
