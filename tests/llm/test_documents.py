@@ -3,19 +3,23 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import (
+    bytesets,
     catalog,
     decontamination,
     gru,
     html_text,
+    linear,
     mixing,
     near_duplicates,
     pii,
@@ -573,3 +577,15 @@ def test_pipeline_stage_by_stage(spark, docs):
 def test_catalog_names():
     assert [n.split("_")[0] for n in catalog.queries()] == [f"op{n}" for n in range(1, 14)]
     assert isinstance(LinearModel(np.zeros(4, np.float32), 0.0, 1.0, 0.0, 2).probability(np.zeros(1))[0], float)
+
+
+def test_texts_are_judged_in_little_memory():
+    texts = pa.array([" ".join(f"w{(i * 7 + j) % 5003}" for j in range(2_000)) for i in range(300)])
+    model = linear.LinearModel(np.zeros(1 << 18, np.float32), 0.0, 1.0, 0.0, 18)
+    tracemalloc.start()
+    for _, _, part in bytesets.chunks(texts):
+        quality_rules.counts(part)
+        linear.logits(part, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20  # several of these share an executor

@@ -14,8 +14,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; temporaries are a few dozen times that. A longer text is
-#: handled alone, so memory follows the longest single text.
-CHUNK_BYTES = 1 << 20
+#: handled alone, so memory follows the longest single text. The workers of an executor share what
+#: its heap leaves.
+CHUNK_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
