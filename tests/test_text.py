@@ -74,6 +74,30 @@ def test_sentiment(spark):
         assert got == pytest.approx(reference_sentiment(text), abs=1e-9) and -1 <= got <= 1
 
 
+def test_sentiment_takes_no_lambda_per_word(spark):
+    texts = ["not  great", "great not", " not a great", None, "never ever awful awful", "great\tgreat"]
+    want = [0.0 if t is None else reference_sentiment(t) for t in texts]
+    assert column(spark, texts, tx.lexicon_sentiment) == pytest.approx(want, abs=1e-9)
+    scored = spark.createDataFrame([("a",)], "t string").select(tx.lexicon_sentiment(F.col("t")).alias("s"))
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+
+
+def test_addresses_and_blanks_are_replaced_as_by_one_pattern_each(spark):
+    texts = ["a@b.c", "x @ y.z", "@a.b", "@@a.b c", "a@b", "k\u00a0\u2003j@\u00fc.de\u3000m", "1\u00e4\u2028\t'q'", "\U0001f600 a\U0001f600b"]
+
+    def spelled_out(text):
+        text = re.sub(r"(?<!\S)\S+@\S+\.\S+", " <email> ", text).lower()
+        text = re.sub(r"\b\d[\d,]*(?:\.\d+)?\b", " <num> ", text)
+        return re.sub(r"\s+", " ", re.sub(r"[^a-z<>\s']", " ", text)).strip(" ")
+
+    got = column(spark, texts, lambda c: tx.normalise(c, nfkc=False))
+    assert got == [spelled_out(t) for t in texts]
+    plan = spark.createDataFrame([("a",)], "t string").select(tx.normalise(F.col("t"), nfkc=False).alias("clean"))
+    optimised = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert optimised.count("regexp_replace(") == 5 and "Contains(" in optimised
+
+
 def test_sentiment_labels_and_backend(spark):
     df = spark.createDataFrame([("a", 0.15), ("b", 0.16), ("c", -0.16)], "clean_text string, s double")
     out = feedback.score_sentiment(df, backend=lambda text: F.col("s"), backend_name="given").collect()

@@ -6,6 +6,7 @@ import unicodedata
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +20,7 @@ EMAIL_PATTERN = r"(?<!\S)\S+@\S+\.\S+"
 URL_PATTERN = r"https?://\S+|www\.\S+"
 REFERENCE_PATTERN = r"\b(?:order|ticket|ref|case)[\s#:-]*[A-Z0-9]{4,}\b"
 NUMBER_PATTERN = r"\b\d[\d,]*(?:\.\d+)?\b"
-NOT_KEPT_PATTERN = r"[^a-z<>\s']"
+NOT_KEPT_PATTERN = r"[^a-z<>']+"  # blanks among them: a run becomes one space
 
 # Fixed value: a word is a run of at least two letters, digits or underscores.
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
@@ -43,13 +44,13 @@ def compatibility_form(text: Column) -> Column:
 def normalise(text: Column, nfkc: bool = True) -> Column:
     """Mask emails, links, references and numbers; lower-case; keep letters only."""
     out = compatibility_form(text) if nfkc else text
-    out = F.regexp_replace(out, _UNICODE + EMAIL_PATTERN, " <email> ")
+    # Most texts have no address: theirs is the dearest pattern, tried at every character.
+    out = F.when(out.contains("@"), F.regexp_replace(out, _UNICODE + EMAIL_PATTERN, " <email> ")).otherwise(out)
     out = F.regexp_replace(out, _UNICODE + URL_PATTERN, " <url> ")
     out = F.regexp_replace(out, _UNICODE_ANY_CASE + REFERENCE_PATTERN, " <ref> ")
     out = F.lower(out)
     out = F.regexp_replace(out, _UNICODE + NUMBER_PATTERN, " <num> ")
-    out = F.regexp_replace(out, _UNICODE + NOT_KEPT_PATTERN, " ")
-    out = F.trim(F.regexp_replace(out, _UNICODE + r"\s+", " "))
+    out = F.trim(F.regexp_replace(out, NOT_KEPT_PATTERN, " "))
     return F.coalesce(out, F.lit(""))
 
 
@@ -86,28 +87,24 @@ def lexicon_sentiment(
     """
     weights = {w: positive.get(w, 0.0) - negative.get(w, 0.0) for w in {**positive, **negative}}
     weights = {w: v for w, v in weights.items() if v != 0.0}
-    lexicon = F.create_map(*[F.lit(x) for item in weights.items() for x in item])
-    tokens = F.split(clean, " ")
-    # Every token next to the ones before it, so that no lambda looks back into the text.
-    shifted = [
-        F.concat(F.array_repeat(F.lit(None).cast("string"), n), tokens).alias(f"before{n}")
-        for n in range(1, lx.NEGATION_REACH + 1)
-    ]
-    hits = F.filter(
-        F.arrays_zip(tokens.alias("token"), *shifted), lambda x: x["token"].isin(*weights)
-    )
-
-    def score(x: Column) -> Column:
-        polarity = F.try_element_at(lexicon, x["token"])
-        flipped = F.lit(False)
-        for n in range(1, lx.NEGATION_REACH + 1):
-            flipped = flipped | F.coalesce(x[f"before{n}"].isin(*negators), F.lit(False))
-        return F.when(flipped, polarity * lx.NEGATION_FACTOR).otherwise(polarity)
-
-    polarities = F.transform(hits, score)
-    total = F.aggregate(polarities, F.lit(0.0), lambda acc, p: acc + p)
-    weight = F.aggregate(polarities, F.lit(0.0), lambda acc, p: acc + F.abs(p))
-    value = round_half_up(F.coalesce(F.try_divide(total, weight), F.lit(0.0)), 10)
+    negating, reach, factor = frozenset(negators), lx.NEGATION_REACH, lx.NEGATION_FACTOR
+
+    def balance(text: str | None) -> float:
+        tokens = text.split(" ") if text is not None else []
+        total = weight = 0.0
+        for at in [i for i, token in enumerate(tokens) if token in weights]:
+            polarity = weights[tokens[at]]
+            if not negating.isdisjoint(tokens[max(at - reach, 0) : at]):
+                polarity *= factor
+            total += polarity
+            weight += abs(polarity)
+        return total / weight if weight else 0.0
+
+    @F.arrow_udf(T.DoubleType())
+    def balances(texts: pa.Array) -> pa.Array:
+        return pa.array(map(balance, texts.to_pylist()), pa.float64())
+
+    value = round_half_up(balances(clean), 10)
     return clip(value, -1.0, 1.0)
 
 
