@@ -508,6 +508,43 @@ def test_texts_in_a_lane_are_apart_and_rare_cells_are_learnt():
     assert value(learnt).sum() > -0.5 * 7 > value(p).sum()
 
 
+def test_packed_gradient_matches_differences_across_texts():
+    rng = np.random.default_rng(3)
+    p = gru.initial(rng.uniform(1, 9, gru.N_CLASSES), rng.uniform(1, 9, (gru.N_CLASSES, gru.MEMBERS)))
+    p = {k: v.astype(np.float64) for k, v in p.items()}
+    x, c, m = rng.integers(0, 6, (4, 9)), rng.integers(0, 5, (4, 9)), rng.integers(0, 7, (4, 9))
+    x[1, 3] = x[2, 0] = x[2, 8] = gru.START  # texts begin inside the window
+    c[0, 5:] = -1
+    h = rng.normal(0, 0.3, (4, gru.HIDDEN))
+    packed = np.full(gru.N_PARAMETERS, 7.0)
+    _, grad, after = gru.loss_and_gradient(p, h, x, c, m, packed)
+    assert after.shape == h.shape and np.array_equal(np.concatenate([grad[k].ravel() for k in gru.SHAPES]), packed)
+    for k in gru.SHAPES:
+        at = np.unravel_index(np.abs(grad[k]).argmax(), grad[k].shape)
+        up, down = ({**p, k: p[k].copy()} for _ in range(2))
+        up[k][at] += 1e-5
+        down[k][at] -= 1e-5
+        slope = (gru.loss_and_gradient(up, h, x, c, m)[0] - gru.loss_and_gradient(down, h, x, c, m)[0]) / 2e-5
+        assert slope == pytest.approx(grad[k][at], rel=1e-3), k
+    untouched = np.setdiff1d(np.arange(gru.N_INPUTS), x)
+    assert not grad["embed"][untouched].any() and not grad["w_member"][5:].any()
+
+
+def test_adaptive_steps_of_packed_parameters():
+    rng = np.random.default_rng(4)
+    n = 2 * gru._LOT + 5
+    p, m, v = rng.normal(size=n), np.zeros(n), np.zeros(n)
+    want, wm, wv = p.copy(), m.copy(), v.copy()
+    adam = gru.Adam(0.02)
+    for t in range(1, 4):
+        g = rng.normal(size=n)
+        adam.apply(p, g, m, v)
+        wm += 0.1 * (g - wm)
+        wv += 0.01 * (g * g - wv)
+        want -= 0.02 * (wm / (1 - 0.9**t)) / (np.sqrt(wv / (1 - 0.99**t)) + 1e-6)
+    assert np.allclose(p, want, rtol=1e-9, atol=1e-12)
+
+
 # --- decontamination -------------------------------------------------------------------------------
 
 
