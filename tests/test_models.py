@@ -202,6 +202,34 @@ def test_shapley_values_equal_all_subsets():
             assert abs(own[i] - want) < 1e-9
 
 
+def test_leaves_share_the_products_of_their_path(monkeypatch):
+    """A tree is walked once a lot of rows, and lots change no value."""
+    rng = np.random.default_rng(5)
+    depth, n = 6, 4  # features come again on a path
+    inner = 2**depth - 1
+    nodes = 2 * inner + 1
+    feature = np.where(np.arange(nodes) < inner, rng.integers(0, n, nodes), -1)
+    left, right = 2 * np.arange(nodes) + 1, 2 * np.arange(nodes) + 2
+    cover = np.zeros(nodes)
+    cover[inner:] = rng.integers(1, 50, inner + 1)
+    for i in range(inner - 1, -1, -1):
+        cover[i] = cover[left[i]] + cover[right[i]]
+    children = [np.where(feature >= 0, side, -1) for side in (left, right)]
+    value = np.where(feature < 0, rng.normal(size=nodes) * (rng.random(nodes) < 0.8), 0.0)
+    tree = explain.ShapleyTree(feature, rng.normal(size=nodes) * 0.5, *children, value, cover)
+    x = rng.normal(size=(10, n))
+    whole, expected = explain.shapley_values(x, [tree])
+    reached = explain._predictions(x, [tree])
+    assert np.abs(whole.sum(axis=1) + expected - reached).max() < 1e-12
+    calls, below = [], explain._ShapleyWalk.below
+    monkeypatch.setattr(explain._ShapleyWalk, "below", lambda w, at, product: calls.append(at) or below(w, at, product))
+    monkeypatch.setattr(explain, "_WALKED_ROWS", 4)
+    parts, _ = explain.shapley_values(x, [tree])
+    assert len(calls) == 3 * inner and np.abs(parts - whole).max() < 1e-12
+    stump = explain.ShapleyTree(*(np.array([v]) for v in (-1, 0.0, -1, -1, 2.5, 10)))
+    assert not explain.shapley_values(x, [stump])[0].any() and explain.shapley_values(x, [stump])[1] == 2.5
+
+
 def test_impurity_fallback(spark, run):
     weights = modelling.linear_weights(run.model.base) or modelling.impurity_weights(run.model.base)
     table = explain.model_importance(spark, run.model.encoding.names, weights, 3).collect()
