@@ -14,7 +14,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from tidemark.operators import explain, kmeans, modelling, segmentation
+from tidemark.operators import boosting, explain, forest, kmeans, modelling, segmentation
 from tidemark.plans import training_run
 from tidemark.sources import files, tables
 from tidemark.streaming import scoring
@@ -202,6 +202,82 @@ def test_shapley_values_equal_all_subsets():
             assert abs(own[i] - want) < 1e-9
 
 
+def test_forests_of_many_rows_are_grown_by_lots_of_trees(spark, customers, monkeypatch, tmp_path):
+    frame = modelling.prepare_training_frame(customers)
+    numeric, categorical = modelling.model_inputs(frame)
+    encoding = modelling.fit_encoding(frame, numeric, categorical)
+    encoded = encoding.encode(frame).persist()
+    build = lambda n: modelling.random_forest(trees=20, depth=4)
+    few = modelling.fit_model(encoded, build)
+    assert type(few).__name__ == "RandomForestClassificationModel"
+    monkeypatch.setattr(modelling, "FOREST_ROWS", range(1, 10**6))
+    base = modelling.fit_model(encoded, build)
+    again = modelling.fit_model(encoded, build)
+    assert isinstance(base, forest.GrownForest) and len(base.trees) == 20
+    for t, u in zip(base.trees, again.trees, strict=True):
+        assert all(np.array_equal(getattr(t, f), getattr(u, f)) for f in forest._FIELDS)
+        inner = np.flatnonzero(t.feature >= 0)
+        assert (t.gain[inner] > 0).all() and np.allclose(t.weight[inner], t.weight[t.left[inner]] + t.weight[t.right[inner]])
+        both = inner[(t.feature[t.left[inner]] < 0) & (t.feature[t.right[inner]] < 0)]
+        assert ((t.value[t.left[both]] > 0.5) != (t.value[t.right[both]] > 0.5)).all()
+        depth = np.zeros(len(t.feature), int)
+        for i in inner:
+            depth[[t.left[i], t.right[i]]] = depth[i] + 1
+        assert depth.max() <= 4
+    area = lambda m: modelling.area_under_roc(modelling.positive_probability(m, encoded, "churn_probability"))
+    assert abs(area(base) - area(few)) < 0.05
+    assert abs(base.featureImportances.toArray().sum() - 1) < 1e-9
+    model = modelling.ChurnModel("random_forest", encoding, base, ())
+    modelling.save_model(model, str(tmp_path / "forest"), spark)
+    loaded = modelling.load_model(str(tmp_path / "forest"), spark)
+    scored = {r["customerID"]: r["p"] for r in loaded.score(frame, "p").collect()}
+    for r in training_run.explained_accounts(model, frame).collect():
+        total = r["base_value"] + sum(c["contribution"] for c in r["contributions"])
+        assert abs(total - r["prediction"]) < 1e-9 and abs(r["prediction"] - scored[r["customerID"]]) < 1e-9
+    odd = lambda n: modelling.random_forest(trees=3, depth=3).setSubsamplingRate(0.5)
+    assert modelling.forest_rules(odd(1)) is None and not isinstance(modelling.fit_model(encoded, odd), forest.GrownForest)
+
+
+@pytest.mark.parametrize("weights", [(1.0, 1.0), (0.6, 3.0)])
+def test_a_grown_tree_takes_the_best_splits(monkeypatch, weights):
+    """Every split is the best one of a plain search, counted in several lots of rows."""
+    monkeypatch.setattr(forest, "_COUNTED_ROWS", 64)
+    rng = np.random.default_rng(2)
+    n, rules = 400, forest.ForestRules(trees=1, depth=3, least_rows=5)
+    bins = np.array([rng.integers(0, 6, n)], np.uint8).T  # one feature, so it is drawn at every node
+    y = (rng.random(n) < 0.1 + 0.7 * (bins[:, 0] % 3 == 1)).astype(np.uint8)
+    nodes = forest.grown_tree(bins, y, np.array([6]), weights, rules, np.random.default_rng(7))
+    copies = np.searchsorted(forest._COPIES, np.random.default_rng(7).random(n, np.float32), "right")
+
+    def mixed(rows):
+        zero, one = (weights[k] * copies[rows][y[rows] == k].sum() for k in (0, 1))
+        return 2 * zero * one / max(zero + one, 1e-300), zero + one
+
+    def check(at, rows):
+        impure, weight = mixed(rows)
+        assert nodes["weight"][at] == pytest.approx(weight)
+        if nodes["feature"][at] < 0:
+            return 1
+        gains = []
+        for cut in range(5):
+            low, high = rows & (bins[:, 0] <= cut), rows & (bins[:, 0] > cut)
+            able = min(copies[low].sum(), copies[high].sum()) >= 5
+            gains.append((impure - mixed(low)[0] - mixed(high)[0]) / weight if able else 0.0)
+        assert nodes["cut"][at] == int(np.argmax(np.round(gains, 12))) and nodes["gain"][at] == pytest.approx(max(gains))
+        sides = (nodes["left"][at], bins[:, 0] <= nodes["cut"][at]), (nodes["right"][at], bins[:, 0] > nodes["cut"][at])
+        return sum(check(child, rows & side) for child, side in sides)
+
+    assert check(0, np.ones(n, bool)) == (nodes["feature"] < 0).sum() > 2
+    alike = forest.grown_tree(bins, np.zeros(n, np.uint8), np.array([6]), weights, rules, rng)
+    assert alike["feature"].tolist() == [-1] and alike["value"].tolist() == [0.0]
+
+
+def test_keys_are_dealt_out_one_a_partition(spark):
+    keys = boosting.spread_keys(spark, 13)
+    rows = spark.createDataFrame([(k,) for k in keys], "key int").repartition(13, "key")
+    assert sorted(rows.rdd.glom().map(len).collect()) == [1] * 13
+
+
 def test_leaves_share_the_products_of_their_path(monkeypatch):
     """A tree is walked once a lot of rows, and lots change no value."""
     rng = np.random.default_rng(5)
